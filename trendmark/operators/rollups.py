@@ -37,8 +37,13 @@ def trending_rollup(statistics: DataFrame, approx_rsd: float | None = None) -> D
 
 
 def channel_rollup(enriched: DataFrame) -> DataFrame:
-    """Reach, engagement, span and categories of each channel in each region (not ranked yet)."""
-    return enriched.groupBy("channel_title", "region").agg(
+    """Reach, engagement, span and categories of each channel in each region (not ranked yet).
+
+    The categories are gathered apart, from distinct names: beside the distinct count of videos every
+    task would hold one set for each video, and over all rows one for each channel.
+    """
+    key = ("channel_title", "region")
+    totals = enriched.groupBy(*key).agg(
         F.countDistinct("video_id").alias("total_videos"),
         F.sum("views").alias("total_views"),
         F.sum("likes").alias("total_likes"),
@@ -49,8 +54,15 @@ def channel_rollup(enriched: DataFrame) -> DataFrame:
         F.count("trending_date_parsed").alias("times_trending"),
         F.min("trending_date_parsed").alias("first_trending"),
         F.max("trending_date_parsed").alias("last_trending"),
-        F.array_sort(F.collect_set("category_name")).alias("categories"),
     )
+    names = (
+        enriched.select(*[F.col(name).alias(f"_{name}") for name in key], "category_name")
+        .distinct()
+        .groupBy(*[f"_{name}" for name in key])
+        .agg(F.array_sort(F.collect_list("category_name")).alias("categories"))
+    )
+    same = F.col(key[0]).eqNullSafe(F.col(f"_{key[0]}")) & F.col(key[1]).eqNullSafe(F.col(f"_{key[1]}"))
+    return totals.join(names, same).select(*totals.columns, "categories")
 
 
 def category_rollup(enriched: DataFrame) -> DataFrame:

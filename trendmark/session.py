@@ -25,6 +25,7 @@ def build_session(app_name: str = "trendmark", master: str | None = None, **conf
                 builder.config("spark.driver.host", "127.0.0.1")
                 .config("spark.driver.bindAddress", "127.0.0.1")
                 .config("spark.ui.enabled", "false")
+                .config("spark.driver.memory", "12g")
             )
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")

@@ -25,18 +25,15 @@ def _every(n: int) -> Column:
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw snapshot rows in the canonical columns, with ``_arrived_at`` and ``l_linenumber``."""
-    code = F.lower(F.substring("r_name", 1, 2))
     day = F.add_months(F.col("l_shipdate").cast("date"), 240)
-    regions = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "s_name", code.alias("code"))
-    )
+    # Each join is left to Spark: small sides are broadcast by their measured size, large ones shuffled.
     joined = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(regions, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("code", F.lower(F.substring("r_name", 1, 2)))
     )
     arrived = F.timestamp_add("DAY", (F.col("l_orderkey") % 7).cast("int"), F.lit("2024-01-01").cast("timestamp"))
     columns = {
