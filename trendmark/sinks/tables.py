@@ -15,9 +15,12 @@ def write_partitioned(
     path: str,
     partition_by: Sequence[str] = ("region",),
     rebalance: bool = True,
+    whole_table: bool = False,
 ) -> None:
     """Replace the partitions that ``df`` holds rows for, and leave all others as they are.
 
+    With ``whole_table`` the others are removed.
+
     Rebalancing gathers each partition's rows into files of the advisory size. Adaptive execution
     cuts a partition that holds much of the data into many tasks, so one busy region is no bottleneck.
     """
@@ -25,7 +28,7 @@ def write_partitioned(
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partition_by)
         .parquet(path)

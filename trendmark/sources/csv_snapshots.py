@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from trendmark.config import UNKNOWN_REGION
@@ -24,7 +24,7 @@ def _csv_options(reader: DataFrameReader, multi_line: bool) -> DataFrameReader:
 
 
 def in_regions(df: DataFrame, regions: Iterable[str] | None) -> DataFrame:
-    """Keep some regions only; on a partition column the scan lists no other folder."""
+    """Keep some regions only. On a partition column, or one taken from the path, no other file is read."""
     if regions is None:
         return df
     wanted = sorted({region.strip().lower() for region in regions})
@@ -39,19 +39,21 @@ def read_csv_snapshots(
 ) -> DataFrame:
     """All CSV snapshots below ``path``, as text columns, with ``region`` and ``_arrived_at``.
 
+    The region is that of the file's ``region=`` folder, at any depth, as other layouts may lie beside it.
     ``multi_line`` allows line breaks inside quoted text; each file is then read by one task. Switch it
     off for files known to hold none, and Spark splits them.
     """
     reader = _csv_options(spark.read, multi_line).schema(CSV_FILE).option("enforceSchema", False)
-    df = reader.csv(path)
-    if "region" not in df.columns:
-        df = df.withColumn("region", path_value(F.col("_metadata.file_path"), "region", UNKNOWN_REGION))
-    df = df.select(
-        *CSV_FILE.fieldNames(),
-        F.col("region").cast("string"),
+    df = reader.option("recursiveFileLookup", True).csv(path)
+    return in_regions(df.select(*CSV_FILE.fieldNames(), *snapshot_file_columns()), regions)
+
+
+def snapshot_file_columns() -> list[Column]:
+    """Region and arrival of a snapshot file."""
+    return [
+        path_value(F.col("_metadata.file_path"), "region", UNKNOWN_REGION).alias("region"),
         F.col("_metadata.file_modification_time").alias("_arrived_at"),
-    )
-    return in_regions(df, regions)
+    ]
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:

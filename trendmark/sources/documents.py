@@ -37,10 +37,11 @@ def read_documents(
 
 
 def with_file_columns(df: DataFrame, item: T.StructType) -> DataFrame:
-    """Document columns, ``_source_file`` (decoded key) and ``_file_time``."""
+    """Document columns, ``_source_file`` (decoded path, where a plus sign is one) and ``_file_time``."""
+    path = F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))
     return df.select(
         *document_schema(item).fieldNames(),
-        url_decoded(F.col("_metadata.file_path")).alias("_source_file"),
+        url_decoded(path).alias("_source_file"),
         F.col("_metadata.file_modification_time").alias("_file_time"),
     )
 
@@ -64,8 +65,10 @@ def parse_documents(
 
 def split_corrupt(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readable documents, and the unreadable ones with their source for quarantine."""
+    # Spark refuses to read the corrupt column alone; the second condition keeps a parsed column beside it.
+    corrupt = F.col(CORRUPT).isNotNull() & ~F.col("fetched_at").eqNullSafe(F.lit("\0"))
     good = documents.filter(F.col(CORRUPT).isNull())
-    bad = documents.filter(F.col(CORRUPT).isNotNull()).select("_source_file", "_file_time", CORRUPT)
+    bad = documents.filter(corrupt).select("_source_file", "_file_time", CORRUPT)
     return good, bad
 
 

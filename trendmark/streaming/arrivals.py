@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendmark.config import REFERENCE, UNKNOWN_REGION
-from trendmark.functions import path_value
+from trendmark.config import REFERENCE
 from trendmark.operators.cleanse import with_audit
 from trendmark.operators.dedup import SNAPSHOT_KEY
 from trendmark.operators.normalize import ARRIVED_AT
 from trendmark.operators.reference import refine_reference
 from trendmark.schemas import CATEGORY_ITEM, CORRUPT, CSV_FILE, document_schema
 from trendmark.sinks.tables import publish
-from trendmark.sources.csv_snapshots import CSV_GLOB
+from trendmark.sources.csv_snapshots import CSV_GLOB, snapshot_file_columns
 from trendmark.sources.documents import JSON_GLOB, split_corrupt, with_file_columns
 from trendmark.sources.tables import TableStore
 
@@ -38,8 +37,7 @@ def stream_csv_snapshots(
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(path).select(
         *CSV_FILE.fieldNames(),
-        path_value(F.col("_metadata.file_path"), "region", UNKNOWN_REGION).alias("region"),
-        F.col("_metadata.file_modification_time").alias(ARRIVED_AT),
+        *snapshot_file_columns(),
     )
 
 

@@ -18,16 +18,29 @@ from trendmark.sources.tables import TableStore
 # The incremental table is also split by day, so that a batch rewrites the days it holds and no others.
 DAY_PARTITIONS = ("region", "trending_date_parsed")
 MAX_LISTED_DAYS = 4_000
+# Written after a stage is complete; readers skip names with a leading underscore.
+MARKER = "_FINISHED"
 
 
-def _finished(spark: SparkSession, path: str) -> bool:
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, on whatever storage the cluster uses."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def _discard(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+def _finished(spark: SparkSession, stage: str) -> bool:
+    filesystem, marker = _located(spark, f"{stage}/{MARKER}")
+    return filesystem.exists(marker)
+
+
+def _mark_finished(spark: SparkSession, stage: str) -> None:
+    filesystem, marker = _located(spark, f"{stage}/{MARKER}")
+    filesystem.create(marker, True).close()
+
+
+def _discard(spark: SparkSession, stage: str) -> None:
+    filesystem, folder = _located(spark, stage)
+    filesystem.delete(folder, True)
 
 
 def _same_days(days: list[Row]) -> Column:
@@ -74,7 +87,8 @@ class SnapshotUpsert:
         self.now = now
 
     def _stage(self, df: DataFrame, path: str) -> None:
-        write_partitioned(df, path, DAY_PARTITIONS)
+        write_partitioned(df, path, DAY_PARTITIONS, whole_table=True)
+        _mark_finished(df.sparkSession, path)
 
     def _read(self, spark: SparkSession, path: str) -> DataFrame:
         return spark.read.schema(SILVER_STATISTICS).parquet(path)
