@@ -8,7 +8,7 @@ from trendmark.sources.documents import (
     read_documents,
     split_corrupt,
 )
-from trendmark.sources.tables import TableStore, sample, with_columns_of
+from trendmark.sources.tables import TableStore, sample, spread, with_columns_of
 
 __all__ = [
     "TableStore",
@@ -20,5 +20,6 @@ __all__ = [
     "read_documents",
     "sample",
     "split_corrupt",
+    "spread",
     "with_columns_of",
 ]

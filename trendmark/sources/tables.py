@@ -42,6 +42,16 @@ def sample(df: DataFrame, rows: int | None) -> DataFrame:
     return df if rows is None else df.limit(rows)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """An input of fewer splits than the session has cores, dealt out to all of them.
+
+    A file without inner splits is read by one task, and what follows the scan would stay in it. Large
+    inputs have splits enough and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_columns_of(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with the columns it lacks added as NULL, and columns of its own kept at the end."""
     added = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in df.columns]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trendmark.operators.normalize import ARRIVED_AT
 from trendmark.schemas import SNAPSHOT_COLUMNS
+from trendmark.sources import spread
 
 REGIONS = ["AF", "AM", "AS", "EU", "MI"]
 
@@ -28,7 +29,7 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.add_months(F.col("l_shipdate").cast("date"), 240)
     # Each join is left to Spark: small sides are broadcast by their measured size, large ones shuffled.
     joined = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
