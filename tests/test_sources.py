@@ -228,3 +228,17 @@ def test_inferred_scan_and_region_filter(spark, folder):
     found = read_csv_inferred(spark, folder)
     assert found.agg(F.sum("n")).first()[0] == 3
     assert in_regions(found, ["ca"]).first().n == 2
+
+
+def test_convert_in_bounded_jobs(spark, folder, monkeypatch):
+    monkeypatch.setattr("trendmark.sinks.convert.FILES_PER_JOB", 2)
+    for i in range(5):
+        put(folder, f"in/f{i}.csv", f"id,n\n{i},{i}\n")
+    manifest = convert_csv(spark, folder + "/in", folder + "/out")
+    assert {(r.dest, r.rows) for r in manifest.collect()} == {(f"f{i}", 1) for i in range(5)}
+    assert spark.read.parquet(folder + "/out").agg(F.sum("n")).first()[0] == 10
+
+
+def test_convert_nothing(spark, folder):
+    put(folder, "in/empty.csv", "")
+    assert convert_csv(spark, folder + "/in", folder + "/out").count() == 0

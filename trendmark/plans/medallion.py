@@ -10,13 +10,20 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from trendmark.config import CATEGORY, CHANNEL, REFERENCE, STATISTICS, TRENDING, QualityRules
 from trendmark.operators.cleanse import with_audit
-from trendmark.operators.quality import failures, run_checks, verdict
+from trendmark.operators.quality import run_checks, verdict
 from trendmark.operators.reference import refine_reference
 from trendmark.plans.gold import enrich, gold_category, gold_channel, gold_trending
 from trendmark.plans.silver import StageCounts, combine_sources, silver_statistics
 from trendmark.schemas import CATEGORY_ITEM, VIDEO_ITEM
 from trendmark.sinks.tables import publish
-from trendmark.sources import TableStore, explode_documents, read_csv_snapshots, read_documents, split_corrupt
+from trendmark.sources import (
+    TableStore,
+    explode_documents,
+    read_csv_snapshots,
+    read_documents,
+    split_corrupt,
+    spread,
+)
 
 
 @dataclass(frozen=True)
@@ -56,7 +63,7 @@ def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: d
     """Read both kinds of snapshots and write clean statistics; without a source nothing is written."""
     csv_rows = json_items = None
     if config.csv_path:
-        csv_rows = read_csv_snapshots(spark, config.csv_path, config.regions, config.multi_line)
+        csv_rows = spread(read_csv_snapshots(spark, config.csv_path, config.regions, config.multi_line))
     if config.documents_path:
         readable, _ = split_corrupt(read_documents(spark, config.documents_path, VIDEO_ITEM, config.multi_line))
         json_items = explode_documents(readable, VIDEO_ITEM)
@@ -127,7 +134,6 @@ __all__ = [
     "build_silver_reference",
     "build_silver_statistics",
     "check_silver",
-    "failures",
     "gate",
     "run_medallion",
 ]

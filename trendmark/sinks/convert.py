@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby, islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendmark.functions import file_stem
 from trendmark.schemas import CORRUPT
+from trendmark.session import durable
 from trendmark.sources.csv_snapshots import CSV_GLOB, read_csv_inferred
 
+FILES_PER_JOB = 10_000
+
 
 def list_csv_files(spark: SparkSession, path: str) -> DataFrame:
     """Every CSV file below ``path`` with its header line and the name its output gets.
@@ -41,36 +47,50 @@ def _output_name(source: Column, shared: Column) -> Column:
     return F.when(shared, F.regexp_replace(whole, "/", "__")).otherwise(file_stem(source))
 
 
+def _layouts(files: DataFrame) -> Iterator[tuple[bool, list[str]]]:
+    """Files of one layout and naming at a time, never more than a bounded number of paths."""
+    listed = files.orderBy("header", "shared", "source").toLocalIterator()
+    for (_, shared), rows in groupby(listed, key=lambda row: (row.header, row.shared)):
+        while paths := [row.source for row in islice(rows, FILES_PER_JOB)]:
+            yield shared, paths
+
+
+def _convert(spark: SparkSession, paths: list[str], shared: bool, dest: str, multi_line: bool) -> None:
+    inferred = read_csv_inferred(spark, paths, multi_line)
+    schema = T.StructType([*inferred.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(paths)
+    )
+    (
+        rows.withColumn("source_name", _output_name(F.col("_metadata.file_path"), F.lit(shared)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy("source_name")
+        .parquet(dest)
+    )
+
+
 def convert_csv(spark: SparkSession, path: str, dest: str, multi_line: bool = True) -> DataFrame:
     """Convert every CSV file below ``path`` to ``dest/source_name=<name>`` and return the manifest.
 
-    Files are read together with the others of their layout (the same header line), never one by one:
-    the driver handles one job per layout. Rows that do not fit are kept whole in the corrupt column.
+    Files are read together with the others of their layout (the same header line), not one by one.
+    Rows that do not fit are kept whole in the corrupt column.
     """
-    files = list_csv_files(spark, path)
-    layouts = files.groupBy("header", "shared").agg(F.collect_list("source").alias("sources"))
-    for layout in layouts.collect():
-        inferred = read_csv_inferred(spark, layout.sources, multi_line)
-        schema = T.StructType([*inferred.schema.fields, T.StructField(CORRUPT, T.StringType())])
-        rows = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(layout.sources)
-        )
-        name = _output_name(F.col("_metadata.file_path"), F.lit(layout.shared))
-        (
-            rows.withColumn("source_name", name)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "snappy")
-            .partitionBy("source_name")
-            .parquet(dest)
-        )
-    return conversion_manifest(files, spark.read.option("mergeSchema", False).parquet(dest))
+    files = durable(list_csv_files(spark, path))
+    converted = False
+    for shared, paths in _layouts(files):
+        _convert(spark, paths, shared, dest, multi_line)
+        converted = True
+    if not converted:
+        return files.select("source", "dest", F.lit(0).cast("bigint").alias("rows"))
+    return conversion_manifest(files, spark.read.parquet(dest))
 
 
 def conversion_manifest(files: DataFrame, converted: DataFrame) -> DataFrame:
