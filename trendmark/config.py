@@ -15,6 +15,9 @@ UNKNOWN = "Unknown"
 UNKNOWN_REGION = "unknown"
 DEFAULT_DATABASE = "medallion_silver"
 
+# The settings a deployment may give, the first that is set counts.
+DATABASE_VARIABLES = ("GLUE_DB_SILVER", "SILVER_DATABASE")
+
 
 @dataclass(frozen=True)
 class ValueRange:
@@ -56,11 +59,7 @@ class QualityRules:
 def resolve_database(request: Mapping[str, str], environment: Mapping[str, str] | None = None) -> str:
     """Database to check: the request names it, else the environment, else the default."""
     environment = environment or {}
-    named = (
-        request.get("database"),
-        environment.get("GLUE_DB_SILVER"),
-        environment.get("SILVER_DATABASE"),
-    )
+    named = [request.get("database"), *[environment.get(variable) for variable in DATABASE_VARIABLES]]
     return next((name for name in named if name), DEFAULT_DATABASE)
 
 
