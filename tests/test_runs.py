@@ -73,6 +73,18 @@ def test_failing_gate_leaves_gold_as_it_was(spark, config):
         run_medallion(spark, strict, NOW, raise_on_failure=True)
 
 
+def test_upserts_continue_a_full_run(spark, config):
+    daily = MedallionConfig(**{**config.__dict__, "statistics_partitions": upsert_module.DAY_PARTITIONS})
+    assert run_medallion(spark, daily, NOW).gold_built
+    before = config.silver.read(STATISTICS).count()
+    later = {"video_id": "v0", "trending_date": "17.01.11", "views": 5000, "_arrived_at": datetime(2100, 1, 1)}
+    handler = SnapshotUpsert(config.silver, config.silver.root + "-checkpoint", "job", NOW)
+    handler(raw(spark, later, {"video_id": "new", "region": "jp"}), 0)
+    found = spark.read.schema(SILVER_STATISTICS).parquet(config.silver.path(STATISTICS))
+    assert found.count() == before + 1
+    assert found.filter("video_id = 'v0' AND region = 'us'").first().views == 5000
+
+
 def test_run_without_reference(spark, config):
     bare = MedallionConfig(**{**config.__dict__, "categories_path": None, "checked_tables": [STATISTICS]})
     assert run_medallion(spark, bare, NOW).gold_built

@@ -201,6 +201,8 @@ def test_raw_documents_keep_unknown_fields_and_replace_their_fetch(spark, folder
     }
     assert found.count() == 2
     assert read_documents(spark, folder + "/raw", VIDEO_ITEM, multi_line=False).count() == 2
+    write_raw_documents(texts, "doc", F.col("at"), folder + "/daily", by_hour=False)
+    assert "hour" not in spark.read.text(folder + "/daily").columns
 
 
 def test_convert_csv_by_layout(spark, folder):

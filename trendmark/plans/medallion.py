@@ -14,7 +14,7 @@ from trendmark.operators.quality import run_checks, verdict
 from trendmark.operators.reference import refine_reference
 from trendmark.plans.gold import enrich, gold_category, gold_channel, gold_trending
 from trendmark.plans.silver import StageCounts, combine_sources, silver_statistics
-from trendmark.schemas import CATEGORY_ITEM, VIDEO_ITEM
+from trendmark.schemas import CATEGORY_ITEM, SILVER_STATISTICS, VIDEO_ITEM
 from trendmark.sinks.tables import publish
 from trendmark.sources import (
     TableStore,
@@ -28,7 +28,10 @@ from trendmark.sources import (
 
 @dataclass(frozen=True)
 class MedallionConfig:
-    """Where a run reads and writes."""
+    """Where a run reads and writes.
+
+    Split the statistics by region and ``trending_date_parsed`` if incremental runs are to follow.
+    """
 
     silver: TableStore
     gold: TableStore
@@ -37,6 +40,7 @@ class MedallionConfig:
     categories_path: str | None = None
     regions: Sequence[str] | None = None
     multi_line: bool = True
+    statistics_partitions: Sequence[str] = ("region",)
     job_name: str = "medallion"
     rules: QualityRules = field(default_factory=QualityRules)
     checked_tables: Sequence[str] = (STATISTICS, REFERENCE)
@@ -72,7 +76,7 @@ def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: d
         return {}
     counts = StageCounts()
     clean = silver_statistics(counts.watch_raw(normalised), config.job_name, now)
-    publish(counts.watch_clean(clean), config.silver, STATISTICS)
+    publish(counts.watch_clean(clean), config.silver, STATISTICS, config.statistics_partitions)
     return counts.report()
 
 
@@ -91,7 +95,7 @@ def check_silver(spark: SparkSession, config: MedallionConfig, as_of: datetime |
 
 
 def build_gold(config: MedallionConfig, now: datetime | None = None) -> None:
-    statistics = config.silver.read(STATISTICS)
+    statistics = config.silver.read(STATISTICS, schema=SILVER_STATISTICS)
     enriched = enrich(statistics, config.silver.read_if_present(REFERENCE, True))
     publish(gold_trending(statistics, now), config.gold, TRENDING)
     publish(gold_channel(enriched, now), config.gold, CHANNEL)

@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from trendmark.functions import clean_region, parse_trending_date
 from trendmark.operators.cleanse import cleanse, with_audit
-from trendmark.operators.dedup import keep_latest_snapshot
+from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
 from trendmark.operators.normalize import normalize_csv, normalize_json, union_sources
 from trendmark.operators.quality import warning_metrics
 
@@ -56,10 +57,17 @@ class StageCounts:
 
 
 def stage_row_counts(normalised: DataFrame) -> DataFrame:
-    """Exact row counts before and after cleansing and deduplication, in one pass."""
-    cleansed = cleanse(normalised)
-    keys = cleansed.groupBy("video_id", "region", "trending_date_parsed").agg(F.count("*").alias("copies"))
-    kept = keys.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("cleansed"), F.count("*").alias("deduplicated"))
-    read = normalised.agg(F.count("*").alias("read"))
-    counts = read.unpivot([], ["read"], "stage", "rows")
-    return counts.unionByName(kept.unpivot([], ["cleansed", "deduplicated"], "stage", "rows"))
+    """Exact row counts before and after cleansing and deduplication, in one pass over the three key columns."""
+    keys = normalised.select(
+        "video_id",
+        clean_region(F.col("region")).alias("region"),
+        parse_trending_date(F.col("trending_date")).alias("trending_date_parsed"),
+    )
+    copies = keys.groupBy(*SNAPSHOT_KEY).agg(F.count("*").alias("copies"))
+    keyed = F.col("video_id").isNotNull()
+    counts = copies.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("read"),
+        F.coalesce(F.sum(F.when(keyed, F.col("copies"))), F.lit(0)).alias("cleansed"),
+        F.count_if(keyed).alias("deduplicated"),
+    )
+    return counts.unpivot([], ["read", "cleansed", "deduplicated"], "stage", "rows")

@@ -43,7 +43,7 @@ def sample(df: DataFrame, rows: int | None) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """An input of fewer splits than the session has cores, dealt out to all of them.
+    """A scan of fewer splits than the session has cores, dealt out to all of them.
 
     A file without inner splits is read by one task, and what follows the scan would stay in it. Large
     inputs have splits enough and are left alone.
