@@ -1,6 +1,5 @@
 """Whole runs and incremental runs."""
 
-import json
 from datetime import datetime
 from pathlib import Path
 

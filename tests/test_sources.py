@@ -166,6 +166,23 @@ def test_dynamic_overwrite_leaves_other_partitions(spark, folder):
     assert before == {p: p.stat().st_mtime_ns for p in Path(folder, "t", "region=ca").iterdir()}
 
 
+def test_a_busy_region_is_written_by_many_tasks(spark, folder):
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("video_id"),
+        F.when(F.col("id") % 100 == 0, "ca").otherwise("us").alias("region"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "2m")
+    try:
+        write_partitioned(rows, folder + "/t")
+    finally:
+        spark.conf.set(size, before)
+    files = {region: len(list(Path(folder, "t", f"region={region}").glob("*.parquet"))) for region in ("us", "ca")}
+    assert files["us"] > 3 and files["ca"] == 1
+    assert spark.read.parquet(folder + "/t").count() == 300_000
+
+
 def test_catalog_table_gains_partitions_and_columns(spark, folder):
     store = TableStore(spark, folder, database="layer_test")
     publish(raw(spark, {"region": "us"}).select("video_id", "region"), store, "t")

@@ -95,7 +95,7 @@ def explode_documents(documents: DataFrame, item: T.StructType, whole_object_fal
     if whole_object_fallback:
         itself = F.array(F.struct(*item.fieldNames()))
         items = F.coalesce(items, F.when(F.col("regions").isNull(), itself))
-    # An envelope wins over top-level items; a map's values cannot be NULL keys, so no row is lost here.
+    # A document without regions becomes an envelope of its own region.
     payloads = F.coalesce(
         F.col("regions"),
         F.create_map(own_region, F.struct(items.alias("items"), metadata.alias("_pipeline_metadata"))),

@@ -14,7 +14,7 @@ from trendmark.operators.cleanse import with_audit
 from trendmark.operators.dedup import SNAPSHOT_KEY
 from trendmark.operators.normalize import ARRIVED_AT
 from trendmark.operators.reference import refine_reference
-from trendmark.schemas import CATEGORY_ITEM, CORRUPT, CSV_FILE, document_schema
+from trendmark.schemas import CORRUPT, CSV_FILE, document_schema
 from trendmark.sinks.tables import publish
 from trendmark.sources.csv_snapshots import CSV_GLOB, snapshot_file_columns
 from trendmark.sources.documents import JSON_GLOB, split_corrupt, with_file_columns
