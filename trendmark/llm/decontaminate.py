@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendmark.llm.common import BY_SYMBOL, ready, slices, utf8, word_hashes
+from trendmark.operators.broadcasting import broadcast_if_small
 
 SIZE = 13
 WINDOWS = 200_000
@@ -209,3 +210,10 @@ def judged(found: DataFrame) -> DataFrame:
         .withColumn("n_items", F.size("items").cast("bigint"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` without contaminated documents; all rows of a doc_id (null ids alike) go if one is contaminated."""
+    found = judged(find_items(docs, benchmark, **options)).filter("contaminated")
+    hit = broadcast_if_small(found.select(F.col("doc_id").alias("hit")).distinct())
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti")

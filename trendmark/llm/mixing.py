@@ -156,11 +156,16 @@ def taken_words(sizes: DataFrame, seed: int = 7, weights: Sequence[float] = (3,
     )
 
 
+def _row() -> Column:
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("row")
+
+
 def _named(docs: DataFrame, *order: str) -> DataFrame:
-    """Adds ``row`` and ``part``, which tell rows of one doc_id apart."""
-    window = Window.partitionBy("row").orderBy(*order)
-    row = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    return docs.withColumn("row", row).withColumn("part", F.row_number().over(window))
+    """``docs`` with ``row`` and ``part``, which tell rows of one doc_id apart; these are rare, most rows are part 1."""
+    docs = docs.withColumn("row", _row())
+    if docs.groupBy("row").count().filter("count > 1").isEmpty():
+        return docs.withColumn("part", F.lit(1))
+    return docs.withColumn("part", F.row_number().over(Window.partitionBy("row").orderBy(*order)))
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
@@ -173,11 +178,12 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row as often as the mix takes it."""
-    named = _named(docs, "source", "text")
+    named = _named(docs.select(F.struct("*").alias("whole"), "doc_id", "source", "text"), "source", "text", "whole")
     sizes = named.select("row", "part", "source", count_words(F.col("text")).alias("size"))
     copies = taken_words(sizes, **options).filter("copies > 0").select("row", "part", "copies")
     return (
-        named.join(copies, ["row", "part"])
+        named.select("row", "part", "whole")
+        .join(copies, ["row", "part"])
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(*[named[name] for name in docs.columns])
+        .select("whole.*")
     )

@@ -338,13 +338,19 @@ def join_components(
 
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without all but the smallest doc_id of each component; rows without a doc_id stay."""
-    kept = join_components(docs, **options).filter("doc_id = component_id").select(F.col("doc_id").alias("kept"))
-    alike = Window.partitionBy("doc_id").orderBy("text")
-    return (
-        docs.join(kept, F.col("doc_id") == F.col("kept"))
-        .withColumn("place", F.row_number().over(alike))
-        .filter("place = 1")
-        .select(*[docs[c] for c in docs.columns])
-        .unionByName(docs.filter("doc_id is null"))
-    )
+    """``docs`` without all but the smallest doc_id of each component; rows without a doc_id stay.
+
+    Of several rows of one doc_id the one with the smallest text stays.
+    """
+    found = join_components(docs, **options)
+    dropped = broadcast_if_small(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped")))
+    kept = docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
+    repeated = stored(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("repeated")), "repeated")
+    if repeated.isEmpty():
+        return kept
+    repeated = broadcast_if_small(repeated)
+    again = kept.join(repeated, kept["doc_id"] == repeated["repeated"], "left_semi")
+    again = again.select(F.struct("*").alias("whole"), "doc_id", "text")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "whole"))
+    once = again.withColumn("place", place).filter("place = 1").select("whole.*")
+    return kept.join(repeated, kept["doc_id"] == repeated["repeated"], "left_anti").unionByName(once)

@@ -237,3 +237,16 @@ def score(docs: DataFrame, model: AdditiveModel, keep: list[str]) -> DataFrame:
 
 def accepted(column: str = "score", threshold: float = THRESHOLD) -> Column:
     return F.col(column) >= threshold
+
+
+def keep_accepted(docs: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``."""
+    ready(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                yield piece.filter(pa.array(shared.value.scores(features(*utf8(piece.column("text")))) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
