@@ -124,7 +124,7 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(value + np.uint64(size))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Rows in pieces of about ``limit`` bytes of text; one longer text is a piece of its own."""
     if not batch.num_rows:
         return

@@ -62,7 +62,10 @@ def shingle_sets(words: np.ndarray, bounds: np.ndarray, size: int) -> list[np.nd
 
 
 def _piece_sets(piece: pa.RecordBatch, size: int) -> list[np.ndarray]:
-    return shingle_sets(*word_hashes(*utf8(piece.column("text")), BY_SPACE), size)
+    sets: list[np.ndarray] = []
+    for part in slices(piece, "text"):  # hashing needs some thirty times the bytes of its texts
+        sets += shingle_sets(*word_hashes(*utf8(part.column("text")), BY_SPACE), size)
+    return sets
 
 
 def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -84,7 +87,7 @@ def _sent(docs: DataFrame, size: int, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 60_000):
-                for piece in slices(batch.slice(start, 60_000), "text", 1 << 23):
+                for piece in slices(batch.slice(start, 60_000), "text", 6 << 20):
                     yield pa.RecordBatch.from_pydict(pack(piece), schema=_SENT)
 
     def pack(piece: pa.RecordBatch) -> dict[str, list]:
