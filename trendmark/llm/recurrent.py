@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendmark.llm.common import ready, slices, stored
@@ -97,7 +97,12 @@ class Vocabulary:
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
-    top = [(bytes(r["token"]), r["n"]) for r in counts.orderBy(F.desc("n"), "token").limit(KNOWN).collect()]
+    # The least count of which all words are known: a row for each different count is looked at, not each word.
+    at_least = F.sum("words").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
+    by_count = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("at_least", at_least)
+    least = by_count.filter(F.col("at_least") <= KNOWN).agg(F.min("n")).first()[0]
+    found = counts.filter(F.col("n") >= least).collect() if least is not None else []
+    top = sorted(((bytes(r["token"]), r["n"]) for r in found), key=lambda word: (-word[1], word[0]))
     totals = counts.agg(F.sum("n"), F.count("*")).first()
     frequent = {word for word, _ in top[:WORDS]}
 
