@@ -2,15 +2,15 @@
 
 Both vocabularies used here treat text between white space on its own: a run of white space with the word after it
 (byte-level) or a word (white space dropped) has the same tokens wherever it stands. Pieces are looked up in a
-cache; misses are encoded by the library in one call for each batch. A worker keeps its cache between tasks and
-starts it anew when it has grown past ``LIMIT`` pieces.
+cache; misses are encoded by the library in one call for each batch. A worker keeps its cache between tasks, with
+two generations of about ``LIMIT`` pieces.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 # The white space of the tokenizers' patterns.
 WHITE = " \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -25,7 +25,11 @@ _CACHES: dict[tuple, "Cache"] = {}
 
 
 class Cache:
-    """Values of pieces: those given at the start, and what was encoded since."""
+    """Values of pieces: those given at the start, and what was encoded since.
+
+    Pieces not used while ``LIMIT`` others were are forgotten: a full generation becomes the older one, and what
+    is still asked for moves on to the next.
+    """
 
     def __init__(self, path: str, value: Callable, frequent: dict[str, object]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,16 +37,20 @@ class Cache:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.value, self.frequent = value, frequent
-        self.known = dict(frequent)
+        self.known, self.older = dict(frequent), {}
 
-    def encoded(self, pieces: list[str]) -> list:
-        return [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def encoded(self, pieces: list[str | bytes]) -> list:
+        texts = [p if isinstance(p, str) else p.decode() for p in pieces]
+        return [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def lookup(self, pieces: Iterable[str]) -> Callable[[str], object]:
+    def lookup(self, pieces: set[str | bytes]) -> Callable[[str | bytes], object]:
         """A function from each of ``pieces`` to its value."""
         if len(self.known) > LIMIT:
-            self.known = dict(self.frequent)
-        missing = list(set(pieces) - self.known.keys())
+            self.known, self.older = dict(self.frequent), self.known
+        missing = pieces - self.known.keys()
+        again = missing & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        missing -= again
         long = [p for p in missing if len(p) > LONGEST]
         short = [p for p in missing if len(p) <= LONGEST]
         self.known.update(zip(short, self.encoded(short)))

@@ -12,6 +12,7 @@ their own. An empty table gives an empty file. Other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,12 +132,19 @@ class WaveletMatrix:
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, np.uint16).tobytes()
+    return array("H", ids).tobytes()
+
+
+def _words(text: str) -> list[str] | list[bytes]:
+    """Pieces between white space; in ASCII texts, where the tokenizer would do the same, lower-cased."""
+    if text.isascii() and "<|" not in text:
+        return text.encode().lower().split()
+    return WORDS.findall(text)
 
 
 def tokenized(texts: list[str | None], path: str, end: int) -> list[bytes]:
     """Ids of each text and the end id, two bytes each."""
-    words = [WORDS.findall(text or "") for text in texts]
+    words = [_words(text or "") for text in texts]
     value = cache(path, "ids", _bytes).lookup({w for own in words for w in own})
     last = _bytes([end])
     return [b"".join(map(value, own)) + last for own in words]
