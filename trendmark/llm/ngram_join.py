@@ -3,9 +3,10 @@
 Two documents link when ``100 * |r & s| >= percent * |r | s|``. A document with n shingles then shares at
 least T = ceil(n * percent / 100) of them with each document it links to. The join runs in these steps:
 
-1. *Shared shingles.* Tasks count shingles within a batch of documents and send each distinct shingle once,
-   so that a shingle of a third of all documents still counts once for each batch. Only documents with T
-   shared shingles can link; for most documents the join ends here.
+1. *Shared shingles.* A document may have n - T shingles at most that no other has. Three eighths of all
+   shingles, those with the smallest hashes, are counted: a document without any copy exceeds n - T already among these,
+   and the join ends there for it. Tasks count within a batch of documents and send each distinct shingle once,
+   so that a shingle of a third of all documents still counts once for each batch.
 2. *Classes.* Candidates with equal sets form one class; its smallest id stands for it.
 3. *Short lists.* A class needs one of its n - T + 1 rarest shingles in common with each class it links to.
    Documents that meet in such an inverted list fall into one cluster.
@@ -38,8 +39,10 @@ from trendmark.operators.broadcasting import broadcast_if_small
 
 SHINGLE = 5
 PERCENT = 75
-#: Distinct shingles that one bucket of the count receives, about.
-BUCKET = 4_000_000
+#: Shingles that one bucket of the count receives, about.
+BUCKET = 8_000_000
+#: Eighths of the shingles, by hash, that are counted.
+COUNTED = 3
 #: Shingles of the documents in one chunk of a cluster, about.
 CHUNK = 1_000_000
 #: Short lists with so many entries at most are merged with a heap; more are counted by document at once.
@@ -81,9 +84,11 @@ def _sent(docs: DataFrame, size: int, buckets: int) -> DataFrame:
 
     ``codes`` are low halves of shingles, ``ids`` documents, ``rows`` the place in ``ids`` of each code's
     document; one past the end stands for several documents. Negative buckets carry, for each document,
-    its number of shingles (``codes``) and how many of them the batch itself holds twice (``rows``).
+    its number of shingles (``codes``), and those counted here that are not known to be shared (``rows``).
     """
 
+    top = np.uint64(COUNTED << 61)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 60_000):
@@ -94,19 +99,20 @@ def _sent(docs: DataFrame, size: int, buckets: int) -> DataFrame:
         sets = _piece_sets(piece, size)
         ids = piece.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         n = np.array([len(s) for s in sets], np.int64)
+        sets = [s[: int(np.searchsorted(s, top))] for s in sets]
         every = np.concatenate(sets)
         order = np.argsort(every)
-        every, row = every[order], np.repeat(np.arange(len(sets)), n)[order]
+        every, row = every[order], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
         new = np.ones(len(every), bool)
         new[1:] = every[1:] != every[:-1]
         alone = new.copy()
         alone[:-1] &= new[1:]
-        twice = np.bincount(row[~alone], minlength=len(sets))
+        single = np.bincount(row[alone], minlength=len(sets))
         # A shingle of several documents is known as shared here; it is sent once, for other batches.
         once, row, every = alone[new], row[new], every[new]
-        out = {"bucket": [-1 - int(ids[0]) % (1 << 40)], "ids": [ids.tobytes()], "rows": [twice.tobytes()], "codes": [n.tobytes()]}
+        out = {"bucket": [-1 - int(ids[0]) % (1 << 40)], "ids": [ids.tobytes()], "rows": [single.tobytes()], "codes": [n.tobytes()]}
         # Sorted by value, so a bucket, taken from the high bits, is a run.
-        limits = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets)
+        limits = (np.arange(1, buckets, dtype=np.uint64) * (top >> np.uint64(32))) // np.uint64(buckets)
         edges = [0, *np.searchsorted(every >> np.uint64(32), limits).tolist(), len(every)]
         for bucket, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             if a < b:
@@ -123,10 +129,10 @@ def _sent(docs: DataFrame, size: int, buckets: int) -> DataFrame:
 
 
 def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """For each document, how many of a bucket's shingles other documents have, too."""
+    """For each document, how many of a bucket's shingles are found in another batch, with a minus."""
     if key[0] < 0:
-        ids, shared, n = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]]) for c in ("ids", "rows", "codes"))
-        return pd.DataFrame({"doc_id": ids, "n": n, "shared": shared})
+        ids, single, n = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]]) for c in ("ids", "rows", "codes"))
+        return pd.DataFrame({"doc_id": ids, "n": n, "single": single})
     ids = [np.frombuffer(x, np.int64) for x in rows["ids"]]
     codes = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["codes"]])
     # Documents are numbered on; 0 stands for the several documents of a batch.
@@ -145,7 +151,7 @@ def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     shared[:-1] |= same
     counts = np.bincount(owner[shared], minlength=1 + sum(map(len, ids)))[1:]
     found = np.flatnonzero(counts)
-    return pd.DataFrame({"doc_id": np.concatenate(ids)[found], "n": np.zeros(len(found), np.int64), "shared": counts[found]})
+    return pd.DataFrame({"doc_id": np.concatenate(ids)[found], "n": np.zeros(len(found), np.int64), "single": -counts[found]})
 
 
 def _candidate_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -318,14 +324,14 @@ def join_components(
     docs = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counts = stored(
-        _sent(docs, size, max(1, -(-total // (6 * bucket))))
+        _sent(docs, size, max(1, -(-total * COUNTED // (48 * bucket))))
         .groupBy("bucket")
-        .applyInPandas(_shared, "doc_id bigint, n bigint, shared bigint")
+        .applyInPandas(_shared, "doc_id bigint, n bigint, single bigint")
         .groupBy("doc_id")
-        .agg(F.max("n").alias("n"), F.sum("shared").alias("shared")),
+        .agg(F.max("n").alias("n"), F.sum("single").alias("single")),
         "counts",
     )
-    candidates = counts.filter((F.col("n") > 0) & (F.col("shared") >= F.ceil(F.col("n") * percent / 100)))
+    candidates = counts.filter((F.col("n") > 0) & (F.col("single") <= F.col("n") - F.ceil(F.col("n") * percent / 100)))
     chosen = broadcast_if_small(candidates.select("doc_id"))
     sets = stored(_candidate_sets(docs.join(chosen, "doc_id"), size), "sets")
     members = sets.join(sets.groupBy("digest").agg(F.min("doc_id").alias("first")), "digest")
