@@ -134,17 +134,16 @@ def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         ids, single, n = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]]) for c in ("ids", "rows", "codes"))
         return pd.DataFrame({"doc_id": ids, "n": n, "single": single})
     ids = [np.frombuffer(x, np.int64) for x in rows["ids"]]
-    codes = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["codes"]])
-    # Documents are numbered on; 0 stands for the several documents of a batch.
-    firsts = np.cumsum([1, *map(len, ids[:-1])])
-    owner = np.concatenate(
-        [
-            np.where((r := np.frombuffer(x, np.uint16)) < len(i), r.astype(np.int32) + f, 0)
-            for x, i, f in zip(rows["rows"], ids, firsts.tolist())
-        ]
-    )
-    order = np.argsort(codes)
-    codes, owner = codes[order], owner[order]
+    # Each code with its document, sorted in place as one number. Documents are numbered on; 0 stands for several.
+    both = np.empty(sum(len(x) for x in rows["codes"]) // 4, np.uint64)
+    codes, owner = both.view(np.uint32)[1::2], both.view(np.uint32)[::2]
+    at, first = 0, 1
+    for code, row, own in zip(rows["codes"], rows["rows"], ids):
+        row = np.frombuffer(row, np.uint16)
+        codes[at : at + len(row)] = np.frombuffer(code, np.uint32)
+        owner[at : at + len(row)] = np.where(row < len(own), row + np.uint32(first), 0)
+        at, first = at + len(row), first + len(own)
+    both.sort()
     same = codes[1:] == codes[:-1]
     shared = np.zeros(len(codes), bool)
     shared[1:] |= same
