@@ -31,7 +31,7 @@ TREES = 4
 LEAF = 200
 SAMPLE = 8192
 ROUNDS = 5
-BEAM = 96
+BEAM = 256
 #: Of each list around a vector, this many of a vector's best new pairs are kept a round.
 OFFERS = 8
 
