@@ -190,10 +190,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, windows:
         F.array_sort(F.flatten(F.collect_list("spans"))),
         F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"),
         lambda out, s: F.when(
-            s["a"] <= F.element_at(out, -1)["b"],
+            s["a"] <= F.try_element_at(out, F.lit(-1))["b"],
             F.concat(
                 F.slice(out, 1, F.size(out) - 1),
-                F.array(F.struct(F.element_at(out, -1)["a"].alias("a"), F.greatest(F.element_at(out, -1)["b"], s["b"]).alias("b"))),
+                F.array(F.struct(F.try_element_at(out, F.lit(-1))["a"].alias("a"), F.greatest(F.try_element_at(out, F.lit(-1))["b"], s["b"]).alias("b"))),
             ),
         ).otherwise(F.concat(out, F.array(s))),
     )
