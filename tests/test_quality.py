@@ -4,14 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import raw
-from trendmark.config import (
-    DEFAULT_DATABASE,
-    REFERENCE,
-    STATISTICS,
-    QualityRules,
-    quality_rules_from,
-    resolve_database,
-)
+from trendmark.config import REFERENCE, STATISTICS, QualityRules
 from trendmark.operators.quality import (
     TableChecks,
     failures,
@@ -39,19 +32,6 @@ def many(spark, n, *changes):
     return raw(spark, *[*changes, *[{} for _ in range(n - len(changes))]])
 
 
-def test_database_is_taken_from_the_request_first():
-    assert resolve_database({"database": "event-db"}, {}) == "event-db"
-    assert resolve_database({"database": "event-db"}, {"GLUE_DB_SILVER": "env-db"}) == "event-db"
-    assert resolve_database({}, {"GLUE_DB_SILVER": "env-db"}) == "env-db"
-    assert resolve_database({}, {}) == DEFAULT_DATABASE
-
-
-def test_thresholds_can_be_overridden():
-    rules = quality_rules_from({"DQ_MIN_ROW_COUNT": "3", "DQ_MAX_NULL_PERCENT": "7.5"})
-    assert (rules.min_rows, rules.max_null_pct) == (3, 7.5)
-    assert (quality_rules_from({}).min_rows, quality_rules_from({}).max_null_pct) == (10, 5.0)
-
-
 @pytest.mark.parametrize(("rows", "ok"), [(9, False), (10, True)])
 def test_row_count(spark, rows, ok):
     assert passed(spark, many(spark, rows), "row_count") is ok

@@ -258,6 +258,19 @@ def test_convert_in_bounded_jobs(spark, folder, monkeypatch):
     assert spark.read.parquet(folder + "/out").agg(F.sum("n")).first()[0] == 10
 
 
+def test_types_hold_for_a_layout_over_all_groups(spark, folder, monkeypatch):
+    monkeypatch.setattr("trendmark.sinks.convert.FILES_PER_JOB", 1)
+    put(folder, "in/a.csv", "id,n,d,e\n1,1,2024-01-01,\n")
+    put(folder, "in/b.csv", "id,n,d,e\nx,1.5,2024-01-01 10:00:00,7\n")
+    put(folder, "in/c.csv", "id,n,d,e\n")
+    manifest = convert_csv(spark, folder + "/in", folder + "/out")
+    assert {(r.dest, r.rows) for r in manifest.collect()} == {("a", 1), ("b", 1), ("c", 0)}
+    found = spark.read.parquet(folder + "/out")
+    kinds = dict(found.dtypes)
+    assert (kinds["id"], kinds["n"], kinds["d"], kinds["e"]) == ("string", "double", "timestamp", "int")
+    assert {(r.id, r.n, r.e) for r in found.collect()} == {("1", 1.0, None), ("x", 1.5, 7)}
+
+
 def test_convert_nothing(spark, folder):
     put(folder, "in/empty.csv", "")
     assert convert_csv(spark, folder + "/in", folder + "/out").count() == 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 STATISTICS = "clean_statistics"
@@ -13,10 +12,6 @@ CATEGORY = "category_analytics"
 
 UNKNOWN = "Unknown"
 UNKNOWN_REGION = "unknown"
-DEFAULT_DATABASE = "medallion_silver"
-
-# The settings a deployment may give, the first that is set counts.
-DATABASE_VARIABLES = ("GLUE_DB_SILVER", "SILVER_DATABASE")
 
 
 @dataclass(frozen=True)
@@ -54,19 +49,3 @@ class QualityRules:
             REFERENCE: TableRules(("id", "region")),
         }
     )
-
-
-def resolve_database(request: Mapping[str, str], environment: Mapping[str, str] | None = None) -> str:
-    """Database to check: the request names it, else the environment, else the default."""
-    environment = environment or {}
-    named = [request.get("database"), *[environment.get(variable) for variable in DATABASE_VARIABLES]]
-    return next((name for name in named if name), DEFAULT_DATABASE)
-
-
-def quality_rules_from(environment: Mapping[str, str]) -> QualityRules:
-    """Quality thresholds with the two settings an operator may override from outside."""
-    defaults = QualityRules()
-    return QualityRules(
-        min_rows=int(environment.get("DQ_MIN_ROW_COUNT", defaults.min_rows)),
-        max_null_pct=float(environment.get("DQ_MAX_NULL_PERCENT", defaults.max_null_pct)),
-    )

@@ -39,7 +39,8 @@ def build_session(app_name: str = "trendmark", master: str | None = None, **conf
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:

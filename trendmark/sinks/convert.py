@@ -47,17 +47,58 @@ def _output_name(source: Column, shared: Column) -> Column:
     return F.when(shared, F.regexp_replace(whole, "/", "__")).otherwise(file_stem(source))
 
 
-def _layouts(files: DataFrame) -> Iterator[tuple[bool, list[str]]]:
+def _layouts(files: DataFrame) -> Iterator[tuple[str, bool, list[str]]]:
     """Files of one layout and naming at a time, never more than a bounded number of paths."""
     listed = files.orderBy("header", "shared", "source").toLocalIterator()
-    for (_, shared), rows in groupby(listed, key=lambda row: (row.header, row.shared)):
+    for (header, shared), rows in groupby(listed, key=lambda row: (row.header, row.shared)):
         while paths := [row.source for row in islice(rows, FILES_PER_JOB)]:
-            yield shared, paths
-
-
-def _convert(spark: SparkSession, paths: list[str], shared: bool, dest: str, multi_line: bool) -> None:
-    inferred = read_csv_inferred(spark, paths, multi_line)
-    schema = T.StructType([*inferred.schema.fields, T.StructField(CORRUPT, T.StringType())])
+            yield header, shared, paths
+
+
+def _inferred(spark: SparkSession, paths: list[str], multi_line: bool) -> T.StructType:
+    """Types of a group of files; columns without any value have none."""
+    rows = read_csv_inferred(spark, paths, multi_line)
+    texts = [name for name, kind in rows.dtypes if kind == "string"]
+    if not texts:
+        return rows.schema
+    used = rows.agg(*[F.count(F.col(f"`{name}`")).alias(str(i)) for i, name in enumerate(texts)]).first()
+    unknown = {name for i, name in enumerate(texts) if not used[i]}
+    return T.StructType([T.StructField(f.name, T.NullType()) if f.name in unknown else f for f in rows.schema])
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that inference knows for values of both."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    kinds = {type(a), type(b)}
+    if kinds <= {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    if kinds <= {T.IntegerType, T.LongType, T.DecimalType, T.DoubleType}:
+        if T.DoubleType in kinds:
+            return T.DoubleType()
+        if T.DecimalType not in kinds:
+            return T.LongType()
+        whole = [x.precision - x.scale if isinstance(x, T.DecimalType) else 19 for x in (a, b)]
+        scale = max(x.scale if isinstance(x, T.DecimalType) else 0 for x in (a, b))
+        return T.DecimalType(max(whole) + scale, scale) if max(whole) + scale <= 38 else T.DoubleType()
+    return T.StringType()
+
+
+def _layout_schemas(spark: SparkSession, files: DataFrame, multi_line: bool) -> dict[str, T.StructType]:
+    """One schema for each header line, wide enough for all of its files however many groups they are read in."""
+    found: dict[str, T.StructType] = {}
+    for header, _, paths in _layouts(files):
+        new = _inferred(spark, paths, multi_line)
+        old = found.get(header, new)
+        found[header] = T.StructType([T.StructField(n.name, wider(o.dataType, n.dataType)) for o, n in zip(old, new)])
+    text = lambda kind: T.StringType() if isinstance(kind, T.NullType) else kind
+    return {h: T.StructType([T.StructField(f.name, text(f.dataType)) for f in schema]) for h, schema in found.items()}
+
+
+def _convert(spark: SparkSession, paths: list[str], schema: T.StructType, shared: bool, dest: str, multi_line: bool) -> None:
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -80,15 +121,15 @@ def _convert(spark: SparkSession, paths: list[str], shared: bool, dest: str, mul
 def convert_csv(spark: SparkSession, path: str, dest: str, multi_line: bool = True) -> DataFrame:
     """Convert every CSV file below ``path`` to ``dest/source_name=<name>`` and return the manifest.
 
-    Files are read together with the others of their layout (the same header line), not one by one.
+    Files are read together with the others of their layout (the same header line), not one by one, in groups of
+    bounded size; types hold for all files of a layout, also over several groups.
     Rows that do not fit are kept whole in the corrupt column.
     """
     files = durable(list_csv_files(spark, path))
-    converted = False
-    for shared, paths in _layouts(files):
-        _convert(spark, paths, shared, dest, multi_line)
-        converted = True
-    if not converted:
+    schemas = _layout_schemas(spark, files, multi_line)
+    for header, shared, paths in _layouts(files):
+        _convert(spark, paths, schemas[header], shared, dest, multi_line)
+    if not schemas:
         return files.select("source", "dest", F.lit(0).cast("bigint").alias("rows"))
     return conversion_manifest(files, spark.read.parquet(dest))
 
@@ -96,4 +137,6 @@ def convert_csv(spark: SparkSession, path: str, dest: str, multi_line: bool = Tr
 def conversion_manifest(files: DataFrame, converted: DataFrame) -> DataFrame:
     """One row for each converted file: source, output name, rows written."""
     rows = converted.groupBy(F.col("source_name").alias("dest")).agg(F.count("*").alias("rows"))
-    return files.select("source", "dest").join(rows, "dest", "left").select("source", "dest", "rows")
+    return files.select("source", "dest").join(rows, "dest", "left").select(
+        "source", "dest", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")
+    )
