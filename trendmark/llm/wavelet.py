@@ -11,6 +11,7 @@ their own. An empty table gives an empty file. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -56,7 +57,7 @@ class WaveletMatrix:
         zeros, planes, ranks = [], [], []
         for shift in range(bits - 1, -1, -1):
             ones = (ids >> shift) & 1 == 1
-            low, high = ids[~ones], ids[ones]
+            low, high = ids.take(np.flatnonzero(~ones)), ids.take(np.flatnonzero(ones))
             packed = np.packbits(ones, bitorder="little")
             whole = np.zeros(-(-len(packed) * 8 // BLOCK) * (BLOCK // 64) + 1, np.uint64)
             whole.view(np.uint8)[: len(packed)] = packed
@@ -125,12 +126,33 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             out = np.empty_like(ids)
-            out[~ones] = ids[: self.zeros[level]]
-            out[ones] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.planes) - 1 - level))
+            out[np.flatnonzero(~ones)] = ids[: self.zeros[level]]
+            out[np.flatnonzero(ones)] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.planes) - 1 - level))
             ids = out
         return ids
 
 
+# Letters of Latin script that stay as they are under composition, and all visible ASCII.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_PLAIN = re.compile(f"[!-~{_LATIN}]+")
+# Where the tokenizer cuts a word of these characters after lower-casing it.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+
+
+# A byte as the vocabulary writes it: visible ones as themselves in Latin-1, all others from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = dict(zip([b for b in range(256) if b not in _VISIBLE], range(256, 512)))
+
+
+def _parts(word: str | bytes) -> list[str] | None:
+    """What the tokenizer's model gets of a word; None for words with other characters or a special string."""
+    text = word if isinstance(word, str) else word.decode()
+    if "<|" in text or not _PLAIN.fullmatch(text):
+        return None
+    parts = _PARTS.findall(text.lower())
+    return parts if text.isascii() else [p.encode().decode("latin-1").translate(_BYTES) for p in parts]
+
+
 def _bytes(ids: list[int]) -> bytes:
     return array("H", ids).tobytes()
 
@@ -145,7 +167,7 @@ def _words(text: str) -> list[str] | list[bytes]:
 def tokenized(texts: list[str | None], path: str, end: int) -> list[bytes]:
     """Ids of each text and the end id, two bytes each."""
     words = [_words(text or "") for text in texts]
-    value = cache(path, "ids", _bytes).lookup({w for own in words for w in own})
+    value = cache(path, "ids", _bytes, parts=_parts).lookup({w for own in words for w in own})
     last = _bytes([end])
     return [b"".join(map(value, own)) + last for own in words]
 
