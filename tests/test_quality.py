@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,16 @@ def test_inline_counts(spark):
         "video_id": 0, "title": 1, "channel_title": 0, "views": 1
     }
     assert inline_negative_views(df).first().negative_views == 1
+
+
+def test_broken_file_of_one_table_does_not_stop_the_others(spark, folder):
+    spark.range(3).write.parquet(folder + "/broken")
+    for part in Path(folder, "broken").glob("*.parquet"):
+        part.write_bytes(b"no parquet")
+    readers = {
+        "broken": lambda: spark.read.schema("id bigint").parquet(folder + "/broken"),
+        "whole": lambda: spark.range(3),
+    }
+    rows = run_checks(spark, readers, as_of=NOW).collect()
+    assert [(r.check, r.passed) for r in rows if r.table == "broken"] == [("read_table", False)]
+    assert [r.value for r in rows if r.table == "whole" and r.check == "row_count"] == [3]

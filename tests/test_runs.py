@@ -218,3 +218,20 @@ def test_csv_stream_and_bounded_dedup(spark, folder):
     query = stream.writeStream.format("parquet").option("path", folder + "/out")
     query.option("checkpointLocation", folder + "/checkpoint").trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.region for r in spark.read.parquet(folder + "/out").collect()) == ["ca", "us"]
+
+
+def test_older_reference_document_in_a_later_batch_is_ignored(spark, folder):
+    store = TableStore(spark, folder + "/silver")
+    document = lambda day, name: {"fetched_at": f"2024-01-{day}T00:00:00+00:00", "items": [category("1", name)]}
+    for day, name in [("05", "new"), ("01", "old")]:
+        put(folder, f"raw/region=US/{name}.json", document(day, name))
+        stream = stream_documents(spark, folder + "/raw", CATEGORY_ITEM)
+        run_available(stream, ReferenceArrivals(store, folder + "/bad", NOW), folder + "/checkpoint")
+    assert [r["snippet.title"] for r in store.read(REFERENCE).collect()] == ["new"]
+
+
+def test_unreadable_statistics_documents_are_kept_and_counted(spark, config, folder):
+    put(folder, "raw/region=us/broken.json", "{ not json")
+    result = run_medallion(spark, config, NOW)
+    assert result.counts["corrupt_documents"] == 1 and result.counts["raw_rows"] == 27
+    assert spark.read.parquet(folder + "/silver/quarantined_documents").count() == 1

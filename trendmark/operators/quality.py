@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,15 +166,24 @@ def run_checks(
     rules: QualityRules | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Check rows of all tables; a table that cannot be resolved fails and the others go on."""
+    """Check rows of all tables; a table that cannot be resolved or read fails and the others go on.
+
+    Each table is aggregated by a job of its own, so that broken files of one spoil nothing else; only its check
+    rows come to the driver. Failures that are not about reading the table end the run.
+    """
     rules = rules or QualityRules()
     results = []
     for table, reader in readers.items():
         try:
             df = sample(reader(), rules.sample_rows)
-            results.append(TableChecks(df, table, rules, as_of).all())
+            found = TableChecks(df, table, rules, as_of).all().select(*CHECK_ROW.fieldNames()).collect()
+            results.append(spark.createDataFrame(found, CHECK_ROW))
         except AnalysisException as error:
             results.append(unreadable_table(spark, table, error.getCondition() or str(error)))
+        except (PySparkException, Py4JJavaError) as error:
+            if "FAILED_READ_FILE" not in str(error):
+                raise
+            results.append(unreadable_table(spark, table, "FAILED_READ_FILE"))
     if not results:
         return spark.createDataFrame([], CHECK_ROW)
     combined = results[0]

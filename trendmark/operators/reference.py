@@ -6,13 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendmark.functions import clean_region, flatten_struct
-from trendmark.operators.broadcasting import broadcast_if_small
 from trendmark.schemas import CATEGORY_ITEM
 from trendmark.sources.documents import explode_documents
 
-REQUIRED = ("id", "snippet.title")
-
-
 def category_items(documents: DataFrame, fallback: bool = True) -> DataFrame:
     """One row per category item with dotted columns, from either document layout."""
     return flatten_struct(explode_documents(documents, CATEGORY_ITEM, fallback))
@@ -27,19 +23,13 @@ def keep_last_category(items: DataFrame) -> DataFrame:
     return items.withColumn("_nth", F.row_number().over(newest)).filter(F.col("_nth") == 1).drop("_nth")
 
 
-def missing_category_columns(items: DataFrame) -> list[str]:
-    return sorted(set(REQUIRED) - set(items.columns))
-
-
 def newest_document(items: DataFrame) -> DataFrame:
-    """The rows of each region's newest document, which replaces all earlier ones of the region."""
-    version = F.struct("_arrived_at", "_source_file")
-    newest = items.groupBy(F.col("region").alias("_of")).agg(F.max(version).alias("_newest"))
-    return items.join(
-        broadcast_if_small(newest),
-        F.col("region").eqNullSafe(F.col("_of")) & version.eqNullSafe(F.col("_newest")),
-        "left_semi",
-    )
+    """The rows of each region's newest document, which replaces all earlier ones of the region.
+
+    One pass: tasks drop rows of older documents before the shuffle, so a region sends those of its newest alone.
+    """
+    newest = Window.partitionBy("region").orderBy(F.col("_arrived_at").desc(), F.col("_source_file").desc())
+    return items.withColumn("_age", F.rank().over(newest)).filter(F.col("_age") == 1).drop("_age")
 
 
 def refine_reference(documents: DataFrame) -> DataFrame:

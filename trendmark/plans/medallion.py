@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from trendmark.config import CATEGORY, CHANNEL, REFERENCE, STATISTICS, TRENDING, QualityRules
 from trendmark.operators.cleanse import with_audit
@@ -24,6 +25,8 @@ from trendmark.sources import (
     split_corrupt,
 )
 
+QUARANTINE = "quarantined_documents"
+
 
 @dataclass(frozen=True)
 class MedallionConfig:
@@ -63,12 +66,18 @@ class QualityGateError(RuntimeError):
 
 
 def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: datetime | None = None) -> dict[str, int]:
-    """Read both kinds of snapshots and write clean statistics; without a source nothing is written."""
-    csv_rows = json_items = None
+    """Read both kinds of snapshots and write clean statistics; without a source nothing is written.
+
+    Documents that cannot be parsed are written to the table ``QUARANTINE`` of Silver and counted.
+    """
+    csv_rows = json_items = quarantined = None
     if config.csv_path:
         csv_rows = read_csv_snapshots(spark, config.csv_path, config.regions, config.multi_line)
     if config.documents_path:
-        readable, _ = split_corrupt(read_documents(spark, config.documents_path, VIDEO_ITEM, config.multi_line))
+        readable, corrupt = split_corrupt(read_documents(spark, config.documents_path, VIDEO_ITEM, config.multi_line))
+        quarantined = Observation("quarantined")
+        corrupt = corrupt.observe(quarantined, F.count(F.lit(1)).alias("rows"))
+        corrupt.write.mode("overwrite").parquet(config.silver.path(QUARANTINE))
         json_items = explode_documents(readable, VIDEO_ITEM)
     normalised = combine_sources(csv_rows, json_items)
     if normalised is None:
@@ -76,14 +85,15 @@ def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: d
     counts = StageCounts()
     clean = silver_statistics(counts.watch_raw(normalised), config.job_name, now)
     publish(counts.watch_clean(clean), config.silver, STATISTICS, config.statistics_partitions)
-    return counts.report()
+    found = counts.report()
+    return found if quarantined is None else found | {"corrupt_documents": quarantined.get["rows"]}
 
 
 def build_silver_reference(spark: SparkSession, config: MedallionConfig, now: datetime | None = None) -> None:
     if not config.categories_path:
         return
     readable, _ = split_corrupt(read_documents(spark, config.categories_path, CATEGORY_ITEM, config.multi_line))
-    rows = refine_reference(readable).drop("_arrived_at")
+    rows = refine_reference(readable)
     publish(with_audit(rows, "_ingestion_timestamp", now, as_text=True), config.silver, REFERENCE)
 
 

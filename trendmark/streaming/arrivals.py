@@ -13,8 +13,9 @@ from trendmark.config import REFERENCE
 from trendmark.operators.cleanse import with_audit
 from trendmark.operators.dedup import SNAPSHOT_KEY
 from trendmark.operators.normalize import ARRIVED_AT
-from trendmark.operators.reference import refine_reference
+from trendmark.operators.reference import newest_document, refine_reference
 from trendmark.schemas import CORRUPT, CSV_FILE, document_schema
+from trendmark.session import durable
 from trendmark.sinks.tables import publish
 from trendmark.sources.csv_snapshots import CSV_GLOB, snapshot_file_columns
 from trendmark.sources.documents import JSON_GLOB, split_corrupt, with_file_columns
@@ -28,6 +29,7 @@ def stream_csv_snapshots(
     reader = (
         spark.readStream.schema(CSV_FILE)
         .option("header", True)
+        .option("enforceSchema", False)  # a header in another order is an error, not swapped values
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("recursiveFileLookup", True)
@@ -76,7 +78,10 @@ def first_seen(snapshots: DataFrame, delay: str = "48 hours") -> DataFrame:
 
 
 class ReferenceArrivals:
-    """Handler of new category documents: good ones refresh their region, bad ones go to quarantine."""
+    """Handler of new category documents: good ones refresh their region, bad ones go to quarantine.
+
+    A document older than the one its region has is ignored, whichever batch brings it.
+    """
 
     def __init__(self, store: TableStore, quarantine: str, now: datetime | None = None):
         self.store = store
@@ -87,8 +92,14 @@ class ReferenceArrivals:
         readable, corrupt = split_corrupt(batch)
         # Keyed by batch, so that a repeated batch replaces its own rows.
         corrupt.write.mode("overwrite").parquet(f"{self.quarantine.rstrip('/')}/batch={batch_id}")
-        rows = refine_reference(readable.filter(_has_content(readable))).drop(ARRIVED_AT)
-        publish(with_audit(rows, "_ingestion_timestamp", self.now, as_text=True), self.store, REFERENCE)
+        rows = with_audit(
+            refine_reference(readable.filter(_has_content(readable))), "_ingestion_timestamp", self.now, as_text=True
+        )
+        present = self.store.read_if_present(REFERENCE, True)
+        if present is not None:
+            # Written apart first: the table cannot be replaced while it is read.
+            rows = durable(newest_document(rows.unionByName(present, allowMissingColumns=True)))
+        publish(rows, self.store, REFERENCE)
 
 
 def _has_content(documents: DataFrame):
