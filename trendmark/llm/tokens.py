@@ -2,11 +2,8 @@
 
 Both vocabularies used here treat text between white space on its own: a run of white space with the word after it
 (byte-level) or a word (white space dropped) has the same tokens wherever it stands. Pieces are looked up in a
-cache; misses are encoded by the library in one call for each batch. A worker keeps its cache between tasks, with
-two generations of about ``LIMIT`` pieces.
-
-A cache may be given a function that normalizes a missing piece and cuts it as the tokenizer would: such a piece goes
-to the tokenizer's model at once, which takes a third of the time.
+cache. ``Cache`` encodes all misses of a batch in one call; ``Recent`` makes the value of a miss when it is asked for. A
+worker keeps its caches between tasks, with two generations of about ``LIMIT`` pieces each.
 """
 
 from __future__ import annotations
@@ -15,6 +12,8 @@ import os
 import re
 from collections.abc import Callable
 
+from tokenizers import Tokenizer
+
 # The white space of the tokenizers' patterns.
 WHITE = " \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f"[^{WHITE}]+")
@@ -27,33 +26,49 @@ LONGEST = 64
 _CACHES: dict[tuple, "Cache"] = {}
 
 
-class Cache:
-    """Values of pieces: those given at the start, and what was encoded since.
+def load(path: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(path)
 
-    Pieces not used while ``LIMIT`` others were are forgotten: a full generation becomes the older one, and what
+
+class Recent(dict):
+    """Values of pieces, made when first asked for.
+
+    Pieces not used while ``limit`` others were are forgotten: a full generation becomes the older one, and what
     is still asked for moves on to the next.
     """
 
-    def __init__(self, path: str, value: Callable, frequent: dict[str, object], parts: Callable | None = None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def __init__(self, limit: int = LIMIT):
+        super().__init__()
+        self.limit, self.older = limit, {}
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.value, self.frequent, self.parts = value, frequent, parts
-        self.known, self.older = dict(frequent), {}
+    def made(self, piece: str | bytes) -> object:
+        raise NotImplementedError
 
-    def encoded(self, pieces: list[str | bytes]) -> list:
-        texts = [p if isinstance(p, str) else p.decode() for p in pieces]
-        return [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def __missing__(self, piece: str | bytes) -> object:
+        value = self.older.get(piece)
+        if value is None:
+            value = self.made(piece)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = value
+        return value
+
+
+class Cache:
+    """Values of pieces: those given at the start, and what was encoded since; generations as in ``Recent``."""
+
+    def __init__(self, path: str, value: Callable, frequent: dict[str, object]):
+        self.tokenizer = load(path)
+        self.value, self.frequent = value, frequent
+        self.known, self.older = dict(frequent), {}
 
-    def assembled(self, missing: set[str | bytes]) -> set[str | bytes]:
-        """Take up the pieces that can be cut into parts; the others are returned."""
-        cut = {p: own for p in missing if len(p) <= LONGEST and (own := self.parts(p))}
-        tokenize = self.tokenizer.model.tokenize
-        self.known.update((p, self.value([t.id for part in own for t in tokenize(part)])) for p, own in cut.items())
-        return missing - cut.keys()
+    def encoded(self, pieces: list[str]) -> list:
+        return [self.value(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def lookup(self, pieces: set[str | bytes]) -> Callable[[str | bytes], object]:
+    def lookup(self, pieces: set[str]) -> Callable[[str], object]:
         """A function from each of ``pieces`` to its value."""
         if len(self.known) > LIMIT:
             self.known, self.older = dict(self.frequent), self.known
@@ -61,8 +76,6 @@ class Cache:
         again = missing & self.older.keys()
         self.known.update((p, self.older[p]) for p in again)
         missing -= again
-        if self.parts:
-            missing = self.assembled(missing)
         long = [p for p in missing if len(p) > LONGEST]
         short = [p for p in missing if len(p) <= LONGEST]
         self.known.update(zip(short, self.encoded(short)))
@@ -72,11 +85,9 @@ class Cache:
         return lambda p: extra[p] if p in extra else self.known[p]
 
 
-def cache(
-    path: str, label: str, value: Callable, frequent: dict[str, object] | None = None, parts: Callable | None = None
-) -> Cache:
+def cache(path: str, label: str, value: Callable, frequent: dict[str, object] | None = None) -> Cache:
     """This worker's cache for a tokenizer file."""
     key = (path, label)
     if key not in _CACHES or (frequent is not None and _CACHES[key].frequent is not frequent and _CACHES[key].frequent != frequent):
-        _CACHES[key] = Cache(path, value, frequent or {}, parts)
+        _CACHES[key] = Cache(path, value, frequent or {})
     return _CACHES[key]

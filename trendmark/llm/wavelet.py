@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from trendmark.llm.common import ready, slices
-from trendmark.llm.tokens import WORDS, cache
+from trendmark.llm.tokens import LIMIT, WORDS, Recent, load
 
 #: Ids in a shard, about; a longer document has a shard of its own.
 SHARD = 1 << 20
@@ -134,9 +135,11 @@ class WaveletMatrix:
 
 # Letters of Latin script that stay as they are under composition, and all visible ASCII.
 _LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
-_PLAIN = re.compile(f"[!-~{_LATIN}]+")
+_OTHER = re.compile(f"<\\||[^!-~{_LATIN}]")
 # Where the tokenizer cuts a word of these characters after lower-casing it.
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+# White space to ``str.split`` that is none to the tokenizer.
+_NOT_WHITE = "\x1c\x1d\x1e\x1f"
 
 
 # A byte as the vocabulary writes it: visible ones as themselves in Latin-1, all others from 256 on.
@@ -144,13 +147,32 @@ _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = dict(zip([b for b in range(256) if b not in _VISIBLE], range(256, 512)))
 
 
-def _parts(word: str | bytes) -> list[str] | None:
-    """What the tokenizer's model gets of a word; None for words with other characters or a special string."""
-    text = word if isinstance(word, str) else word.decode()
-    if "<|" in text or not _PLAIN.fullmatch(text):
-        return None
-    parts = _PARTS.findall(text.lower())
-    return parts if text.isascii() else [p.encode().decode("latin-1").translate(_BYTES) for p in parts]
+class PartIds(Recent):
+    """Ids of lower-case parts of words, by the tokenizer's model."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenize = tokenizer.model.tokenize
+
+    def made(self, part: str) -> bytes:
+        return _bytes([t.id for t in self.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES))])
+
+
+class WordIds(Recent):
+    """Ids of words between white space, put together from their parts where the word is of plain characters."""
+
+    def __init__(self, path: str):
+        super().__init__(LIMIT // 2)  # a word's parts, kept longer, give its ids again
+        self.tokenizer = load(path)
+        self.parts = PartIds(self.tokenizer)
+
+    def made(self, word: str | bytes) -> bytes:
+        text = word if isinstance(word, str) else word.decode()
+        if text.isascii() and text.isalpha():
+            return self.parts[text.lower()]
+        if _OTHER.search(text):
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -161,15 +183,18 @@ def _words(text: str) -> list[str] | list[bytes]:
     """Pieces between white space; in ASCII texts, where the tokenizer would do the same, lower-cased."""
     if text.isascii() and "<|" not in text:
         return text.encode().lower().split()
-    return WORDS.findall(text)
+    return WORDS.findall(text) if any(c in text for c in _NOT_WHITE) else text.split()
 
 
 def tokenized(texts: list[str | None], path: str, end: int) -> list[bytes]:
     """Ids of each text and the end id, two bytes each."""
-    words = [_words(text or "") for text in texts]
-    value = cache(path, "ids", _bytes, parts=_parts).lookup({w for own in words for w in own})
-    last = _bytes([end])
-    return [b"".join(map(value, own)) + last for own in words]
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    ids, last = _WORD_IDS[path].__getitem__, _bytes([end])
+    return [b"".join(map(ids, _words(text or ""))) + last for text in texts]
+
+
+_WORD_IDS: dict[str, WordIds] = {}
 
 
 def write_shards(docs: DataFrame, target: str, path: str, end: int = 2, shard: int = SHARD) -> None:
