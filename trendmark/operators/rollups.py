@@ -36,14 +36,12 @@ def trending_rollup(statistics: DataFrame, approx_rsd: float | None = None) -> D
     )
 
 
-def channel_rollup(enriched: DataFrame) -> DataFrame:
-    """Reach, engagement, span and categories of each channel in each region (not ranked yet).
+CHANNEL_KEY = ("channel_title", "region")
 
-    The categories are gathered apart, from distinct names: beside the distinct count of videos every
-    task would hold one set for each video, and over all rows one for each channel.
-    """
-    key = ("channel_title", "region")
-    totals = enriched.groupBy(*key).agg(
+
+def channel_totals(statistics: DataFrame) -> DataFrame:
+    """Reach, engagement and span of each channel in each region."""
+    return statistics.groupBy(*CHANNEL_KEY).agg(
         F.countDistinct("video_id").alias("total_videos"),
         F.sum("views").alias("total_views"),
         F.sum("likes").alias("total_likes"),
@@ -55,6 +53,16 @@ def channel_rollup(enriched: DataFrame) -> DataFrame:
         F.min("trending_date_parsed").alias("first_trending"),
         F.max("trending_date_parsed").alias("last_trending"),
     )
+
+
+def channel_rollup(enriched: DataFrame) -> DataFrame:
+    """Totals and categories of each channel in each region (not ranked yet).
+
+    The categories are gathered apart, from distinct names: beside the distinct count of videos every
+    task would hold one set for each video, and over all rows one for each channel.
+    """
+    key = CHANNEL_KEY
+    totals = channel_totals(enriched)
     names = (
         enriched.select(*[F.col(name).alias(f"_{name}") for name in key], "category_name")
         .distinct()
@@ -92,7 +100,10 @@ def rows_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
 
 
 def top_channels(channel: DataFrame, region: str, n: int = 10) -> DataFrame:
-    """The ``n`` channels of a region with the most views; titles settle ties."""
+    """The ``n`` channels of a region with the most views; titles settle ties.
+
+    ``channel`` is the written channel table, or ``channel_totals``: categories are not needed.
+    """
     return (
         channel.filter(F.col("region") == region)
         .select("channel_title", "total_views", "times_trending")

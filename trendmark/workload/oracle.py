@@ -240,6 +240,13 @@ _SHAPE = "SELECT '{shape}' AS shape, {name} AS category_name, count(*) AS cnt FR
 _NAMED = "coalesce(n_name, 'Unknown')"
 _JOIN = "LEFT JOIN nation ON category_id = n_nationkey"
 
+GOLD_CHANNEL = _enriched(
+    """SELECT *, CAST(row_number() OVER (PARTITION BY region ORDER BY total_views DESC, channel_title NULLS LAST)
+    AS INTEGER) AS rank_in_region FROM channel""",
+    CHANNEL,
+)
+GOLD_CATEGORY = _enriched("SELECT * FROM category", CATEGORY)
+
 ORACLE: dict[str, str] = {
     # Sources
     "csv_scan_roundtrip": _snapshot(f"SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region) FROM snapshot"),
@@ -343,12 +350,8 @@ ORACLE: dict[str, str] = {
         WHERE nth = 1""",
     # Aggregates
     "gold_trending": _silver(TRENDING),
-    "gold_channel": _enriched(
-        """SELECT *, CAST(row_number() OVER (PARTITION BY region ORDER BY total_views DESC, channel_title NULLS LAST)
-        AS INTEGER) AS rank_in_region FROM channel""",
-        CHANNEL,
-    ),
-    "gold_category": _enriched("SELECT * FROM category", CATEGORY),
+    "gold_channel": GOLD_CHANNEL,
+    "gold_category": GOLD_CATEGORY,
     "gold_without_reference": _silver(
         "SELECT * FROM category", "enriched AS (SELECT *, 'Unknown' AS category_name FROM silver)", CATEGORY
     ),
@@ -448,6 +451,8 @@ ORACLE: dict[str, str] = {
     ),
     "dq_failures": _all_checks('SELECT "check", "table", "column" FROM checks WHERE NOT passed'),
     "gated_gold": _silver(TRENDING),
+    "gated_gold_channel": GOLD_CHANNEL,
+    "gated_gold_category": GOLD_CATEGORY,
     # Incremental
     "incremental_ingest": _live_silver(f"SELECT {SILVER_COLUMNS} FROM silver"),
     "incremental_upsert": _live_silver(f"SELECT {SILVER_COLUMNS} FROM silver"),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmark.config import REFERENCE, STATISTICS, TRENDING, QualityRules
+from trendmark.config import CATEGORY, CHANNEL, REFERENCE, STATISTICS, TRENDING, QualityRules
 from trendmark.functions import (
     clean_region,
     field_or,
@@ -37,6 +37,7 @@ from trendmark.operators.reference import category_items, keep_last_category
 from trendmark.operators.rollups import (
     category_rollup,
     channel_rollup,
+    channel_totals,
     ingestion_summary,
     rows_by,
     top_categories,
@@ -486,13 +487,16 @@ def gold_trending_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows, "avg_views_per_video", "avg_like_ratio", "avg_engagement_rate")
 
 
-@query("gold_channel")
-def gold_channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = gold_channel(enriched_table(spark, sf_dir), NOW).drop("_aggregated_at")
+def channel_table(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("categories", F.array_join("categories", "|"))
     return rounded(rows, "avg_views_per_video", "avg_engagement_rate")
 
 
+@query("gold_channel")
+def gold_channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return channel_table(gold_channel(enriched_table(spark, sf_dir), NOW).drop("_aggregated_at"))
+
+
 @query("gold_category")
 def gold_category_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gold_category(enriched(spark, sf_dir), NOW).drop("_aggregated_at"), "avg_engagement_rate")
@@ -584,7 +588,7 @@ def category_view_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("top_channels")
 def top_channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_channels(channel_rollup(enriched_table(spark, sf_dir)), "eu")
+    return top_channels(channel_totals(silver(spark, sf_dir)), "eu")
 
 
 @query("top_categories")
@@ -690,8 +694,8 @@ def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failures(all_checks(spark, sf_dir)).select("check", "table", "column")
 
 
-@query("gated_gold")
-def gated_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_written(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A Gold table as a gated run has written it."""
     layers = scratch_path(spark, "layers")
     config = MedallionConfig(TableStore(spark, f"{layers}/silver"), TableStore(spark, f"{layers}/gold"))
     publish(silver(spark, sf_dir), config.silver, STATISTICS)
@@ -699,10 +703,25 @@ def gated_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish(reference, config.silver, REFERENCE)
     gate(check_silver(spark, config, NOW))
     build_gold(config, NOW)
-    rows = config.gold.read(TRENDING).drop("_aggregated_at")
+    return config.gold.read(name).drop("_aggregated_at")
+
+
+@query("gated_gold")
+def gated_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gold_written(spark, sf_dir, TRENDING)
     return rounded(rows, "avg_views_per_video", "avg_like_ratio", "avg_engagement_rate")
 
 
+@query("gated_gold_channel")
+def gated_gold_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return channel_table(gold_written(spark, sf_dir, CHANNEL))
+
+
+@query("gated_gold_category")
+def gated_gold_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(gold_written(spark, sf_dir, CATEGORY), "avg_engagement_rate")
+
+
 # Incremental
 
 
