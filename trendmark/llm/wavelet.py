@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trendmark.llm.common import ready, slices
-from trendmark.llm.tokens import LIMIT, WORDS, Recent, load
+from trendmark.llm.tokens import WORDS, Recent, load
 
 #: Ids in a shard, about; a longer document has a shard of its own.
 SHARD = 1 << 20
@@ -162,7 +162,7 @@ class WordIds(Recent):
     """Ids of words between white space, put together from their parts where the word is of plain characters."""
 
     def __init__(self, path: str):
-        super().__init__(LIMIT // 2)  # a word's parts, kept longer, give its ids again
+        super().__init__()
         self.tokenizer = load(path)
         self.parts = PartIds(self.tokenizer)
 
