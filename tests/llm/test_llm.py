@@ -67,6 +67,15 @@ def test_recurrent_probabilities(spark, odd, real, none):
     assert recurrent.score_documents(none, learning_row("doc_id", 7, 2)).count() == 0
 
 
+def test_recurrent_learns_from_every_word(spark):
+    recurrent.ready(spark)
+    docs = rows_of(spark, [" ".join(f"w{i}x{j}" for j in range(10)) for i in range(20)])
+    vocabulary = recurrent.learn_vocabulary(recurrent.count_words(docs))
+    learnt, fresh = recurrent.learn_unit(docs, vocabulary), recurrent.Unit.fresh(vocabulary)
+    changed = (learnt.x != fresh.x).any(1)
+    assert all(changed[i] for word, i in vocabulary.number.items() if word)
+
+
 def test_recurrent_gradient():
     vocabulary = recurrent.Vocabulary([(b"", 5), (b"a", 3), (b"b", 2)], recurrent.pd.DataFrame({"k": [0], "n": [4], "v": [2]}), 14, 5)
     unit = recurrent.Unit.fresh(vocabulary)

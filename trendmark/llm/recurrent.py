@@ -7,9 +7,9 @@ tail class the word's share of that class over the whole training text, add-one
 the words never seen. So every text has a probability, and those of all texts sum to one at most.
 
 A gated recurrent unit reads the tokens. It learns by truncated backpropagation in numpy: every task trains a copy
-on its documents, and copies are averaged, weighted by tokens, once a round. Every training document takes part with
-one of its ``STRETCH`` stretches, chosen by hash; all counts come from all training text. Scoring carries the
-state from window to window through the whole document, however long.
+on its documents, and copies are averaged, weighted by tokens, once a round. Every training document is read whole, from
+its first word to its end, in one of the ``ROUNDS`` rounds, chosen by a hash of its text; all counts come from all training
+text. Training and scoring carry the state from window to window through the whole document, however long.
 
 Counts of the ``KNOWN`` most frequent words are broadcast; all others are joined. Null and empty texts have the end
 token alone. With no training document, probabilities are uniform over what is left and no token is known. Rows are scored one by one,
@@ -38,8 +38,8 @@ HIDDEN = 24
 KNOWN = 1 << 18
 LANES, WINDOW = 256, 64
 TRAIN_LANES, TRAIN_WINDOW = 64, 32
-ROUNDS, STRETCH, RATE = 2, 8, 0.01
-#: Tokens that a task scores together.
+ROUNDS, RATE = 2, 0.01
+#: Tokens that a task scores, or learns from, together.
 TOGETHER = 1 << 21
 _HELD = 1 << 19
 _MERGE = 64
@@ -302,8 +302,8 @@ def _inputs(vocabulary: Vocabulary, own: list[bytes]) -> np.ndarray:
     return np.array([known[i] if (i := number.get(w, -1)) >= 0 else WORDS + tail_class(w) for w in own], np.int32)
 
 
-def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, stretch: int = STRETCH) -> Unit:
-    """Train on all ``docs`` (doc_id, text), a stretch of each."""
+def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Unit:
+    """Train on the whole text of all ``docs``, each in one round."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
     unit = Unit.fresh(vocabulary)
@@ -323,14 +323,11 @@ def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, st
             held, tokens, n = [], 0, 0
             for batch in batches:
                 for piece in slices(batch, "text"):
-                    for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").cast(pa.binary()).to_pylist()):
-                        found = [*words(text), END]
-                        size = -(-len(found) // stretch)
-                        first = size * (zlib.crc32(b"%d %d" % (doc_id or 0, turn)) % stretch)
-                        if part := found[first : first + size]:
-                            held.append(_inputs(shared.value, part))
-                            tokens += len(part)
-                    if tokens > TOGETHER // 8:
+                    for text in piece.column("text").cast(pa.binary()).to_pylist():
+                        if zlib.crc32(text or b"") % rounds == turn:
+                            held.append(_inputs(shared.value, [*words(text), END]))
+                            tokens += len(held[-1])
+                    if tokens > TOGETHER:
                         train(own, held, end, state)
                         held, tokens, n = [], 0, n + tokens
             if held:
@@ -340,7 +337,7 @@ def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, st
                 place = TaskContext.get().partitionId()
                 yield pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), pa.array([n], pa.int64()), pa.array([own.flat.tobytes()], pa.binary())], ["place", "n", "flat"])
 
-        copies = stored(docs.select("doc_id", "text").mapInArrow(learn, "place bigint, n bigint, flat binary"), "copies")
+        copies = stored(docs.select("text").mapInArrow(learn, "place bigint, n bigint, flat binary"), "copies")
         many = copies.count()
         while many > 1:
             copies = copies.groupBy(F.floor(F.col("place") / _MERGE).alias("place")).applyInPandas(averaged, "place bigint, n bigint, flat binary")
