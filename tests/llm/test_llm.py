@@ -171,6 +171,24 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.judged(decontaminate.find_items(odd, bench.limit(0))).filter("contaminated").count() == 0
 
 
+#: Rows of one id and of none: hit by two items in two places, by one, and clean, some with as many words.
+SHARED = ["a b c d e f", "a b c x y z", "p q r s t u", "x y z d e f", "long " * 6]
+
+
+def shared_ids(spark):
+    docs = rows_of(spark, SHARED).withColumn("doc_id", F.lit(4).cast("bigint"))
+    docs = docs.unionByName(docs.withColumn("doc_id", F.lit(None).cast("bigint")))
+    return docs, spark.createDataFrame([(1, "a b c"), (2, "d e f")], "item_id bigint, text string")
+
+
+def test_decontamination_finds_items_row_by_row_in_blocks(spark):
+    docs, bench = shared_ids(spark)
+    wanted = Counter((i, 6, n, tuple(items)) for i in (4, None) for n, items in [(6, "12"), (3, "1"), (0, ""), (3, "2"), (0, "")])
+    for limit in (decontaminate.WINDOWS, 1):
+        found = decontaminate.judged(decontaminate.find_items(docs, bench, windows=limit)).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == wanted
+
+
 def test_tokens(spark, odd, none, real):
     specials = rows_of(spark, ["a<|endoftext|>b", "<|endoftext|>", "A<|STARTOFTEXT|> <|startoftext|>", "İ J̌ Σς  x　", "it's  we'll\n\n x ", "1234 \x1c a"], 50)
     docs = odd.unionByName(specials)

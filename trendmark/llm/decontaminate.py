@@ -7,23 +7,24 @@ the whole window; windows that would begin before or end after the document are
 length, and the rest is verified word by word.
 
 Windows are shipped to tasks in blocks of at most ``WINDOWS``, which bounds what is broadcast; a larger
-benchmark is searched block after block and the hit places of a document are united.
+benchmark is searched block after block, and the hit places of a row, which has a key of its own there, are united.
 
 Words are compared by 64-bit hashes. Null or wordless documents have no words and no hits; null, empty or
-wordless items have no window. Repeated documents are judged row by row only if their ids differ: rows of
-one doc_id with equal text are equal in the result, too. An empty benchmark hits nothing.
+wordless items have no window. Every row is judged by itself, also rows that repeat a doc_id or have none.
+An empty benchmark hits nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendmark.llm.common import BY_SYMBOL, ready, slices, utf8, word_hashes
+from trendmark.llm.common import BY_SYMBOL, ready, slices, stored, utf8, word_hashes
 from trendmark.operators.broadcasting import broadcast_if_small
 
 SIZE = 13
@@ -127,37 +128,42 @@ class Windows:
         return start, window
 
 
+def _hits(piece: pa.RecordBatch, windows: Windows, seen: np.ndarray) -> tuple[np.ndarray, list[list], list[set]]:
+    """Of each row: its number of words, its spans of hit words and the items found."""
+    words, bounds = word_hashes(*utf8(piece.column("text")), BY_SYMBOL)
+    start, window = windows.occurrences(words, bounds, seen)
+    spans: list[list] = [[] for _ in range(piece.num_rows)]
+    items: list[set] = [set() for _ in range(piece.num_rows)]
+    order = np.argsort(start, kind="stable")
+    start, window = start[order], window[order]
+    rows = np.searchsorted(bounds, start, side="right") - 1
+    for row, a, w in zip(rows.tolist(), (start - bounds[rows]).tolist(), window.tolist()):
+        b = a + int(windows.length[w])
+        if spans[row] and a <= spans[row][-1]["b"]:
+            spans[row][-1]["b"] = max(b, spans[row][-1]["b"])
+        else:
+            spans[row].append({"a": a, "b": b})
+        items[row].update(windows.items[w])
+    return np.diff(bounds), spans, items
+
+
 def _searched(docs: DataFrame, block: Windows) -> DataFrame:
+    """The columns of ``docs`` but its text, and n_words, spans, items of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
-    schema = "doc_id bigint, n_words bigint, spans array<struct<a: bigint, b: bigint>>, items array<string>"
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.string())]
+    kept = [c for c in docs.columns if c != "text"]
+    schema = ", ".join(f"{c} bigint" for c in kept) + ", n_words bigint, spans array<struct<a: bigint, b: bigint>>, items array<string>"
+    kinds = [pa.int64(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.string())]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
         seen = _filter(windows.keys)
         for batch in batches:
             for piece in slices(batch, "text"):
-                words, bounds = word_hashes(*utf8(piece.column("text")), BY_SYMBOL)
-                start, window = windows.occurrences(words, bounds, seen)
-                spans: list[list] = [[] for _ in range(piece.num_rows)]
-                items: list[set] = [set() for _ in range(piece.num_rows)]
-                order = np.argsort(start, kind="stable")
-                start, window = start[order], window[order]
-                rows = np.searchsorted(bounds, start, side="right") - 1
-                for row, a, w in zip(rows.tolist(), (start - bounds[rows]).tolist(), window.tolist()):
-                    b = a + int(windows.length[w])
-                    if spans[row] and a <= spans[row][-1]["b"]:
-                        spans[row][-1]["b"] = max(b, spans[row][-1]["b"])
-                    else:
-                        spans[row].append({"a": a, "b": b})
-                    items[row].update(windows.items[w])
-                columns = [piece.column("doc_id"), np.diff(bounds), spans, [sorted(x) for x in items]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) if not isinstance(c, pa.Array) else c for c, k in zip(columns, kinds)],
-                    ["doc_id", "n_words", "spans", "items"],
-                )
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(search, schema)
+                n_words, spans, items = _hits(piece, windows, seen)
+                columns = [pa.array(c, k) for c, k in zip([n_words, spans, [sorted(x) for x in items]], kinds)]
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *columns], [*kept, "n_words", "spans", "items"])
+
+    return docs.mapInArrow(search, schema)
 
 
 def _blocks(benchmark: DataFrame, size: int, windows: int) -> Iterator[list[tuple[str, np.ndarray]]]:
@@ -173,19 +179,31 @@ def _blocks(benchmark: DataFrame, size: int, windows: int) -> Iterator[list[tupl
     yield block
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, windows: int = WINDOWS) -> DataFrame:
-    """doc_id, n_words, spans (places of hit words, disjoint, in order), items (ids found, sorted) of each row."""
-    ready(docs.sparkSession)
-    parts = []
+def _indexed(docs: DataFrame, benchmark: DataFrame, size: int, windows: int) -> Iterator[Windows]:
+    """The benchmark's windows, block after block."""
     for block in _blocks(benchmark, size, windows):
         vocabulary = np.unique(np.concatenate([w for _, w in block])) if block else np.zeros(0, np.uint64)
         counts = word_counts(docs, vocabulary) if len(vocabulary) else vocabulary
-        parts.append(_searched(docs, Windows(block, size, dict(zip(vocabulary.tolist(), counts.tolist())))))
-    if len(parts) == 1:
-        return parts[0]
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
+        yield Windows(block, size, dict(zip(vocabulary.tolist(), counts.tolist())))
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, windows: int = WINDOWS) -> DataFrame:
+    """doc_id, n_words, spans (places of hit words, disjoint, in order), items (ids found, sorted) of each row."""
+    ready(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    blocks = _indexed(docs, benchmark, size, windows)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _searched(docs, first)
+    keyed = stored(docs.withColumn("key", F.monotonically_increasing_id()), "keyed")
+    return _united(keyed, chain((first, second), blocks)).drop("key")
+
+
+def _united(keyed: DataFrame, blocks: Iterator[Windows]) -> DataFrame:
+    """What ``blocks`` find, together, in each row of ``keyed`` (key, text and maybe doc_id), whose keys differ."""
+    together = _searched(keyed, next(blocks))
+    for block in blocks:
+        together = together.unionByName(_searched(keyed, block))
     united = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),
         F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"),
@@ -197,7 +215,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, windows:
             ),
         ).otherwise(F.concat(out, F.array(s))),
     )
-    return together.groupBy("doc_id", "n_words").agg(
+    return together.groupBy(*(c for c in keyed.columns if c != "text"), "n_words").agg(
         united.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
 
