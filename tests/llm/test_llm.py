@@ -189,6 +189,14 @@ def test_decontamination_finds_items_row_by_row_in_blocks(spark):
         assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == wanted
 
 
+def test_decontamination_drops_contaminated_rows_only(spark):
+    docs, bench = shared_ids(spark)
+    for limit in (decontaminate.WINDOWS, 1):
+        kept = decontaminate.clean(docs, bench, windows=limit)
+        assert kept.columns == docs.columns
+        assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((i, SHARED[k]) for i in (4, None) for k in (2, 4))
+
+
 def test_tokens(spark, odd, none, real):
     specials = rows_of(spark, ["a<|endoftext|>b", "<|endoftext|>", "A<|STARTOFTEXT|> <|startoftext|>", "İ J̌ Σς  x　", "it's  we'll\n\n x ", "1234 \x1c a"], 50)
     docs = odd.unionByName(specials)

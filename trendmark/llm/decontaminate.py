@@ -230,8 +230,25 @@ def judged(found: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without contaminated documents; all rows of a doc_id (null ids alike) go if one is contaminated."""
-    found = judged(find_items(docs, benchmark, **options)).filter("contaminated")
-    hit = broadcast_if_small(found.select(F.col("doc_id").alias("hit")).distinct())
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, windows: int = WINDOWS) -> DataFrame:
+    """``docs`` without contaminated rows; a row with the doc_id of one of them stays if it is clean itself."""
+    ready(docs.sparkSession)
+    blocks = _indexed(docs, benchmark, size, windows)
+    first, second = next(blocks), next(blocks, None)
+    if second is not None:
+        keyed = stored(docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("whole")), "keyed")
+        found = judged(_united(keyed.select("key", "whole.text"), chain((first, second), blocks))).filter("contaminated")
+        hit = broadcast_if_small(found.select(F.col("key").alias("hit")))
+        return keyed.join(hit, keyed["key"] == hit["hit"], "left_anti").select("whole.*")
+    shared = docs.sparkSession.sparkContext.broadcast(first)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        seen = _filter(own.keys)
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                n_words, spans, _ = _hits(piece, own, seen)
+                n_hit = np.array([sum(s["b"] - s["a"] for s in row) for row in spans], np.int64)
+                yield piece.filter(pa.array((n_hit == 0) | (20 * n_hit < n_words)))
+
+    return docs.mapInArrow(keep, docs.schema)
