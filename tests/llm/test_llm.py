@@ -330,6 +330,18 @@ def test_language(spark, tiny, real):
     assert language.identify(pages.limit(0), real).count() == 0
 
 
+def test_language_learns_every_language(spark):
+    # Seventy languages, each of its own letters; the last ones are the rarest.
+    word = lambda i: "".join(chr(97 + (i * k + k * k) % 26) for k in range(1, 9)) + chr(97 + i % 26) + chr(97 + i // 26)
+    rows = [(f"l{i:02}", " ".join([word(i)] * 20)) for i in range(70) for _ in range(2 if i < 64 else 1)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    names, prior, _ = language.learn_text_model(docs)
+    assert len(names) == 70 and np.exp(prior).sum() == pytest.approx(1)
+    pages = [(i, f"http://h{i}.t{i}/", f"<html lang='l'>{' '.join([word(i)] * 30)}") for i in range(70)]
+    found = language.identify(spark.createDataFrame(pages, "page_id bigint, url string, html string"), docs).collect()
+    assert {r.page_id: r.lang for r in found} == {i: f"l{i:02}" for i in range(70)}
+
+
 def test_pipeline_stages(spark, tiny, real):
     docs = real.withColumns({c: F.lit("x") for c in ("row", "part", "score", "kept", "hit", "whole")})
     for _, stage in corpus_pipeline.STAGES[:-1]:

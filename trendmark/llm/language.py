@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from trendmark.llm.common import ready, slices, stored, utf8
 
 BUCKETS = 1 << 14
-#: Languages that the model tells apart at most, the most frequent ones.
-LANGUAGES = 64
+#: Languages whose trigrams a task counts together; for more, it hands on what it has.
+_HELD = 64
 #: The text's evidence in units of this many trigrams; neighbouring trigrams are not independent.
 TEMPER = 8.0
 SMOOTH = 4.0
@@ -53,30 +54,50 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return bucket[fits], row[:-2][fits]
 
 
-def learn_text_model(docs: DataFrame, languages: int = LANGUAGES, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray, np.ndarray]:
+def learn_text_model(docs: DataFrame, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, their log shares of documents, and log-probabilities of buckets, from all labelled documents."""
     ready(docs.sparkSession)
     labelled = docs.filter(F.col("lang").isNotNull())
-    shares = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    shares = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     names = [row["lang"] for row in shares]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), buckets), np.int64)
-        number = {name: i for i, name in enumerate(names)}
+        total: dict[str, np.ndarray] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for name, own in total.items():
+                found = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found), pa.array(own[found])], ["lang", "bucket", "n"])
+
         for batch in batches:
             for piece in slices(batch, "text"):
-                lang = np.array([number.get(x, -1) for x in piece.column("lang").to_pylist()])
+                here, lang = np.unique(np.array(piece.column("lang").to_pylist(), object), return_inverse=True)
                 bucket, row = trigrams(*utf8(piece.column("text")))
-                known = lang[row] >= 0
-                total += np.bincount(lang[row][known] * buckets + bucket[known], minlength=total.size).reshape(total.shape)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total.ravel()[found])], ["cell", "n"])
-
-    sums = labelled.select("lang", "text").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    total = np.full((len(names), buckets), 0.5)
-    total.ravel()[sums["cell"].to_numpy(np.int64)] += sums["n"].to_numpy(np.float64)
+                cell, n = np.unique(lang[row] * buckets + bucket, return_counts=True)
+                edges = np.searchsorted(cell, np.arange(len(here) + 1) * buckets)
+                for i, name in enumerate(here):
+                    if name not in total:
+                        if len(total) == _HELD:
+                            yield from rows()
+                            total.clear()
+                        total[name] = np.zeros(buckets, np.int64)
+                    total[name][cell[edges[i] : edges[i + 1]] - i * buckets] += n[edges[i] : edges[i + 1]]
+        yield from rows()
+
+    def logs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.full(buckets, 0.5)
+        total[rows["bucket"]] += rows["n"]
+        return pd.DataFrame({"lang": [key[0]], "logs": [np.log(total / total.sum()).tobytes()]})
+
+    counts = labelled.select("lang", "text").mapInArrow(count, "lang string, bucket bigint, n bigint")
+    rows = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).groupBy("lang").applyInPandas(logs, "lang string, logs binary")
+    # A language whose texts have no trigram has no row: all buckets are alike in it.
+    table = np.full((len(names), buckets), -np.log(buckets))
+    number = {name: i for i, name in enumerate(names)}
+    for row in rows.collect():
+        table[number[row["lang"]]] = np.frombuffer(row["logs"])
     prior = np.log([row["count"] for row in shares]) - np.log(max(1, sum(row["count"] for row in shares)))
-    return names, np.asarray(prior), np.log(total / total.sum(1, keepdims=True))
+    return names, np.asarray(prior), table
 
 
 def page_parts(pages: DataFrame) -> DataFrame:
@@ -120,10 +141,13 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     best = F.array_position(own, F.array_max(own)).cast("int") - 1
     read_pages = stored(read_pages.withColumn("guess", best), "pages")
 
+    log = lambda f: F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), f)
+
     def counted(*keys: str) -> DataFrame:
         """For each key, pages by the language their text suggests, as an array."""
-        sums = [F.sum(F.when(F.col("guess") == i, 1.0).otherwise(0.0)) for i in range(len(names))]
-        return read_pages.groupBy(*keys).agg(F.array(*sums).alias(f"by_{keys[-1] if keys else 'all'}"))
+        found = read_pages.groupBy(*keys, "guess").agg(F.count("*").cast("double").alias("n"))
+        found = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("guess", "n"))).alias("n"))
+        return found.select(*keys, log(lambda i: F.coalesce(F.try_element_at("n", i), F.lit(0.0))).alias(f"by_{keys[-1] if keys else 'all'}"))
 
     rows = read_pages
     for key in ("declared", "suffix", "host", "domain"):
@@ -132,7 +156,6 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     total = [float(x) for x in everything["by_all"]] if everything["by_all"] and everything["by_all"][0] is not None else [0.0] * len(names)
     pages_of = F.array(*map(F.lit, total))
     every = sum(total)
-    log = lambda f: F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), f)
 
     def without(counts: str, i):  # noqa: ANN001, ANN202
         return F.get(counts, i) - F.when(i == F.col("guess"), 1.0).otherwise(0.0)
