@@ -142,6 +142,10 @@ def test_nearest_recall(spark, tiny):
     assert {r.vec_id for r in few.collect()} == {1, 2}
 
 
+def test_nearest_beam_grows_with_the_table():
+    assert nearest.beam_of(10) == nearest.BEAM and nearest.beam_of(16 * nearest.BEAM_FITS) == 8 * nearest.BEAM
+
+
 def test_decontamination(spark, odd, none):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     texts = [*ODD, "one two three", "x One, TWO three y", " ".join(f"k{i}" for i in range(30)), "zz " + " ".join(f"k{i}" for i in range(5, 22)) + " é"]
