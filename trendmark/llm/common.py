@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -28,10 +27,10 @@ def ready(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{ROOT}".strip(":")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -54,6 +53,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 # Word separators: white space, or all ASCII that is neither a digit nor a letter. 0 in a table separates.
 def _lowered(separators: list[int]) -> np.ndarray:
     codes = np.arange(256, dtype=np.uint8)
+    codes[0] = 255  # no byte of a text; 0 stands for separators only
     codes[65:91] += 32
     codes[separators] = 0
     return codes
@@ -79,18 +79,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, bits: int) -> np.ndarray:
-    out = np.full(1 << bits, base, np.uint64)
-    out[0] = 1
-    np.multiply.accumulate(out, out=out)
-    return out
+#: Powers kept between calls, at most; a longer text has them made for itself.
+_KEPT = 1 << 21
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64, and of its inverse, ``n`` of each at least."""
-    bits = max(16, int(n).bit_length())
-    return _powers(base, bits), _powers(pow(base, -1, 1 << 64), bits)
+def _powers(base: int, n: int) -> np.ndarray:
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(-(-n // (1 << 18)) << 18, base, np.uint64)
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if len(known) <= _KEPT:
+            _POWERS[base] = known
+    return known[:n]
+
+
+def spans(inside: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of True begin and end (one past); none goes on from one row into the next, or over a True of ``cuts``."""
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1] if cuts is None else ~inside[:-1] | cuts[1:]
+    cut = offsets[:-1][offsets[:-1] < len(inside)]
+    starts[cut] = inside[cut]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | starts[1:]
+    return np.flatnonzero(starts), np.flatnonzero(last) + 1
+
+
+def span_hashes(code: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes, none of them empty."""
+    n = len(code) + 1
+    up, down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+    sums = np.cumsum(_VALUE[code] * up[: len(code)], dtype=np.uint64)
+    before = np.where(begin > 0, sums[begin - 1], np.uint64(0))
+    return mixed((sums[end - 1] - before) * down[begin])
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,20 +120,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tup
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     code = codes[data]
-    inside = code != 0
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
-    cut = offsets[:-1][(offsets[:-1] < len(data))]
-    starts[cut] = inside[cut]  # a row's first byte never continues the row before
-    begin = np.flatnonzero(starts)
-    last = inside.copy()
-    last[:-1] &= ~inside[1:] | starts[1:]
-    end = np.flatnonzero(last)
-    up, down = powers(_BASE, len(data) + 1)
-    sums = np.cumsum(_VALUE[code] * up[: len(data)], dtype=np.uint64)
-    before = np.where(begin > 0, sums[begin - 1], np.uint64(0))
-    found = mixed((sums[end] - before) * down[begin])
-    return found, np.searchsorted(begin, offsets).astype(np.int64)
+    begin, end = spans(code != 0, offsets)
+    return span_hashes(code, begin, end), np.searchsorted(begin, offsets).astype(np.int64)
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmark.llm import chat, decontaminate, language, mixing, nearest, ngram_join, quality, recurrent, token_counts, wavelet
+from trendmark.llm import alignment, chat, decontaminate, language, lexical, mixing, nearest, ngram_join, packing, quality, recurrent, token_counts, wavelet
 from trendmark.llm.common import learning_row, table
 from trendmark.session import scratch_path
 
@@ -97,3 +97,51 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte, piece = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.Alignment(table(spark, sf_dir, "documents"), byte, piece)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    rows = aligned.groups().withColumn("groups_sha256", digest).drop("groups")
+    return aligned.with_counts(rows)
+
+
+@query
+def op12_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return packing.fingerprints(packed)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE["op13_lexical_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents),
+held AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY row, term),
+sizes AS (SELECT row, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS occurrences FROM sizes),
+asked AS (
+    SELECT item_id, term, count(*) AS repeats
+    FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, documents
+),
+impacts AS (
+    SELECT doc_id, row, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // occurrences)) AS impact
+    FROM held JOIN sizes USING (row), totals
+),
+scored AS (
+    SELECT item_id, row, doc_id, sum(repeats * w * impact)::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, row, doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""

@@ -5,15 +5,13 @@ part file: its documents, where each begins, and the wavelet matrix of its token
 for each bit of an id, highest first; after each plane the ids with a 0 go before those with a 1, order kept. Ranks
 are kept for every ``BLOCK`` bits. From that row alone tokens can be read, counted and located.
 
-Null and empty texts have the end id alone. Rows sort by (doc_id, text), null ids first; repeated rows are documents of
-their own. An empty table gives an empty file. Other columns are ignored.
+Null and empty texts have the end id alone. Rows sort by doc_id, null ids first; rows of one id, in a fixed order, are
+documents of their own. An empty table gives an empty file. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +19,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from trendmark.llm.common import ready, slices
-from trendmark.llm.tokens import WORDS, Recent, load
+from trendmark.llm.tokens import load, word_tokenizer
 
 #: Ids in a shard, about; a longer document has a shard of its own.
 SHARD = 1 << 20
@@ -133,98 +130,39 @@ class WaveletMatrix:
         return ids
 
 
-# Letters of Latin script that stay as they are under composition, and all visible ASCII.
-_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
-_OTHER = re.compile(f"<\\||[^!-~{_LATIN}]")
-# Where the tokenizer cuts a word of these characters after lower-casing it.
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
-# White space to ``str.split`` that is none to the tokenizer.
-_NOT_WHITE = "\x1c\x1d\x1e\x1f"
-
-
-# A byte as the vocabulary writes it: visible ones as themselves in Latin-1, all others from 256 on.
-_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTES = dict(zip([b for b in range(256) if b not in _VISIBLE], range(256, 512)))
-
-
-class PartIds(Recent):
-    """Ids of lower-case parts of words, by the tokenizer's model."""
-
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenize = tokenizer.model.tokenize
-
-    def made(self, part: str) -> bytes:
-        return _bytes([t.id for t in self.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES))])
-
-
-class WordIds(Recent):
-    """Ids of words between white space, put together from their parts where the word is of plain characters."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.tokenizer = load(path)
-        self.parts = PartIds(self.tokenizer)
-
-    def made(self, word: str | bytes) -> bytes:
-        text = word if isinstance(word, str) else word.decode()
-        if text.isascii() and text.isalpha():
-            return self.parts[text.lower()]
-        if _OTHER.search(text):
-            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return array("H", ids).tobytes()
-
-
-def _words(text: str) -> list[str] | list[bytes]:
-    """Pieces between white space; in ASCII texts, where the tokenizer would do the same, lower-cased."""
-    if text.isascii() and "<|" not in text:
-        return text.encode().lower().split()
-    return WORDS.findall(text) if any(c in text for c in _NOT_WHITE) else text.split()
-
-
-def tokenized(texts: list[str | None], path: str, end: int) -> list[bytes]:
-    """Ids of each text and the end id, two bytes each."""
-    if path not in _WORD_IDS:
-        _WORD_IDS[path] = WordIds(path)
-    ids, last = _WORD_IDS[path].__getitem__, _bytes([end])
-    return [b"".join(map(ids, _words(text or ""))) + last for text in texts]
-
-
-_WORD_IDS: dict[str, WordIds] = {}
-
-
 def write_shards(docs: DataFrame, target: str, path: str, end: int = 2, shard: int = SHARD) -> None:
     """Write ``docs`` (doc_id, text) as shards under the folder ``target``."""
     ready(docs.sparkSession)
+    bits = max(load(path).get_vocab_size() - 1, end).bit_length()
 
-    def row(number: int, before: int, ids: list, tokens: list[bytes]) -> pa.RecordBatch:
-        every = np.frombuffer(b"".join(tokens), np.uint16)
-        matrix = WaveletMatrix.build(every)
-        starts = np.cumsum([0, *(len(t) // 2 for t in tokens)])[:-1]
-        values = [TaskContext.get().partitionId(), number, before, len(every), ids, starts, matrix.zeros]
+    def row(number: int, before: int, doc_ids: list, tokens: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate(tokens)
+        matrix = WaveletMatrix.build(every, bits)
+        starts = np.cumsum([0, *map(len, tokens)])[:-1]
+        values = [TaskContext.get().partitionId(), number, before, len(every), doc_ids, starts, matrix.zeros]
         values += [[p.tobytes() for p in matrix.planes], [r.tobytes() for r in matrix.ranks]]
         return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, _FIELDS.values())], list(_FIELDS))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, tokens, number, before, held = [], [], 0, 0, 0
+        doc_ids, tokens, number, before, held = [], [], 0, 0, 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                for doc_id, own in zip(piece.column("doc_id").to_pylist(), tokenized(piece.column("text").to_pylist(), path, end)):
-                    if tokens and held + len(own) // 2 > shard:
-                        yield row(number, before, ids, tokens)
-                        ids, tokens, number, before, held = [], [], number + 1, before + held, 0
-                    ids.append(doc_id)
-                    tokens.append(own)
-                    held += len(own) // 2
+                ids, bounds = word_tokenizer(path).ids(piece.column("text"), end)
+                ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
+                for doc_id, a, b in zip(piece.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                    if tokens and held + b - a > shard:
+                        yield row(number, before, doc_ids, tokens)
+                        doc_ids, tokens, number, before, held = [], [], number + 1, before + held, 0
+                    doc_ids.append(doc_id)
+                    tokens.append(ids[a:b])
+                    held += b - a
         if tokens:
-            yield row(number, before, ids, tokens)
+            yield row(number, before, doc_ids, tokens)
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    in_order = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # A third of all rows may have one id: its rows are told apart by text and place.
+    order = ["doc_id", "by_text", "by_place"]
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("by_text"), F.monotonically_increasing_id().alias("by_place"))
+    in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     in_order.mapInArrow(build, _SCHEMA).write.option("compression", "zstd").parquet(target)
 
 
