@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -43,7 +44,7 @@ def none(spark):
 def test_word_ids_are_the_library_s():
     library, own = Tokenizer.from_file(WORD), word_tokenizer(WORD)
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    texts = [" ".join(f"a{c}b {c}'s {c}1{c}{c}." for c in points[i : i + 8]) for i in range(0, len(points), 8)]
+    texts = [" ".join(f"a{c}'s{c}1" for c in points[i : i + 8]) for i in range(0, len(points), 8)]
     rng = np.random.default_rng(3)
     some = [" ", "  ", "\n", "\x1c", "\x85", "\xa0", "a", "B", "É", "İ", "Σ", "'s", "'LL", "'", "'stop", "12", "Ɗ", "中", "😀", "̀", "\x00", "H̱", "≠", ".", "ǅ", *points[0xC0:0x250]]
     texts += ["".join(rng.choice(some, rng.integers(30))) for _ in range(10_000)]
@@ -93,11 +94,11 @@ def plain_alignment(texts):
         place = lambda parts: [(x, x + len(p)) for x, p in zip(np.cumsum([0, *map(len, parts)]).tolist(), parts)]
         a_at, b_at = place(a_bytes), place(b_bytes)
         ends = sorted({y for _, y in a_at} & {y for _, y in b_at})
-        groups, start = [], 0
-        for end in ends:
-            inside = [",".join(str(i) for i, (x, _) in zip(ids, at) if start <= x < end) for ids, at in ((a, a_at), (b, b_at))]
-            groups.append("|".join(inside))
-            start = end
+        inside = [([], []) for _ in ends]
+        for side, ids, at in ((0, a, a_at), (1, b, b_at)):
+            for i, (x, _) in zip(ids, at):
+                inside[bisect_right(ends, x)][side].append(str(i))
+        groups = ["|".join(",".join(own) for own in both) for both in inside]
         links, k = [], 0
         for i, (x, y) in zip(a, a_at):
             while b_at[k][1] <= x:
