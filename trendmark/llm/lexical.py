@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ IMPACT = 10**6
 EXACT = 2**53 // IMPACT
 
 _LAST = np.iinfo(np.int64).max
+_BEST = "item bigint, item_id string, doc_id bigint, score bigint, part int"
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -206,19 +208,20 @@ def _searched(docs: DataFrame, block: Block, number: int, k: int) -> DataFrame:
         ids = pa.array(best.doc_id, mask=best.none)
         yield pa.RecordBatch.from_arrays([pa.array(best.item + number), names, ids, pa.array(best.score), pa.array(part)], ["item", "item_id", "doc_id", "score", "part"])
 
-    return docs.mapInArrow(search, "item bigint, item_id string, doc_id bigint, score bigint, part int")
+    return docs.mapInArrow(search, _BEST)
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` best documents of each item with a score above 0."""
     ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    number, found = 0, docs.sparkSession.createDataFrame([], "item bigint, item_id string, doc_id bigint, score bigint, part int")
+    number, parts = 0, []
     for own in _blocks(items, block):
         queries = Block(own)
         queries.weigh(*_statistics(docs, queries))
-        found = found.unionByName(_searched(docs, queries, number, k))
+        parts.append(_searched(docs, queries, number, k))
         number += len(own)
+    found = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], _BEST)
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     some = found.withColumn("rank", F.row_number().over(Window.partitionBy("item", "part").orderBy(*order))).filter(F.col("rank") <= k)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*order))).filter(F.col("rank") <= k)
