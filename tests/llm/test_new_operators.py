@@ -147,10 +147,13 @@ def checked_plan(lengths, capacity):
     """How many sequences the plan takes, after a check that pieces fill them without gaps."""
     values, counts = np.unique(lengths, return_counts=True)
     plan = packing.Plan(dict(zip(values.tolist(), counts.tolist())), capacity)
-    length, rank = np.repeat(values, counts), np.concatenate([np.arange(n) for n in counts])
-    filled = defaultdict(list)
-    for n, s, o in zip(length.tolist(), *(x.tolist() for x in plan.place(length, rank))):
-        filled[s].append((o, n))
+    filled, placed = defaultdict(list), Counter()
+    for length, rank, n, sequence, each, offset in sorted(plan.lines):
+        assert rank == placed[length]  # the runs of a length follow each other
+        placed[length] += n
+        for i in range(n):
+            filled[sequence + i // each].append((offset + i % each * length, length))
+    assert placed == dict(zip(values.tolist(), counts.tolist()))
     for parts in filled.values():
         parts.sort()
         assert [o for o, _ in parts] == np.cumsum([0, *(n for _, n in parts)])[:-1].tolist() and sum(n for _, n in parts) <= capacity
@@ -209,7 +212,7 @@ def test_packing_plan():
 def test_packing(spark, odd, none, tiny):
     library = Tokenizer.from_file(WORD)
     for docs, capacity in ((odd, 50), (odd, 4096), (table(spark, tiny, "documents"), 256)):
-        found = packing.fingerprints(packing.pack(docs.repartition(3), WORD, 1, capacity)).collect()
+        found = packing.pack(docs.repartition(3), WORD, 1, capacity).withColumn("ids_crc32", F.crc32("ids")).collect()
         wanted, total = Counter(), 0
         for r in docs.select("doc_id", "text").collect():
             ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 1]
@@ -227,7 +230,7 @@ def test_packing(spark, odd, none, tiny):
             assert sum(n for _, n in parts) <= capacity
         lengths = [k[3] for k, n in wanted.items() for _ in range(n)]
         assert len(filled) == packing.Plan(Counter(lengths), capacity).sequences <= max(-(-total // capacity) * 1.1 + 1, 2)
-    assert packing.fingerprints(packing.pack(none, WORD)).count() == 0
+    assert packing.pack(none, WORD).count() == 0
 
 
 def plain_search(docs, items, k):

@@ -19,7 +19,6 @@ Null and empty texts have the end id alone, a piece of one token. Every row is p
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -36,8 +35,7 @@ from trendmark.operators.broadcasting import broadcast_if_small
 
 CAPACITY = 4096
 
-_PIECES = "part int, doc_id bigint, piece int, start bigint, length bigint, nth bigint, ids array<int>"
-_PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, sequence_id bigint, offset bigint"
+_PIECES = "part int, doc_id bigint, piece int, start bigint, length bigint, nth bigint, ids binary"
 
 
 def cut(docs: DataFrame, path: str, end: int, capacity: int = CAPACITY) -> DataFrame:
@@ -60,9 +58,10 @@ def cut(docs: DataFrame, path: str, end: int, capacity: int = CAPACITY) -> DataF
                 nth[order] = np.arange(len(row))
                 nth += seen[length] - first
                 seen += np.bincount(length, minlength=capacity + 1)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(bounds[row] + piece * capacity, bounds[-1]).astype(np.int32)), pa.array(ids))
+                places = np.append(bounds[row] + piece * capacity, bounds[-1]) * 4
+                lists = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
                 columns = [np.full(len(row), part, np.int32), rows.column("doc_id").take(pa.array(row)), piece.astype(np.int32), piece * capacity, length, nth]
-                yield pa.RecordBatch.from_arrays([*(c if isinstance(c, pa.Array) else pa.array(c) for c in columns), lists], ["part", "doc_id", "piece", "start", "length", "nth", "ids"])
+                yield pa.RecordBatch.from_arrays([*(c if isinstance(c, pa.Array) else pa.array(c) for c in columns), lists.cast(pa.binary())], ["part", "doc_id", "piece", "start", "length", "nth", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(pieces, _PIECES)
 
@@ -80,14 +79,6 @@ class Plan:
         self._match({length: n for length, n in left.items() if 3 * length > capacity})
         for length in sorted((length for length in left if 3 * length <= capacity), reverse=True):
             self._fit(length, left[length])
-        self.lines.sort()
-        columns = np.array(self.lines, np.int64).reshape(-1, 6)
-        self.length, self.rank, self.pieces, self.sequence, self.each, self.offset = columns.T
-        self.before = np.cumsum(self.pieces) - self.pieces  # pieces in earlier lines
-        self.shorter = np.zeros(capacity + 2, np.int64)  # pieces of smaller lengths
-        for length, n in left.items():
-            self.shorter[length + 1] = n
-        self.shorter = np.cumsum(self.shorter)
 
     def _put(self, length: int, n: int, sequence: int, each: int, offset: int) -> None:
         self.lines.append((length, self._rank[length], n, sequence, each, offset))
@@ -144,44 +135,29 @@ class Plan:
                         full, n = full + 1, 0
                     self._keep(room, sequence + full, many - full)
 
-    def place(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sequence and offset of pieces of these lengths and ranks."""
-        line = np.searchsorted(self.before, self.shorter[length] + rank, side="right") - 1
-        within = rank - self.rank[line]
-        return self.sequence[line] + within // self.each[line], self.offset[line] + within % self.each[line] * length
-
 
 def pack(docs: DataFrame, path: str, end: int = 1, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids, sequence_id, offset of every piece of every row of ``docs``."""
+    """doc_id, piece, start, length, ids, sequence_id, offset of every piece of every row of ``docs``.
+
+    ``ids`` are little-endian unsigned 32-bit integers, end to end.
+    """
     spark = docs.sparkSession
     pieces = stored(cut(docs, path, end, capacity), "pieces", "zstd")
-    counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
-    counts = stored(counts, "lengths")  # a row for each task and length
+    counts = stored(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")  # a row for each task and length
     plan = Plan({row["length"]: row["n"] for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity)
-    shared = spark.sparkContext.broadcast(plan)
+    lines = spark.createDataFrame(plan.lines, "length bigint, rank bigint, pieces bigint, sequence bigint, each bigint, first bigint")
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
-    ranked = pieces.join(broadcast_if_small(offsets), ["part", "length"])
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids")]
-            yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, shared.value.place(length, rank))], ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
-
-    return ranked.select("doc_id", "piece", "start", "length", "ids", (F.col("earlier") + F.col("nth")).alias("rank")).mapInArrow(placed, _PLACED)
-
-
-def fingerprints(packed: DataFrame) -> DataFrame:
-    """``packed`` with ids_crc32, the checksum of each piece's ids as little-endian unsigned 32-bit integers, for its ids."""
-    kept = [c for c in packed.columns if c != "ids"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema if f.name != "ids") + ", ids_crc32 bigint"
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            starts, ids = lists.offsets.to_pylist(), np.asarray(lists.values).astype("<u4")
-            crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts[:-1], starts[1:])]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(crc, pa.int64())], [*kept, "ids_crc32"])
-
-    return packed.mapInArrow(digest, schema)
+    ranked = pieces.join(broadcast_if_small(offsets), ["part", "length"]).withColumn("place", F.col("earlier") + F.col("nth"))
+    # The plan's size is bounded by the capacity; the piece's line is the one run of its length that holds its place.
+    held = F.col("place").between(F.col("rank"), F.col("rank") + F.col("pieces") - 1)
+    within = F.col("place") - F.col("rank")
+    return ranked.join(F.broadcast(lines.withColumnRenamed("length", "of")), (F.col("length") == F.col("of")) & held).select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        "ids",
+        (F.col("sequence") + F.expr("(place - rank) div each")).alias("sequence_id"),
+        (F.col("first") + within % F.col("each") * F.col("length")).alias("offset"),
+    )
