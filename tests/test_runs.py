@@ -1,6 +1,6 @@
 """Whole runs and incremental runs."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,11 +11,14 @@ from test_sources import HEADER, ITEM, category, put
 from trendmark.config import CATEGORY, CHANNEL, REFERENCE, STATISTICS, TRENDING, QualityRules
 from trendmark.operators.dedup import keep_latest_snapshot
 from trendmark.operators.cleanse import cleanse
-from trendmark.plans.medallion import MedallionConfig, QualityGateError, run_medallion
-from trendmark.schemas import CATEGORY_ITEM, SILVER_STATISTICS, VIDEO_ITEM
+from trendmark.plans.medallion import MedallionConfig, QualityGateError, build_gold, run_medallion
+from trendmark.plans.silver import silver_statistics
+from trendmark.schemas import CATEGORY_ITEM, GOLD, SILVER_STATISTICS, VIDEO_ITEM
 from trendmark.sources import TableStore, explode_documents
 from trendmark.operators.normalize import normalize_json
-from trendmark.streaming import ReferenceArrivals, SnapshotUpsert, first_seen, run_available, stream_csv_snapshots, stream_documents
+from trendmark.sinks.staged import Stage
+from trendmark.streaming import IncrementalMedallion, ReferenceArrivals, SnapshotUpsert, first_seen, run_available, stream_csv_snapshots, stream_documents
+from trendmark.streaming import gold_refresh as refresh_module
 from trendmark.streaming import upsert as upsert_module
 
 NOW = datetime(2024, 2, 1)
@@ -123,9 +126,47 @@ def test_batches_in_any_order_equal_one_run(spark, folder, order):
     assert keyed(found) == keyed(keep_latest_snapshot(cleanse(rows)))
 
 
-def test_many_touched_days_take_the_join(spark, folder, monkeypatch):
-    monkeypatch.setattr(upsert_module, "MAX_LISTED_DAYS", 1)
-    test_batches_in_any_order_equal_one_run(spark, folder, [1, 2, 0])
+def test_a_batch_reads_its_own_days_of_five_thousand(spark, folder):
+    store = TableStore(spark, folder + "/silver")
+    handler = SnapshotUpsert(store, folder + "/checkpoint", "job", NOW)
+    handler(raw(spark, {"trending_date": "2017-01-01"}, {"trending_date": None, "video_id": "v3"}), 0)
+    table = Path(store.path(STATISTICS), "region=us")
+    part = next((table / "trending_date_parsed=2017-01-01").glob("*.parquet"))
+    for i in range(1, 5_000):
+        day = table / f"trending_date_parsed={(datetime(2017, 1, 1) + timedelta(i)).date()}"
+        day.mkdir()
+        (day / part.name).write_bytes(part.read_bytes())
+    fresh = [{"trending_date": f"{2017 + i % 5}-03-0{i % 4 + 1}", "views": 7, "_arrived_at": datetime(2025, 1, 1)} for i in range(20)]
+    fresh += [{"trending_date": "n/a", "views": 8, "_arrived_at": datetime(2025, 1, 1)}, {"trending_date": "2040-01-01"}]
+    staged = Stage(spark, folder + "/staged", upsert_module.DAY_PARTITIONS)
+    staged.write(silver_statistics(raw(spark, *fresh), "job", NOW))
+    rows = upsert_module.rows_of_folders(store, staged.folders())
+    days = {f.split("trending_date_parsed=")[1].split("/")[0] for f in rows.inputFiles()}
+    assert len(staged.folders()) == 22 and len(rows.inputFiles()) == 21  # one day is new
+    assert days <= {f.split("=")[-1] for f in staged.folders()}
+    assert {str(r.trending_date_parsed) for r in rows.collect()} == (days - {"__HIVE_DEFAULT_PARTITION__"}) | {"None"}
+    untouched = contents(table / "trending_date_parsed=2020-02-01")
+    handler(raw(spark, *fresh), 1)
+    found = spark.read.schema(SILVER_STATISTICS).parquet(store.path(STATISTICS))
+    assert found.count() == 5_000 + 3 and found.filter("views = 7").count() == 20
+    assert found.filter("trending_date_parsed is null").count() == 2
+    assert contents(table / "trending_date_parsed=2020-02-01") == untouched
+
+
+def test_batches_list_their_partitions_only(spark, folder, monkeypatch):
+    store = TableStore(spark, folder + "/silver", database="lake_batches")
+    handler = SnapshotUpsert(store, folder + "/checkpoint", "job", NOW)
+    handler(raw(spark, {"trending_date": "17.01.11"}), 0)
+    asked, real = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: asked.append(text) or real(text, *a, **k))
+    handler(raw(spark, {"trending_date": "17.02.11", "region": "o'x"}, {"trending_date": None}), 1)
+    monkeypatch.undo()
+    assert asked and not any("RECOVER" in text for text in asked)
+    listed = spark.table("lake_batches.clean_statistics")
+    assert sorted((r.region, str(r.trending_date_parsed)) for r in listed.collect()) == [
+        ("o'x", "2017-11-02"), ("us", "2017-11-01"), ("us", "None")
+    ]
+    spark.sql("DROP DATABASE lake_batches CASCADE")
 
 
 def test_untouched_days_are_not_read_or_written(spark, folder):
@@ -134,9 +175,6 @@ def test_untouched_days_are_not_read_or_written(spark, folder):
     handler(raw(spark, {"trending_date": "17.01.11"}, {"trending_date": "17.02.11"}), 0)
     before = contents(store.path(STATISTICS) + "/region=us/trending_date_parsed=2017-11-01")
     fresh = raw(spark, {"trending_date": "17.02.11", "views": 7, "_arrived_at": datetime(2025, 1, 1)})
-    present = spark.read.schema(SILVER_STATISTICS).parquet(store.path(STATISTICS))
-    plan = upsert_module.rows_of_same_days(present, cleanse(fresh))._jdf.queryExecution().executedPlan().toString()
-    assert "DataFilters: []" in plan and "trending_date_parsed" in plan.split("PartitionFilters")[1]
     handler(fresh, 1)
     assert contents(store.path(STATISTICS) + "/region=us/trending_date_parsed=2017-11-01") == before
     days = spark.read.schema(SILVER_STATISTICS).parquet(store.path(STATISTICS)).orderBy("trending_date_parsed").collect()
@@ -235,3 +273,87 @@ def test_unreadable_statistics_documents_are_kept_and_counted(spark, config, fol
     result = run_medallion(spark, config, NOW)
     assert result.counts["corrupt_documents"] == 1 and result.counts["raw_rows"] == 27
     assert spark.read.parquet(folder + "/silver/quarantined_documents").count() == 1
+
+
+def gold_rows(spark, store):
+    """Rows of the three Gold tables, averages to ten digits."""
+    out = {}
+    for name in (TRENDING, CHANNEL, CATEGORY):
+        rows = spark.read.schema(GOLD[name]).parquet(store.path(name))
+        doubles = {c: F.round(c, 10) for c, kind in rows.dtypes if kind == "double"}
+        out[name] = sorted(map(str, rows.withColumns(doubles).collect()))
+    return out
+
+
+def gold_waves(spark):
+    """Rows of three waves: the later ones touch few days, move a video to another channel and bring a new region."""
+    base = [
+        {"video_id": f"v{i % 9}", "trending_date": f"17.{i % 4 + 1:02}.11" if i % 11 else None, "channel_title": f"c{i % 5}" if i % 13 else None,
+         "region": ["us", "ca"][i % 2], "category_id": i % 3, "views": i, "_arrived_at": datetime(2024, 1, 1, i % 24)} for i in range(80)
+    ]
+    later = {"_arrived_at": datetime(2024, 2, 1)}
+    return [
+        base,
+        [{"video_id": "v0", "trending_date": "17.01.11", "channel_title": "c9", "views": 900, **later}, {"video_id": "new", "region": "jp", **later}],
+        [{"video_id": "v1", "trending_date": None, "channel_title": None, "views": 5, **later}, {"video_id": "v2", "trending_date": "17.09.11", "views": 7, **later}],
+    ]
+
+
+def test_incremental_gold_equals_a_full_rebuild(spark, folder):
+    rules, seen = QualityRules(min_rows=1, max_null_pct=100.0), []
+    silver, gold = TableStore(spark, folder + "/silver"), TableStore(spark, folder + "/gold", database="gold_inc")
+    handler = IncrementalMedallion(silver, gold, folder + "/checkpoint", "job", rules, NOW)
+    for batch_id, wave in enumerate(gold_waves(spark)):
+        handler(raw(spark, *wave), batch_id)
+        assert handler.verdict.quality_passed
+        whole = MedallionConfig(silver, TableStore(spark, f"{folder}/full-{batch_id}"))
+        build_gold(whole, NOW)
+        assert gold_rows(spark, gold) == gold_rows(spark, whole.gold)
+        seen += [gold_rows(spark, gold)]
+    assert seen[0] != seen[1] != seen[2]
+    assert spark.table("gold_inc.channel_analytics").count() == len(seen[2][CHANNEL])
+    spark.sql("DROP DATABASE gold_inc CASCADE")
+
+
+def test_gold_refresh_reads_touched_days_only(spark, folder, monkeypatch):
+    rules = QualityRules(min_rows=1, max_null_pct=100.0)
+    silver, gold = TableStore(spark, folder + "/silver"), TableStore(spark, folder + "/gold")
+    handler = IncrementalMedallion(silver, gold, folder + "/checkpoint", "job", rules, NOW)
+    waves = gold_waves(spark)
+    handler(raw(spark, *waves[0]), 0)
+    handler.upsert(raw(spark, *waves[1]), 1)
+    touched, folders = handler.upsert.touched(spark, handler.upsert.pending(spark))
+    assert folders == ["region=jp/trending_date_parsed=2017-11-14", "region=us/trending_date_parsed=2017-11-01"]
+    days = refresh_module.read_folders(spark, silver.path(STATISTICS), folders, SILVER_STATISTICS)
+    assert {f.split("clean_statistics/")[1].rsplit("/", 1)[0] for f in days.inputFiles()} == set(folders)
+    # c9 comes, and the channel that had v0 before goes; no other is counted again.
+    before = {r.channel_title for r in touched.filter("region = 'us'").collect()}
+    assert "c9" in before and len(before) == 2
+    untouched = contents(gold.path(TRENDING) + "/region=ca")
+    handler.refresh()
+    assert contents(gold.path(TRENDING) + "/region=ca") == untouched and handler.upsert.pending(spark) == []
+
+
+def test_gold_waits_for_rows_that_pass_and_goes_on_after_a_stop(spark, folder, monkeypatch):
+    silver, gold = TableStore(spark, folder + "/silver"), TableStore(spark, folder + "/gold")
+    strict = IncrementalMedallion(silver, gold, folder + "/checkpoint", "job", QualityRules(min_rows=1000), NOW)
+    waves = gold_waves(spark)
+    strict(raw(spark, *waves[0]), 0)
+    assert not strict.verdict.quality_passed and not gold.exists(TRENDING) and strict.upsert.pending(spark) == ["0"]
+    handler = IncrementalMedallion(silver, gold, folder + "/checkpoint", "job", QualityRules(min_rows=1, max_null_pct=100.0), NOW)
+    real, written = refresh_module.write_partitioned, []
+
+    def stop_at_second(df, path, *args, **kwargs):
+        written.append(path)
+        if len(written) == 2:
+            raise RuntimeError("executor lost")
+        real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(refresh_module, "write_partitioned", stop_at_second)
+    with pytest.raises(RuntimeError):
+        handler(raw(spark, *waves[1]), 1)
+    monkeypatch.setattr(refresh_module, "write_partitioned", real)
+    handler(raw(spark, *waves[1]), 1)
+    whole = MedallionConfig(silver, TableStore(spark, folder + "/full"))
+    build_gold(whole, NOW)
+    assert gold_rows(spark, gold) == gold_rows(spark, whole.gold) and handler.upsert.pending(spark) == []

@@ -56,21 +56,47 @@ def channel_totals(statistics: DataFrame) -> DataFrame:
 
 
 def channel_rollup(enriched: DataFrame) -> DataFrame:
-    """Totals and categories of each channel in each region (not ranked yet).
+    """Totals and categories of each channel in each region (not ranked yet), from one scan.
 
-    The categories are gathered apart, from distinct names: beside the distinct count of videos every
-    task would hold one set for each video, and over all rows one for each channel.
+    Every row is counted under its video and, without its measures, under its category. The first aggregation leaves a row
+    for each distinct video and category of a channel, the second adds these up: no task holds a set of videos, and only
+    a channel's distinct categories are gathered.
     """
-    key = CHANNEL_KEY
-    totals = channel_totals(enriched)
-    names = (
-        enriched.select(*[F.col(name).alias(f"_{name}") for name in key], "category_name")
-        .distinct()
-        .groupBy(*[f"_{name}" for name in key])
-        .agg(F.array_sort(F.collect_list("category_name")).alias("categories"))
+    video, item = F.col("_tagged.video"), F.col("_tagged.item")
+    tagged = F.array(
+        F.struct(F.lit(True).alias("video"), F.col("video_id").alias("item")),
+        F.struct(F.lit(False).alias("video"), F.col("category_name").alias("item")),
+    )
+    measures = ("views", "likes", "comment_count", "engagement_rate", "trending_date_parsed")
+    rows = enriched.select(*CHANNEL_KEY, *measures, F.explode(tagged).alias("_tagged")).select(
+        *CHANNEL_KEY, video.alias("_video"), item.alias("_item"), *[F.when(video, F.col(name)).alias(name) for name in measures]
+    )
+    items = rows.groupBy(*CHANNEL_KEY, "_video", "_item").agg(
+        F.sum("views").alias("views"),
+        F.count("views").alias("n_views"),
+        F.sum("likes").alias("likes"),
+        F.sum("comment_count").alias("comments"),
+        F.sum("engagement_rate").alias("engagement"),
+        F.count("engagement_rate").alias("n_engagement"),
+        F.max("views").alias("peak"),
+        F.count("trending_date_parsed").alias("days"),
+        F.min("trending_date_parsed").alias("first"),
+        F.max("trending_date_parsed").alias("last"),
+    )
+    average = lambda total, n: F.try_divide(F.sum(total).cast("double"), F.sum(n))
+    return items.groupBy(*CHANNEL_KEY).agg(
+        F.count_if(F.col("_video") & F.col("_item").isNotNull()).alias("total_videos"),
+        F.sum("views").alias("total_views"),
+        F.sum("likes").alias("total_likes"),
+        F.sum("comments").alias("total_comments"),
+        average("views", "n_views").alias("avg_views_per_video"),
+        average("engagement", "n_engagement").alias("avg_engagement_rate"),
+        F.max("peak").alias("peak_views"),
+        F.sum("days").alias("times_trending"),
+        F.min("first").alias("first_trending"),
+        F.max("last").alias("last_trending"),
+        F.array_sort(F.collect_list(F.when(~F.col("_video"), F.col("_item")))).alias("categories"),
     )
-    same = F.col(key[0]).eqNullSafe(F.col(f"_{key[0]}")) & F.col(key[1]).eqNullSafe(F.col(f"_{key[1]}"))
-    return totals.join(names, same).select(*totals.columns, "categories")
 
 
 def category_rollup(enriched: DataFrame) -> DataFrame:

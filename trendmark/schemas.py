@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from trendmark.config import CATEGORY, CHANNEL, TRENDING
+
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
@@ -115,3 +117,58 @@ SILVER_STATISTICS = T.StructType(
         T.StructField("trending_date_parsed", T.DateType()),
     ]
 )
+
+_DOUBLE = T.DoubleType()
+_DATE = T.DateType()
+_TIME = T.TimestampType()
+
+# The columns of the Gold tables.
+GOLD = {
+    TRENDING: _struct(
+        region=_STRING,
+        trending_date_parsed=_DATE,
+        total_videos=_LONG,
+        total_views=_LONG,
+        total_likes=_LONG,
+        total_dislikes=_LONG,
+        total_comments=_LONG,
+        avg_views_per_video=_DOUBLE,
+        avg_like_ratio=_DOUBLE,
+        avg_engagement_rate=_DOUBLE,
+        max_views=_LONG,
+        unique_channels=_LONG,
+        unique_categories=_LONG,
+        _aggregated_at=_TIME,
+    ),
+    CHANNEL: _struct(
+        channel_title=_STRING,
+        region=_STRING,
+        total_videos=_LONG,
+        total_views=_LONG,
+        total_likes=_LONG,
+        total_comments=_LONG,
+        avg_views_per_video=_DOUBLE,
+        avg_engagement_rate=_DOUBLE,
+        peak_views=_LONG,
+        times_trending=_LONG,
+        first_trending=_DATE,
+        last_trending=_DATE,
+        categories=T.ArrayType(_STRING),
+        rank_in_region=T.IntegerType(),
+        _aggregated_at=_TIME,
+    ),
+    CATEGORY: _struct(
+        category_name=_STRING,
+        category_id=_LONG,
+        region=_STRING,
+        trending_date_parsed=_DATE,
+        video_count=_LONG,
+        total_views=_LONG,
+        total_likes=_LONG,
+        total_comments=_LONG,
+        avg_engagement_rate=_DOUBLE,
+        unique_channels=_LONG,
+        view_share_pct=_DOUBLE,
+        _aggregated_at=_TIME,
+    ),
+}

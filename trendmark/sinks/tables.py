@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendmark.sources.tables import TableStore
 
@@ -35,30 +36,54 @@ def write_partitioned(
     )
 
 
-def register(store: TableStore, name: str, partition_by: Sequence[str] = ("region",)) -> None:
-    """List the table in its database: create it, or add the columns and partitions it has gained."""
+#: Partitions named in one statement.
+_AT_ONCE = 500
+
+
+def register(
+    store: TableStore,
+    name: str,
+    partition_by: Sequence[str] = ("region",),
+    schema: T.StructType | None = None,
+    partitions: Sequence[Row] | None = None,
+) -> None:
+    """List the table in its database: create it, or add the columns and partitions it has gained.
+
+    ``schema`` is that of the rows just written, ``partitions`` the partition values they have. Without them
+    the table's files and folders are looked through.
+    """
     if store.database is None:
         return
     spark = store.spark
     table = f"`{store.database}`.`{name}`"
-    written = store.read(name, merge_schema=True)
+    fields = (schema or store.read(name, merge_schema=True).schema).fields
     if spark.catalog.tableExists(table):
         known = set(spark.table(table).columns)
-        gained = [field for field in written.schema.fields if field.name not in known]
+        gained = [field for field in fields if field.name not in known]
         if gained:
             columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in gained)
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{store.database}`")
-        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in written.schema.fields)
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
         parts = ", ".join(f"`{part}`" for part in partition_by)
         spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({parts}) LOCATION '{store.path(name)}'"
         )
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        partitions = None  # what was written before the table was listed is listed too
+    if partitions is None:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    for first in range(0, len(partitions or ()), _AT_ONCE):
+        named = " ".join(f"PARTITION ({_values(row, partition_by)})" for row in partitions[first : first + _AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {named}")
     spark.catalog.refreshTable(table)
 
 
+def _values(row: Row, partition_by: Sequence[str]) -> str:
+    quoted = {part: "null" if row[part] is None else "'" + str(row[part]).replace("\\", "\\\\").replace("'", "\\'") + "'" for part in partition_by}
+    return ", ".join(f"`{part}` = {value}" for part, value in quoted.items())
+
+
 def publish(
     df: DataFrame,
     store: TableStore,
@@ -68,4 +93,4 @@ def publish(
 ) -> None:
     """Write a table of a layer and list it."""
     write_partitioned(df, store.path(name), partition_by, rebalance)
-    register(store, name, partition_by)
+    register(store, name, partition_by, df.schema)

@@ -7,9 +7,12 @@ from trendmark.streaming.arrivals import (
     stream_csv_snapshots,
     stream_documents,
 )
+from trendmark.streaming.gold_refresh import GoldRefresh, IncrementalMedallion
 from trendmark.streaming.upsert import SnapshotUpsert
 
 __all__ = [
+    "GoldRefresh",
+    "IncrementalMedallion",
     "ReferenceArrivals",
     "SnapshotUpsert",
     "first_seen",

@@ -4,70 +4,40 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendmark.config import STATISTICS
-from trendmark.operators.broadcasting import broadcast_if_small
-from trendmark.operators.dedup import keep_latest_snapshot
+from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
 from trendmark.plans.silver import silver_statistics
 from trendmark.schemas import SILVER_STATISTICS
+from trendmark.sinks.staged import Stage
 from trendmark.sinks.tables import register, write_partitioned
+from trendmark.sources.folders import partition_folders, path_exists, read_folders
 from trendmark.sources.tables import TableStore
 
 # The incremental table is also split by day, so that a batch rewrites the days it holds and no others.
 DAY_PARTITIONS = ("region", "trending_date_parsed")
-MAX_LISTED_DAYS = 4_000
-# Written after a stage is complete; readers skip names with a leading underscore.
-MARKER = "_FINISHED"
 
+#: What a batch has changed: its days, and the channels whose rows came or went.
+TOUCHED = T.StructType([*[f for f in SILVER_STATISTICS.fields if f.name == "channel_title"], *SILVER_STATISTICS.fields[-2:]])
 
-def _located(spark: SparkSession, path: str):
-    """A path and its file system, on whatever storage the cluster uses."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
+def rows_of_folders(store: TableStore, folders: list[str]) -> DataFrame:
+    """Silver rows of some days, given as partition folders; days the table does not have yet give none."""
+    path = store.path(STATISTICS)
+    return read_folders(store.spark, path, partition_folders(store.spark, path, len(DAY_PARTITIONS), folders), SILVER_STATISTICS)
 
-def _finished(spark: SparkSession, stage: str) -> bool:
-    filesystem, marker = _located(spark, f"{stage}/{MARKER}")
-    return filesystem.exists(marker)
 
-
-def _mark_finished(spark: SparkSession, stage: str) -> None:
-    filesystem, marker = _located(spark, f"{stage}/{MARKER}")
-    filesystem.create(marker, True).close()
-
-
-def _discard(spark: SparkSession, stage: str) -> None:
-    filesystem, folder = _located(spark, stage)
-    filesystem.delete(folder, True)
-
-
-def _same_days(days: list[Row]) -> Column:
-    """A predicate on the partition columns alone, so that no other folder is read."""
-    wanted = F.lit(False)
-    by_region: dict[str | None, list] = {}
-    for day in days:
-        by_region.setdefault(day.region, []).append(day.trending_date_parsed)
-    for region, dates in by_region.items():
-        date = F.col("trending_date_parsed")
-        listed = date.isin([value for value in dates if value is not None])
-        on_day = F.coalesce(listed, F.lit(False)) | date.isNull() if None in dates else listed
-        wanted = wanted | (F.col("region").eqNullSafe(F.lit(region)) & on_day)
-    return wanted
-
-
-def rows_of_same_days(table: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Rows of ``table`` in the partitions that ``fresh`` holds rows for."""
-    days = fresh.select(*DAY_PARTITIONS).distinct()
-    listed = days.limit(MAX_LISTED_DAYS + 1).collect()
-    if len(listed) <= MAX_LISTED_DAYS:
-        return table.filter(_same_days(listed))
-    touched = days.select(*[F.col(name).alias(f"_{name}") for name in DAY_PARTITIONS])
+def touched_rows(fresh: DataFrame, present: DataFrame) -> DataFrame:
+    """Region, day and channel of every fresh row, and of every present row that has a fresh row's key."""
+    names = TOUCHED.fieldNames()
+    keys = fresh.select(*[F.col(name).alias(f"_{name}") for name in SNAPSHOT_KEY]).distinct()
     same = F.lit(True)
-    for name in DAY_PARTITIONS:
+    for name in SNAPSHOT_KEY:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return table.join(broadcast_if_small(touched), same, "left_semi")
+    return fresh.select(*names).unionByName(present.join(keys, same, "left_semi").select(*names)).distinct()
 
 
 class SnapshotUpsert:
@@ -77,37 +47,64 @@ class SnapshotUpsert:
     then swapped in. Both stages are keyed by batch: a run that stops half-way through the swap repeats
     it from the finished stage, so no row is lost or doubled. Batches may come in any order, since the
     arrival time is kept with each row.
+
+    The staged batch's own folders say which days it touches. These are listed, read, replaced and added to the catalog;
+    what the table holds besides costs nothing.
+
+    With ``keep_touched`` the days and channels of each batch are kept until ``discard_touched``.
     """
 
-    def __init__(self, store: TableStore, checkpoint: str, job_name: str, now: datetime | None = None):
+    def __init__(self, store: TableStore, checkpoint: str, job_name: str, now: datetime | None = None, keep_touched: bool = False):
         self.store = store
         # Batch numbers belong to one checkpoint, so the stages lie inside it.
         self.staging = f"{checkpoint.rstrip('/')}/staged"
         self.job_name = job_name
         self.now = now
+        self.keep_touched = keep_touched
 
-    def _stage(self, df: DataFrame, path: str) -> None:
-        write_partitioned(df, path, DAY_PARTITIONS, whole_table=True)
-        _mark_finished(df.sparkSession, path)
+    def _stage(self, spark: SparkSession, name: str, batch_id: int) -> Stage:
+        return Stage(spark, f"{self.staging}/{name}-{batch_id}", DAY_PARTITIONS)
 
-    def _read(self, spark: SparkSession, path: str) -> DataFrame:
-        return spark.read.schema(SILVER_STATISTICS).parquet(path)
+    def _touched(self, spark: SparkSession, kind: str, batch: str) -> Stage:
+        return Stage(spark, f"{self.staging}/touched-{kind}/batch={batch}", ())
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh_path = f"{self.staging}/fresh-{batch_id}"
-        merged_path = f"{self.staging}/merged-{batch_id}"
-        if not _finished(spark, merged_path):
-            if not _finished(spark, fresh_path):
-                self._stage(silver_statistics(batch, self.job_name, self.now), fresh_path)
-            fresh = self._read(spark, fresh_path)
-            if self.store.exists(STATISTICS):
-                present = self._read(spark, self.store.path(STATISTICS))
-                fresh = keep_latest_snapshot(rows_of_same_days(present, fresh).unionByName(fresh))
-            self._stage(fresh, merged_path)
-        write_partitioned(
-            self._read(spark, merged_path), self.store.path(STATISTICS), DAY_PARTITIONS, rebalance=False
-        )
-        register(self.store, STATISTICS, DAY_PARTITIONS)
-        for path in (f"{self.staging}/fresh-{batch_id - 1}", f"{self.staging}/merged-{batch_id - 1}"):
-            _discard(spark, path)
+        fresh, merged = (self._stage(spark, name, batch_id) for name in ("fresh", "merged"))
+        if not merged.finished:
+            if not fresh.finished:
+                fresh.write(silver_statistics(batch, self.job_name, self.now))
+            rows = fresh.read(SILVER_STATISTICS)
+            present = rows_of_folders(self.store, fresh.folders())
+            if self.keep_touched:
+                touched_rows(rows, present).write.mode("overwrite").parquet(self._touched(spark, "rows", str(batch_id)).path)
+                folders = spark.createDataFrame([(folder,) for folder in fresh.folders()], "folder string")
+                folders.write.mode("overwrite").parquet(self._touched(spark, "days", str(batch_id)).path)
+            merged.write(keep_latest_snapshot(present.unionByName(rows)))
+        rows = merged.read(SILVER_STATISTICS)
+        write_partitioned(rows, self.store.path(STATISTICS), DAY_PARTITIONS, rebalance=False)
+        if self.store.database is not None:
+            # A row for each day of the batch.
+            register(self.store, STATISTICS, DAY_PARTITIONS, rows.schema, rows.select(*DAY_PARTITIONS).distinct().collect())
+        days = self._touched(spark, "days", str(batch_id))
+        if self.keep_touched and path_exists(spark, days.path):
+            days.mark()  # from here on Gold may follow
+        for name in ("fresh", "merged"):
+            self._stage(spark, name, batch_id - 1).discard()
+
+    def pending(self, spark: SparkSession) -> list[str]:
+        """Batches in Silver whose days and channels are kept."""
+        root = f"{self.staging}/touched-days"
+        names = [folder.removeprefix("batch=") for folder in partition_folders(spark, root, 1)]
+        return [name for name in names if self._touched(spark, "days", name).finished]
+
+    def touched(self, spark: SparkSession, batches: list[str]) -> tuple[DataFrame, list[str]]:
+        """Region, day and channel of what some batches have touched, and the partition folders of their days."""
+        rows = spark.read.schema(TOUCHED).parquet(*[self._touched(spark, "rows", name).path for name in batches])
+        days = spark.read.schema("folder string").parquet(*[self._touched(spark, "days", name).path for name in batches])
+        return rows, sorted(row.folder for row in days.distinct().collect())
+
+    def discard_touched(self, spark: SparkSession, batches: list[str]) -> None:
+        for name in batches:
+            for kind in ("days", "rows"):
+                self._touched(spark, kind, name).discard()

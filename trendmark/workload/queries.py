@@ -62,6 +62,7 @@ from trendmark.sources import (
 )
 from trendmark.sources.csv_snapshots import in_regions
 from trendmark.streaming import (
+    IncrementalMedallion,
     ReferenceArrivals,
     SnapshotUpsert,
     first_seen,
@@ -86,11 +87,6 @@ NOW = datetime(2024, 2, 1)
 JOB = "medallion"
 KEY = ["video_id", "region", "trending_date_parsed"]
 SILVER_COLUMNS = [*SNAPSHOT_COLUMNS, "trending_date_parsed", "like_ratio", "engagement_rate"]
-# What the Gold tables need of Silver.
-GOLD_COLUMNS = [
-    *KEY, "channel_title", "category_id", "views", "likes", "dislikes", "comment_count", "like_ratio", "engagement_rate",
-]
-
 QUERIES: dict[str, Query] = {}
 
 
@@ -125,13 +121,6 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(silver(spark, sf_dir), nation_reference(spark, sf_dir))
 
 
-def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched rows over a written Silver table, for plans that read it more than once."""
-    path = scratch_path(spark, "silver")
-    silver(spark, sf_dir).select(*GOLD_COLUMNS).write.parquet(path)
-    return enrich(spark.read.parquet(path), nation_reference(spark, sf_dir))
-
-
 def parsed(documents: DataFrame) -> DataFrame:
     return parse_documents(documents, VIDEO_ITEM, "document")
 
@@ -494,7 +483,7 @@ def channel_table(rows: DataFrame) -> DataFrame:
 
 @query("gold_channel")
 def gold_channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return channel_table(gold_channel(enriched_table(spark, sf_dir), NOW).drop("_aggregated_at"))
+    return channel_table(gold_channel(enriched(spark, sf_dir), NOW).drop("_aggregated_at"))
 
 
 @query("gold_category")
@@ -525,7 +514,7 @@ def approx_unique_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("channel_categories")
 def channel_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = channel_rollup(enriched_table(spark, sf_dir))
+    rows = channel_rollup(enriched(spark, sf_dir))
     return rows.select("channel_title", "region", F.array_join("categories", "|").alias("categories"))
 
 
@@ -758,6 +747,33 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(STATISTICS).select(*SILVER_COLUMNS)
 
 
+@query("incremental_gold")
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three waves, out of order: Gold follows each of them and ends as a full rebuild would have it."""
+    root = scratch_path(spark, "incremental-gold")
+    silver_store, gold_store = TableStore(spark, f"{root}/silver"), TableStore(spark, f"{root}/gold")
+    reference = with_audit(nation_reference(spark, sf_dir), "_ingestion_timestamp", NOW, as_text=True)
+    publish(reference, silver_store, REFERENCE)
+    handler = IncrementalMedallion(silver_store, gold_store, f"{root}/checkpoint", JOB, now=NOW)
+    rows = snapshot(spark, sf_dir).drop("l_linenumber")
+    hour = F.hour(ARRIVED_AT)
+    for batch_id, wave in enumerate([hour >= 5, hour <= 2, (hour > 2) & (hour < 5)]):
+        handler(rows.filter(wave), batch_id)
+    channel = gold_store.read(CHANNEL).select(
+        F.lit("channel").alias("table"), "region", F.col("channel_title").alias("name"), F.lit(None).cast("date").alias("day"),
+        "total_views", F.col("total_videos").alias("videos"), F.col("rank_in_region").cast("double").alias("place"),
+    )
+    category = gold_store.read(CATEGORY).select(
+        F.lit("category").alias("table"), "region", F.col("category_name").alias("name"), F.col("trending_date_parsed").alias("day"),
+        "total_views", F.col("video_count").alias("videos"), F.col("view_share_pct").alias("place"),
+    )
+    trending = gold_store.read(TRENDING).select(
+        F.lit("trending").alias("table"), "region", F.lit(None).cast("string").alias("name"), F.col("trending_date_parsed").alias("day"),
+        "total_views", F.col("total_videos").alias("videos"), F.col("unique_channels").cast("double").alias("place"),
+    )
+    return channel.unionByName(category).unionByName(trending)
+
+
 @query("incremental_reference")
 def incremental_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category documents as they land, those of size 1 cut short; the latter are counted."""
