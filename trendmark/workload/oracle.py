@@ -456,13 +456,17 @@ ORACLE: dict[str, str] = {
     # Incremental
     "incremental_ingest": _live_silver(f"SELECT {SILVER_COLUMNS} FROM silver"),
     "incremental_upsert": _live_silver(f"SELECT {SILVER_COLUMNS} FROM silver"),
-    "incremental_gold": _enriched(
+    "incremental_gold": _snapshot(
         f"""SELECT 'channel' AS "table", region, channel_title AS name, CAST(NULL AS DATE) AS day, total_views, total_videos AS videos,
             CAST(row_number() OVER (PARTITION BY region ORDER BY total_views DESC, channel_title NULLS LAST) AS DOUBLE) AS place
         FROM channel
         UNION ALL SELECT 'category', region, category_name, trending_date_parsed, total_views, video_count, view_share_pct FROM category
         UNION ALL SELECT 'trending', region, NULL, trending_date_parsed, total_views, total_videos, CAST(unique_channels AS DOUBLE)
         FROM ({TRENDING})""",
+        LIVE,
+        _cleansed("live"),
+        SILVER,
+        ENRICHED,
         CHANNEL,
         CATEGORY,
     ),
