@@ -1,7 +1,10 @@
 import json
+import time
 from datetime import datetime
 from pathlib import Path
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rows import raw
@@ -20,7 +23,9 @@ from trendmark.sources import (
     split_corrupt,
     with_columns_of,
 )
+from trendmark.sources.csv_headers import header_lines
 from trendmark.sources.csv_snapshots import in_regions
+from trendmark.streaming import stream_csv_snapshots
 
 ITEM = {
     "id": "abc",
@@ -57,8 +62,69 @@ def test_csv_snapshots_keep_quoted_line_breaks_and_bad_cells(spark, folder):
     assert rows[0]._arrived_at is not None
     only = read_csv_snapshots(spark, folder, regions=["ca"])
     assert {r.region for r in only.collect()} == {"CA"}
-    scan = only._jdf.queryExecution().executedPlan().collectLeaves().head()
-    assert scan.metrics().get("numFiles").get().value() == 1
+    leaves = only._jdf.queryExecution().executedPlan().executedPlan().collectLeaves().head().plan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if leaves.apply(i).metrics().contains("numFiles")]
+    assert [scan.metrics().get("numFiles").get().value() for scan in scans] == [1]
+
+
+def drifting_files(folder):
+    """The canonical layout, columns in reverse, one missing and one added, capitals; a header alone, an empty file."""
+    names = HEADER.split(",")
+    cells = dict(zip(names, ["v1", "17.14.11", '"t, ""x""\nline"', "c", "10", "p", "a|b", "12", "1", "2", "3", "l", "false", "true", "False", "d"]))
+    layouts = {
+        "a": names,
+        "b": names[::-1],
+        "c": ["added", *[n for n in names if n not in ("likes", "title")]],
+        "d": [f'" {n.upper()} "' for n in sorted(names)],
+    }
+    for name, columns in layouts.items():
+        row = ",".join(cells.get(c.strip('" ').lower(), '"more, cells"') for c in columns)
+        put(folder, f"region={name}/{name}.csv", ("\ufeff" if name == "b" else "") + ",".join(columns) + "\n" + f"{row}\n" * 2)
+    put(folder, "region=e/e.csv", HEADER + "\n")
+    put(folder, "region=e/f.csv", "")
+    put(folder, "region=e/g.csv", "\n\n" + HEADER + "\n" + ",".join(cells[n].replace("\n", " ") for n in names) + "\n")
+
+
+def drift_checked(rows):
+    found = {r.region: r for r in rows}
+    assert [r.region for r in rows] == ["a", "a", "b", "b", "c", "c", "d", "d", "e"]
+    for region, r in found.items():
+        assert (r.video_id, r.views, r.dislikes, r.description, r.ratings_disabled) == ("v1", 12, 2, "d", True)
+        assert (r.likes, r.title is None) == ((None, True) if region == "c" else (1, False))
+    assert found["b"].title == 't, "x"\nline' and "added" not in rows[0]
+
+
+def test_csv_columns_are_found_by_name(spark, folder):
+    drifting_files(folder)
+    drift_checked(normalize_csv(read_csv_snapshots(spark, folder)).orderBy("region").collect())
+    only = normalize_csv(read_csv_snapshots(spark, folder, ["c"], multi_line=False))
+    assert {r.views for r in only.collect()} == {12}
+
+
+def test_streamed_csv_columns_are_found_by_name(spark, folder):
+    drifting_files(folder + "/raw")
+
+    def landed(name, **options):
+        stream = normalize_csv(stream_csv_snapshots(spark, folder + "/raw", **options))
+        query = stream.writeStream.format("parquet").option("path", f"{folder}/{name}")
+        query.option("checkpointLocation", f"{folder}/{name}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(f"{folder}/{name}").orderBy("region").collect()
+
+    drift_checked(landed("all"))
+    drift_checked(landed("by_three", max_files=3))
+    with pytest.raises(StreamingQueryException, match="more than 10 columns"):
+        landed("narrow", width=10)
+
+
+def test_headers_are_read_without_the_files(spark, folder):
+    for i in range(3):
+        put(folder, f"in/f{i}.csv", "id,n\n" + "1,2\n" * 2_000_000)
+    started = time.perf_counter()
+    assert {r.header for r in header_lines(spark, folder + "/in").collect()} == {"id,n"}
+    first = time.perf_counter() - started
+    started = time.perf_counter()
+    assert spark.read.text(folder + "/in").filter("value = 'x'").count() == 0
+    assert first < 20 * (time.perf_counter() - started)
 
 
 def test_csv_without_region_folder(spark, folder):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,14 @@ def build_session(app_name: str = "trendmark", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def ready(spark: SparkSession) -> None:
+    """Let Python workers that start from now on find this package where it is not installed."""
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}".strip(":")
+
+
 def _is_local(spark: SparkSession) -> bool:
     master = spark.sparkContext.master
     return master == "local" or master.startswith("local[")

@@ -15,32 +15,38 @@ from trendmark.operators.dedup import SNAPSHOT_KEY
 from trendmark.operators.normalize import ARRIVED_AT
 from trendmark.operators.reference import newest_document, refine_reference
 from trendmark.schemas import CORRUPT, CSV_FILE, document_schema
-from trendmark.session import durable
+from trendmark.session import durable, ready
 from trendmark.sinks.tables import publish
-from trendmark.sources.csv_snapshots import CSV_GLOB, snapshot_file_columns
+from trendmark.sources.csv_headers import CSV_GLOB, cells_by_name
+from trendmark.sources.csv_snapshots import snapshot_file_columns
 from trendmark.sources.documents import JSON_GLOB, split_corrupt, with_file_columns
 from trendmark.sources.tables import TableStore
 
 
 def stream_csv_snapshots(
-    spark: SparkSession, path: str, max_files: int | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, max_files: int | None = None, multi_line: bool = True, width: int = 64
 ) -> DataFrame:
-    """CSV snapshots as they land, shaped like the batch reader's rows."""
-    reader = (
-        spark.readStream.schema(CSV_FILE)
-        .option("header", True)
-        .option("enforceSchema", False)  # a header in another order is an error, not swapped values
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", CSV_GLOB)
-    )
+    """CSV snapshots as they land, shaped like the batch reader's rows.
+
+    Each file is read whole by one task, which takes its columns by the names in the file's header: in any order and case,
+    NULL where the file lacks one. A file with more than ``width`` columns ends the run. Without ``multi_line`` files
+    are split, and a header that is not the expected one ends the run.
+    """
+    reader = spark.readStream.option("multiLine", multi_line).option("escape", '"')
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path).select(
-        *CSV_FILE.fieldNames(),
-        *snapshot_file_columns(),
-    )
+    wanted = CSV_FILE.fieldNames()
+    if not multi_line:
+        strict = reader.schema(CSV_FILE).option("header", True).option("enforceSchema", False).csv(path)
+        return strict.select(*wanted, *snapshot_file_columns())
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
+    rows = reader.schema(cells).option("header", False).csv(path)
+    rows = rows.select(*cells.fieldNames(), *snapshot_file_columns(), F.col("_metadata.file_path").alias("source"))
+    kept = "region string, _arrived_at timestamp, source string"
+    ready(spark)
+    by_name = rows.mapInArrow(lambda batches: cells_by_name(batches, wanted, width), ", ".join(f"{n} string" for n in wanted) + f", {kept}")
+    return by_name.drop("source")
 
 
 def stream_documents(

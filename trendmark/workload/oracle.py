@@ -250,6 +250,10 @@ GOLD_CATEGORY = _enriched("SELECT * FROM category", CATEGORY)
 ORACLE: dict[str, str] = {
     # Sources
     "csv_scan_roundtrip": _snapshot(f"SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region) FROM snapshot"),
+    "csv_scan_drift": _snapshot(
+        """SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region,
+        CASE WHEN lower(trim(region)) <> 'eu' THEN likes END AS likes) FROM snapshot"""
+    ),
     "json_scan_roundtrip": _snapshot(f"SELECT {COLUMNS} FROM live", LIVE),
     "json_items_explode": _snapshot(
         """SELECT video_id || suffix AS video_id, title, upper(trim(region)) AS region, position
@@ -478,5 +482,9 @@ ORACLE: dict[str, str] = {
         LAST_ITEMS,
     ),
     "incremental_csv": _snapshot("SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region) FROM snapshot"),
+    "incremental_csv_drift": _snapshot(
+        """SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region,
+        CASE WHEN lower(trim(region)) <> 'eu' THEN likes END AS likes) FROM snapshot"""
+    ),
     "incremental_dedup_bounded": _snapshot(f"SELECT DISTINCT {KEY} FROM cleansed", LIVE, _cleansed("live")),
 }

@@ -141,6 +141,28 @@ def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_csv(read_csv_snapshots(spark, path)).select(*SNAPSHOT_COLUMNS)
 
 
+def write_drifting_csv(rows: DataFrame, path: str) -> None:
+    """A layout for each region: as they are, in reverse, one column less and one more, in capitals and sorted."""
+    names = [name for name in SNAPSHOT_COLUMNS if name != "region"]
+    layouts = {
+        "af": names,
+        "am": names,
+        "as": names[::-1],
+        "eu": ["video_id", "extra", *[name for name in names[1:] if name != "likes"]],
+        "mi": [name.upper() for name in sorted(names)],
+    }
+    rows = rows.withColumn("extra", F.lit('a "quoted", cell'))
+    for region, columns in layouts.items():
+        write_csv(rows.filter(F.col("region") == region).select(*[F.col(c.lower()).alias(c) for c in columns]), f"{path}/region={region}")
+
+
+@query("csv_scan_drift")
+def csv_scan_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv-drift")
+    write_drifting_csv(snapshot(spark, sf_dir).withColumn("region", clean_region(F.col("region"))), path)
+    return normalize_csv(read_csv_snapshots(spark, path)).select(*SNAPSHOT_COLUMNS)
+
+
 @query("json_scan_roundtrip")
 def json_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")
@@ -805,6 +827,17 @@ def incremental_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+@query("incremental_csv_drift")
+def incremental_csv_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of several layouts through the file stream, in batches that mix them."""
+    root = scratch_path(spark, "csv-drift-stream")
+    write_drifting_csv(snapshot(spark, sf_dir).withColumn("region", clean_region(F.col("region"))), f"{root}/raw")
+    stream = normalize_csv(stream_csv_snapshots(spark, f"{root}/raw", max_files=12)).select(*SNAPSHOT_COLUMNS)
+    landed = stream.writeStream.format("parquet").option("path", f"{root}/out")
+    landed.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @query("incremental_dedup_bounded")
 def incremental_dedup_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "first-seen")
