@@ -1,4 +1,4 @@
-"""Category reference data: flatten, validate, keep the last of each id."""
+"""Category reference data: flatten, keep the last of each id, replace by region."""
 
 from __future__ import annotations
 
@@ -9,16 +9,24 @@ from trendmark.functions import clean_region, flatten_struct
 from trendmark.schemas import CATEGORY_ITEM
 from trendmark.sources.documents import explode_documents
 
+
 def category_items(documents: DataFrame, fallback: bool = True) -> DataFrame:
     """One row per category item with dotted columns, from either document layout."""
     return flatten_struct(explode_documents(documents, CATEGORY_ITEM, fallback))
 
 
-def keep_last_category(items: DataFrame) -> DataFrame:
-    """The last item of each id within its document and region.
+#: Whether a later item of the document and region has the same id.
+REPEATED = "_repeated"
 
-    Items without an id count as one id, as all their missing ids are equal.
-    """
+
+def numbered_categories(items: DataFrame) -> DataFrame:
+    """``items`` with ``_repeated``. Items without an id count as one id, as all their missing ids are equal."""
+    newest = Window.partitionBy("_source_file", "region", "id").orderBy(F.col("_position").desc())
+    return items.withColumn(REPEATED, F.row_number().over(newest) > 1)
+
+
+def keep_last_category(items: DataFrame) -> DataFrame:
+    """The last item of each id within its document and region."""
     newest = Window.partitionBy("_source_file", "region", "id").orderBy(F.col("_position").desc())
     return items.withColumn("_nth", F.row_number().over(newest)).filter(F.col("_nth") == 1).drop("_nth")
 
@@ -33,6 +41,9 @@ def newest_document(items: DataFrame) -> DataFrame:
 
 
 def refine_reference(documents: DataFrame) -> DataFrame:
-    """Reference rows ready to be written: each region's newest document, its last item of each id."""
-    items = category_items(documents).withColumn("region", clean_region(F.col("region")))
+    """Reference rows ready to be written: each region's newest document, its last item of each id.
+
+    Items without an id name no category and are left out; ``operators.validation`` reports them.
+    """
+    items = category_items(documents).filter(F.trim("id") != "").withColumn("region", clean_region(F.col("region")))
     return keep_last_category(newest_document(items)).drop("_position")

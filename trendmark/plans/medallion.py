@@ -13,9 +13,11 @@ from trendmark.config import CATEGORY, CHANNEL, REFERENCE, STATISTICS, TRENDING,
 from trendmark.operators.cleanse import with_audit
 from trendmark.operators.quality import run_checks, verdict
 from trendmark.operators.reference import refine_reference
+from trendmark.operators.validation import category_checks, has_content, judged_categories, quarantined_categories
 from trendmark.plans.gold import enrich, gold_category, gold_channel, gold_trending
 from trendmark.plans.silver import StageCounts, combine_sources, silver_statistics
 from trendmark.schemas import CATEGORY_ITEM, SILVER_STATISTICS, VIDEO_ITEM
+from trendmark.session import durable
 from trendmark.sinks.tables import publish
 from trendmark.sources import (
     TableStore,
@@ -26,6 +28,7 @@ from trendmark.sources import (
 )
 
 QUARANTINE = "quarantined_documents"
+REFUSED_CATEGORIES = "quarantined_categories"
 
 
 @dataclass(frozen=True)
@@ -50,11 +53,12 @@ class MedallionConfig:
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run did: its counts, the verdict row, and whether Gold was built."""
+    """What a run did: its counts, the verdict row, whether Gold was built, and what category rules found."""
 
     counts: dict[str, int]
     verdict: Row
     gold_built: bool
+    category_checks: list[Row] = field(default_factory=list)
 
     @property
     def failed_checks(self) -> list[Row]:
@@ -89,12 +93,20 @@ def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: d
     return found if quarantined is None else found | {"corrupt_documents": quarantined.get["rows"]}
 
 
-def build_silver_reference(spark: SparkSession, config: MedallionConfig, now: datetime | None = None) -> None:
+def build_silver_reference(spark: SparkSession, config: MedallionConfig, now: datetime | None = None) -> list[Row]:
+    """Write the reference table; what breaks a rule is refused to ``REFUSED_CATEGORIES`` or reported.
+
+    Returns the check row of each rule. They do not close the gate: a bad document spoils no other.
+    """
     if not config.categories_path:
-        return
-    readable, _ = split_corrupt(read_documents(spark, config.categories_path, CATEGORY_ITEM, config.multi_line))
-    rows = refine_reference(readable)
+        return []
+    documents = read_documents(spark, config.categories_path, CATEGORY_ITEM, config.multi_line)
+    judged = durable(judged_categories(documents))
+    quarantined_categories(judged).write.mode("overwrite").parquet(config.silver.path(REFUSED_CATEGORIES))
+    readable, _ = split_corrupt(documents)
+    rows = refine_reference(readable.filter(has_content()))
     publish(with_audit(rows, "_ingestion_timestamp", now, as_text=True), config.silver, REFERENCE)
+    return category_checks(judged).collect()
 
 
 def check_silver(spark: SparkSession, config: MedallionConfig, as_of: datetime | None = None) -> DataFrame:
@@ -128,7 +140,7 @@ def run_medallion(
 ) -> RunResult:
     """One full run. Gold is built only if every check passes."""
     counts = build_silver_statistics(spark, config, now)
-    build_silver_reference(spark, config, now)
+    categories = build_silver_reference(spark, config, now)
     checks = check_silver(spark, config, now)
     if raise_on_failure:
         found = gate(checks)
@@ -136,7 +148,7 @@ def run_medallion(
         found = verdict(checks).first()
     if found.quality_passed:
         build_gold(config, now)
-    return RunResult(counts, found, found.quality_passed)
+    return RunResult(counts, found, found.quality_passed, categories)
 
 
 __all__ = [

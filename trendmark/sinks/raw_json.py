@@ -6,19 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendmark.functions import partition_stamps
+from trendmark.operators.broadcasting import broadcast_if_small
 
 
 def write_raw_documents(documents: DataFrame, text: str, moment: Column, path: str, by_hour: bool = True) -> None:
     """Write one document a line below ``date=/hour=`` (statistics) or ``date=`` (categories).
 
-    Each fetch has its own folder below those, so landing a fetch again replaces it and nothing else.
-    The text is written as it came: fields no schema names are kept.
+    Each fetch has its own folder below those, named after its second and its content. Landing a fetch again replaces it
+    and nothing else; other documents of the same second have other content and so another folder. Nothing landed before
+    is read or written again. The text is written as it came: fields no schema names are kept.
     """
     stamps = partition_stamps(moment)
     folders = ["date", "hour", "ingestion_id"] if by_hour else ["date", "ingestion_id"]
     rows = documents.select(F.col(text).alias("value"), *[stamps[name].alias(name) for name in folders])
+    # The same for the same documents in any order; a row for each second.
+    content = F.sha1(F.concat_ws(" ", F.count("*"), F.sum(F.xxhash64("value").cast("decimal(20,0)"))))
+    fetches = rows.groupBy(F.col("ingestion_id").alias("_second")).agg(F.substring(content, 1, 16).alias("_content"))
+    same = F.col("ingestion_id").eqNullSafe(F.col("_second"))
+    named = rows.join(broadcast_if_small(fetches), same).withColumn("ingestion_id", F.concat_ws("-", "ingestion_id", "_content"))
     (
-        rows.hint("rebalance", *[F.col(name) for name in folders])
+        named.select("value", *folders)
+        .hint("rebalance", *[F.col(name) for name in folders])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)

@@ -1,7 +1,9 @@
 """Incremental runs: only files not seen before are processed."""
 
 from trendmark.streaming.arrivals import (
+    FirstArrivals,
     ReferenceArrivals,
+    VideoArrivals,
     first_seen,
     run_available,
     stream_csv_snapshots,
@@ -11,10 +13,12 @@ from trendmark.streaming.gold_refresh import GoldRefresh, IncrementalMedallion
 from trendmark.streaming.upsert import SnapshotUpsert
 
 __all__ = [
+    "FirstArrivals",
     "GoldRefresh",
     "IncrementalMedallion",
     "ReferenceArrivals",
     "SnapshotUpsert",
+    "VideoArrivals",
     "first_seen",
     "run_available",
     "stream_csv_snapshots",

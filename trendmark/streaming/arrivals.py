@@ -11,15 +11,18 @@ from pyspark.sql import types as T
 
 from trendmark.config import REFERENCE
 from trendmark.operators.cleanse import with_audit
-from trendmark.operators.dedup import SNAPSHOT_KEY
-from trendmark.operators.normalize import ARRIVED_AT
+from trendmark.operators.dedup import SNAPSHOT_KEY, keep_first
+from trendmark.operators.normalize import ARRIVED_AT, normalize_json
 from trendmark.operators.reference import newest_document, refine_reference
-from trendmark.schemas import CORRUPT, CSV_FILE, document_schema
+from trendmark.operators.validation import has_content
+from trendmark.schemas import CORRUPT, CSV_FILE, VIDEO_ITEM, document_schema
 from trendmark.session import durable, ready
-from trendmark.sinks.tables import publish
+from trendmark.sinks.staged import Stage
+from trendmark.sinks.tables import publish, write_partitioned
 from trendmark.sources.csv_headers import CSV_GLOB, cells_by_name
 from trendmark.sources.csv_snapshots import snapshot_file_columns
-from trendmark.sources.documents import JSON_GLOB, split_corrupt, with_file_columns
+from trendmark.sources.documents import JSON_GLOB, explode_documents, split_corrupt, with_file_columns
+from trendmark.sources.folders import partition_folders, path_exists, read_folders
 from trendmark.sources.tables import TableStore
 
 
@@ -99,7 +102,7 @@ class ReferenceArrivals:
         # Keyed by batch, so that a repeated batch replaces its own rows.
         corrupt.write.mode("overwrite").parquet(f"{self.quarantine.rstrip('/')}/batch={batch_id}")
         rows = with_audit(
-            refine_reference(readable.filter(_has_content(readable))), "_ingestion_timestamp", self.now, as_text=True
+            refine_reference(readable.filter(has_content())), "_ingestion_timestamp", self.now, as_text=True
         )
         present = self.store.read_if_present(REFERENCE, True)
         if present is not None:
@@ -108,6 +111,78 @@ class ReferenceArrivals:
         publish(rows, self.store, REFERENCE)
 
 
-def _has_content(documents: DataFrame):
-    """False for documents that hold no category at all: those replace nothing."""
-    return (F.size("items") > 0) | F.col("regions").isNotNull() | F.col("id").isNotNull()
+class VideoArrivals:
+    """Handler of new video documents: rows of readable ones go to ``handler``, the others to quarantine.
+
+    Both outputs are keyed by batch, so that a repeated batch replaces its own.
+    """
+
+    def __init__(self, handler: Callable[[DataFrame, int], None], quarantine: str):
+        self.handler = handler
+        self.quarantine = quarantine.rstrip("/")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # both outputs come from one reading of the files
+        try:
+            readable, corrupt = split_corrupt(batch)
+            corrupt.write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
+            self.handler(normalize_json(explode_documents(readable, VIDEO_ITEM)), batch_id)
+        finally:
+            batch.unpersist()
+
+
+class FirstArrivals:
+    """Handler that keeps the first arrival of each key, those on time apart from those that come late.
+
+    A row is late if it arrived more than ``delay`` before the latest arrival of earlier batches. What was seen is kept by key
+    in a table split by lateness, region and day, where a batch has folders of its own: a repeated batch replaces them,
+    and a batch reads only the days it holds. No key is forgotten, so a late repeat is dropped like any other, and a late
+    first arrival is never lost.
+    """
+
+    SPLIT = ("late", "region", "trending_date_parsed", "batch")
+
+    def __init__(self, root: str, delay: str = "48 hours"):
+        self.root, self.delay = root.rstrip("/"), delay
+        self.path = f"{self.root}/arrivals"
+        self.schema = T.StructType.fromDDL(
+            f"video_id string, {ARRIVED_AT} timestamp, late boolean, region string, trending_date_parsed date, batch bigint"
+        )
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        first = keep_first(batch.select(*SNAPSHOT_KEY, ARRIVED_AT), SNAPSHOT_KEY, [F.col(ARRIVED_AT).asc_nulls_last()])
+        staged = Stage(spark, f"{self.root}/staged", ("region", "trending_date_parsed"))
+        staged.write(first)
+        rows = spark.read.schema(_without(self.schema, "late", "batch")).parquet(staged.path)
+        folders = [f"late={late}/{folder}" for late in ("false", "true") for folder in staged.folders()]
+        present = read_folders(spark, self.path, partition_folders(spark, self.path, 3, folders), self.schema)
+        seen = present.filter(F.col("batch") < batch_id).select(*[F.col(name).alias(f"_{name}") for name in SNAPSHOT_KEY])
+        same = F.lit(True)
+        for name in SNAPSHOT_KEY:
+            same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+        limit = self._latest(spark, batch_id)
+        late = F.lit(False) if limit is None else F.coalesce(F.col(ARRIVED_AT) < F.lit(limit) - F.expr(f"INTERVAL {self.delay}"), F.lit(False))
+        unseen = rows.join(seen, same, "left_anti").withColumns({"late": late, "batch": F.lit(batch_id).cast("bigint")})
+        write_partitioned(unseen, self.path, self.SPLIT)
+        self._mark(spark, batch_id, rows.agg(F.max(ARRIVED_AT)).first()[0], limit)
+
+    def _marks(self, batch_id: int) -> str:
+        return f"{self.root}/latest/batch={batch_id}"
+
+    def _latest(self, spark: SparkSession, batch_id: int) -> datetime | None:
+        """The latest arrival of earlier batches."""
+        path = self._marks(batch_id - 1)
+        return spark.read.schema("latest timestamp").parquet(path).first().latest if path_exists(spark, path) else None
+
+    def _mark(self, spark: SparkSession, batch_id: int, latest: datetime | None, before: datetime | None) -> None:
+        known = max((moment for moment in (latest, before) if moment is not None), default=None)
+        spark.createDataFrame([(known,)], "latest timestamp").coalesce(1).write.mode("overwrite").parquet(self._marks(batch_id))
+
+    def read(self, spark: SparkSession, late: bool) -> DataFrame:
+        """First arrivals that were on time, or late."""
+        return spark.read.schema(self.schema).parquet(self.path).filter(F.col("late") == late).drop("late", "batch")
+
+
+def _without(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([field for field in schema.fields if field.name not in names])

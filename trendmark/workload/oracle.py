@@ -302,7 +302,10 @@ ORACLE: dict[str, str] = {
                strftime(arrived_at, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at, count(*) AS documents
         FROM snapshot GROUP BY ALL"""
     ),
-    "csv_to_parquet": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+    "bronze_json_same_second": _snapshot(
+        "SELECT strftime(arrived_at, '%Y%m%d_%H%M%S') AS ingestion_id, count(*) AS documents FROM snapshot GROUP BY ALL"
+    ),
+    "csv_to_parquet": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
         CAST(NULL AS VARCHAR) AS corrupt FROM orders""",
     "conversion_manifest": """SELECT 'orders' AS layout, count(*) AS rows, TRUE AS one_output_each FROM orders
         UNION ALL SELECT 'customer', count(*), TRUE FROM customer""",
@@ -421,6 +424,12 @@ ORACLE: dict[str, str] = {
     "category_keep_last": _with(
         "SELECT id, snippet_title, region, source_file FROM last_items", CATEGORY_ITEMS, LAST_ITEMS
     ),
+    "category_validation": """SELECT rule, CAST(count(p_size) * each AS DOUBLE) AS value, count(p_size) = 0 OR NOT refuses AS passed,
+        CASE WHEN refuses THEN count(p_size) * each ELSE 0 END AS refused
+        FROM (VALUES ('unreadable', TRUE, 1, 4), ('no_items', TRUE, 1, 3), ('no_id', TRUE, 3, 2), ('no_title', FALSE, 3, 5),
+                     ('repeated_id', FALSE, 1, NULL)) AS rules(rule, refuses, each, size)
+        LEFT JOIN part ON p_size = size OR (size IS NULL AND p_size NOT IN (2, 3, 4))
+        GROUP BY rule, refuses, each""",
     # Quality
     "dq_row_count": _silver(
         """SELECT 'row_count' AS "check", 'clean_statistics' AS "table", CAST(count(*) AS DOUBLE) AS value,
@@ -481,6 +490,20 @@ ORACLE: dict[str, str] = {
         CATEGORY_ITEMS,
         LAST_ITEMS,
     ),
+    "incremental_quarantine": _snapshot(
+        """SELECT region, trending_date_parsed, count(*) AS cnt FROM silver GROUP BY ALL
+        UNION ALL SELECT 'quarantine', NULL, count(*) FROM snapshot WHERE hour(arrived_at) = 2""",
+        LIVE,
+        "whole AS (SELECT * FROM live WHERE hour(arrived_at) <> 2)",
+        _cleansed("whole"),
+        SILVER,
+    ),
+    "incremental_late_arrivals": _snapshot(
+        f"""SELECT {KEY}, strftime(min(arrived_at), '%Y-%m-%d %H:%M:%S') AS arrived_at,
+        min(arrived_at) < (SELECT max(arrived_at) FROM live) - INTERVAL 72 HOUR AS late FROM cleansed GROUP BY {KEY}""",
+        LIVE,
+        _cleansed("live"),
+    ),
     "incremental_csv": _snapshot("SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region) FROM snapshot"),
     "incremental_csv_drift": _snapshot(
         """SELECT * EXCLUDE (arrived_at) REPLACE (lower(trim(region)) AS region,

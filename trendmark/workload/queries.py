@@ -45,6 +45,7 @@ from trendmark.operators.rollups import (
     trending_rollup,
     with_view_share,
 )
+from trendmark.operators.validation import category_checks, judged_categories, quarantined_categories
 from trendmark.plans.gold import enrich, gold_category, gold_channel, gold_trending
 from trendmark.plans.medallion import MedallionConfig, build_gold, check_silver, gate
 from trendmark.plans.silver import silver_statistics, stage_row_counts
@@ -62,9 +63,11 @@ from trendmark.sources import (
 )
 from trendmark.sources.csv_snapshots import in_regions
 from trendmark.streaming import (
+    FirstArrivals,
     IncrementalMedallion,
     ReferenceArrivals,
     SnapshotUpsert,
+    VideoArrivals,
     first_seen,
     run_available,
     stream_csv_snapshots,
@@ -319,16 +322,29 @@ def bronze_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("documents"))
 
 
+@query("bronze_json_same_second")
+def bronze_json_same_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fetches of every second, the first landed again after the second: both stay, once."""
+    path = scratch_path(spark, "bronze")
+    rows = snapshot(spark, sf_dir)
+    even = F.col("category_id") % 2 == 0
+    for fetch in (even, ~even, even):
+        write_raw_documents(envelope_documents(rows.filter(fetch)), "document", F.col(ARRIVED_AT), path)
+    documents = read_documents(spark, path, VIDEO_ITEM, multi_line=False)
+    return rows_by(documents, "ingestion_id", name="documents")
+
+
 @query("csv_to_parquet")
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, dest = scratch_path(spark, "csv-in"), scratch_path(spark, "parquet-out")
-    write_csv(table(spark, sf_dir, "orders").drop("o_orderdate"), f"{path}/orders")
+    write_csv(table(spark, sf_dir, "orders"), f"{path}/orders")
     convert_csv(spark, path, dest)
     return spark.read.parquet(dest).select(
         F.col("o_orderkey").cast("bigint"),
         F.col("o_custkey").cast("bigint"),
         "o_orderstatus",
         "o_totalprice",
+        F.col("o_orderdate").cast("date"),
         "o_orderpriority",
         F.col("_corrupt_record").alias("corrupt"),
     )
@@ -626,6 +642,24 @@ def category_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_category_rows(keep_last_category(category_items(categories(spark, sf_dir), fallback=False)))
 
 
+@query("category_validation")
+def category_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category documents without ids, items or titles, and cut short: what each rule finds, and what is refused."""
+    size = F.col("p_size")
+    dirty = (
+        F.when(size == 2, F.replace("value", F.lit('"id"'), F.lit('"key"')))
+        .when(size == 3, F.lit('{"items": []}'))
+        .when(size == 4, F.left("value", F.lit(40)))
+        .when(size == 5, F.replace("value", F.lit('"title"'), F.lit('"name"')))
+        .otherwise(F.col("value"))
+    )
+    documents = parse_documents(category_documents(spark, sf_dir).withColumn("value", dirty), CATEGORY_ITEM, "value", F.col("key"), F.col("landed_at"))
+    judged = judged_categories(documents)
+    refused = quarantined_categories(judged).groupBy("rule").agg(F.count("*").alias("refused"))
+    checks = category_checks(judged).select(F.col("column").alias("rule"), "value", "passed")
+    return checks.join(refused, "rule", "left").select("rule", "value", "passed", F.coalesce("refused", F.lit(0)).alias("refused"))
+
+
 # Quality
 
 
@@ -815,6 +849,36 @@ def incremental_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("incremental_quarantine")
+def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Video documents as they land, some cut short: the others reach Silver, and those are kept."""
+    root = scratch_path(spark, "quarantine")
+    store = TableStore(spark, f"{root}/silver")
+    rows = snapshot(spark, sf_dir)
+    whole = single_documents(rows.filter(F.col("l_linenumber") != 2))
+    cut = single_documents(rows.filter(F.col("l_linenumber") == 2)).withColumn("document", F.left("document", F.lit(40)))
+    land(spark, whole.unionByName(cut), f"{root}/raw")
+    handler = VideoArrivals(SnapshotUpsert(store, f"{root}/checkpoint", JOB, NOW), f"{root}/quarantine")
+    run_available(stream_documents(spark, f"{root}/raw", VIDEO_ITEM, multi_line=False), handler, f"{root}/checkpoint")
+    kept = rows_by(store.read(STATISTICS), "region", "trending_date_parsed")
+    bad = spark.read.parquet(f"{root}/quarantine").agg(F.count("*").alias("cnt"))
+    return kept.unionByName(bad.select(F.lit("quarantine").alias("region"), F.lit(None).cast("date").alias("trending_date_parsed"), "cnt"))
+
+
+@query("incremental_late_arrivals")
+def incremental_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three waves, the later ones of earlier days and with repeats: first arrivals on time and late."""
+    root = scratch_path(spark, "late")
+    rows = normalize_json(explode_documents(parsed(single_documents(snapshot(spark, sf_dir))), VIDEO_ITEM))
+    handler = FirstArrivals(f"{root}/arrivals", "72 hours")
+    day = F.dayofmonth(ARRIVED_AT)
+    for batch_id, wave in enumerate([day >= 5, day.isin(3, 4, 7), (day <= 2) | (day == 6)]):
+        handler(cleanse(rows.filter(wave)), batch_id)
+    handler(cleanse(rows.filter((day <= 2) | (day == 6))), 2)  # the last one again
+    found = [handler.read(spark, late).withColumn("late", F.lit(late)) for late in (False, True)]
+    return found[0].unionByName(found[1]).select(*KEY, text_of(ARRIVED_AT).alias("arrived_at"), "late")
+
+
 @query("incremental_csv")
 def incremental_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV snapshots through the file stream."""
