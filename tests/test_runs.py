@@ -12,12 +12,12 @@ from trendmark.config import CATEGORY, CHANNEL, REFERENCE, STATISTICS, TRENDING,
 from trendmark.operators.dedup import keep_latest_snapshot
 from trendmark.operators.cleanse import cleanse
 from trendmark.plans.medallion import MedallionConfig, QualityGateError, build_gold, run_medallion
-from trendmark.plans.silver import silver_statistics
+from trendmark.plans.silver import silver_statistics, with_bucket
 from trendmark.schemas import CATEGORY_ITEM, GOLD, SILVER_STATISTICS, VIDEO_ITEM
 from trendmark.sources import TableStore, explode_documents
 from trendmark.operators.normalize import normalize_json
 from trendmark.sinks.staged import Stage
-from trendmark.streaming import IncrementalMedallion, ReferenceArrivals, SnapshotUpsert, first_seen, run_available, stream_csv_snapshots, stream_documents
+from trendmark.streaming import FirstArrivals, IncrementalMedallion, ReferenceArrivals, SnapshotUpsert, VideoArrivals, first_seen, run_available, stream_csv_snapshots, stream_documents
 from trendmark.streaming import gold_refresh as refresh_module
 from trendmark.streaming import upsert as upsert_module
 
@@ -131,28 +131,41 @@ def test_a_batch_reads_its_own_days_of_five_thousand(spark, folder):
     handler = SnapshotUpsert(store, folder + "/checkpoint", "job", NOW)
     handler(raw(spark, {"trending_date": "2017-01-01"}, {"trending_date": None, "video_id": "v3"}), 0)
     table = Path(store.path(STATISTICS), "region=us")
-    part = next((table / "trending_date_parsed=2017-01-01").glob("*.parquet"))
+    part = next((table / "trending_date_parsed=2017-01-01").glob("*/*.parquet"))
     for i in range(1, 5_000):
-        day = table / f"trending_date_parsed={(datetime(2017, 1, 1) + timedelta(i)).date()}"
-        day.mkdir()
+        day = table / f"trending_date_parsed={(datetime(2017, 1, 1) + timedelta(i)).date()}" / "_bucket=0"
+        day.mkdir(parents=True)
         (day / part.name).write_bytes(part.read_bytes())
     fresh = [{"trending_date": f"{2017 + i % 5}-03-0{i % 4 + 1}", "views": 7, "_arrived_at": datetime(2025, 1, 1)} for i in range(20)]
-    fresh += [{"trending_date": "n/a", "views": 8, "_arrived_at": datetime(2025, 1, 1)}, {"trending_date": "2040-01-01"}]
+    fresh += [{"trending_date": "n/a", "views": 8, "video_id": "v3", "_arrived_at": datetime(2025, 1, 1)}, {"trending_date": "2040-01-01"}]
     staged = Stage(spark, folder + "/staged", upsert_module.DAY_PARTITIONS)
-    staged.write(silver_statistics(raw(spark, *fresh), "job", NOW))
+    staged.write(with_bucket(silver_statistics(raw(spark, *fresh), "job", NOW)))
     rows = upsert_module.rows_of_folders(store, staged.folders())
     days = {f.split("trending_date_parsed=")[1].split("/")[0] for f in rows.inputFiles()}
     assert len(staged.folders()) == 22 and len(rows.inputFiles()) == 21  # one day is new
-    assert days <= {f.split("=")[-1] for f in staged.folders()}
+    assert days <= {f.split("=")[2].split("/")[0] for f in staged.folders()}
     assert {str(r.trending_date_parsed) for r in rows.collect()} == (days - {"__HIVE_DEFAULT_PARTITION__"}) | {"None"}
     untouched = contents(table / "trending_date_parsed=2020-02-01")
     handler(raw(spark, *fresh), 1)
     found = spark.read.schema(SILVER_STATISTICS).parquet(store.path(STATISTICS))
-    assert found.count() == 5_000 + 3 and found.filter("views = 7").count() == 20
-    assert found.filter("trending_date_parsed is null").count() == 2
+    assert found.count() == 5_000 + 2 and found.filter("views = 7").count() == 20
+    assert found.filter("trending_date_parsed is null").first().views == 8
     assert contents(table / "trending_date_parsed=2020-02-01") == untouched
 
 
+def test_an_undated_row_rewrites_its_bucket_only(spark, folder):
+    store = TableStore(spark, folder + "/silver")
+    handler = SnapshotUpsert(store, folder + "/checkpoint", "job", NOW)
+    handler(raw(spark, *[{"video_id": f"v{i}", "trending_date": "n/a", "views": 1} for i in range(300)]), 0)
+    undated = Path(store.path(STATISTICS), "region=us", "trending_date_parsed=__HIVE_DEFAULT_PARTITION__")
+    before = {bucket.name: contents(bucket) for bucket in undated.iterdir() if bucket.is_dir()}
+    handler(raw(spark, {"video_id": "v7", "trending_date": None, "views": 2, "_arrived_at": datetime(2025, 1, 1)}), 1)
+    after = {bucket.name: contents(bucket) for bucket in undated.iterdir() if bucket.is_dir()}
+    assert len(before) > 50 and len([name for name in before if before[name] != after[name]]) == 1
+    rows = spark.read.schema(SILVER_STATISTICS).parquet(store.path(STATISTICS)).collect()
+    assert len(rows) == 300 and {r.video_id for r in rows if r.views == 2} == {"v7"}
+
+
 def test_batches_list_their_partitions_only(spark, folder, monkeypatch):
     store = TableStore(spark, folder + "/silver", database="lake_batches")
     handler = SnapshotUpsert(store, folder + "/checkpoint", "job", NOW)
@@ -325,7 +338,7 @@ def test_gold_refresh_reads_touched_days_only(spark, folder, monkeypatch):
     touched, folders = handler.upsert.touched(spark, handler.upsert.pending(spark))
     assert folders == ["region=jp/trending_date_parsed=2017-11-14", "region=us/trending_date_parsed=2017-11-01"]
     days = refresh_module.read_folders(spark, silver.path(STATISTICS), folders, SILVER_STATISTICS)
-    assert {f.split("clean_statistics/")[1].rsplit("/", 1)[0] for f in days.inputFiles()} == set(folders)
+    assert {f.split("clean_statistics/")[1].split("/_bucket")[0] for f in days.inputFiles()} == set(folders)
     # c9 comes, and the channel that had v0 before goes; no other is counted again.
     before = {r.channel_title for r in touched.filter("region = 'us'").collect()}
     assert "c9" in before and len(before) == 2
@@ -357,3 +370,52 @@ def test_gold_waits_for_rows_that_pass_and_goes_on_after_a_stop(spark, folder, m
     whole = MedallionConfig(silver, TableStore(spark, folder + "/full"))
     build_gold(whole, NOW)
     assert gold_rows(spark, gold) == gold_rows(spark, whole.gold) and handler.upsert.pending(spark) == []
+
+
+def test_unreadable_video_documents_of_a_stream_are_kept(spark, folder):
+    store = TableStore(spark, folder + "/silver")
+    handler = VideoArrivals(SnapshotUpsert(store, folder + "/checkpoint", "job", NOW), folder + "/bad")
+    document = {"items": [ITEM], "_pipeline_metadata": {"region": "US", "ingestion_timestamp": "2024-01-02T00:00:00Z"}}
+
+    def run():
+        stream = stream_documents(spark, folder + "/raw", VIDEO_ITEM, max_files=2)
+        run_available(stream, handler, folder + "/checkpoint")
+
+    put(folder, "raw/a.json", document)
+    put(folder, "raw/b.json", "{ not json")
+    run()
+    put(folder, "raw/c.json", '{"items": [')
+    run()
+    assert spark.read.parquet(store.path(STATISTICS)).count() == 1
+    bad = spark.read.parquet(folder + "/bad").orderBy("_source_file").collect()
+    assert [Path(r._source_file).name for r in bad] == ["b.json", "c.json"] and bad[0]._corrupt_record == "{ not json"
+
+
+def test_late_first_arrivals_are_kept_apart(spark, folder):
+    handler = FirstArrivals(folder + "/first", "24 hours")
+
+    def wave(*arrivals):
+        rows = [{"video_id": v, "trending_date": d, "_arrived_at": datetime(2024, 1, day, hour)} for v, d, day, hour in arrivals]
+        return cleanse(raw(spark, *rows))
+
+    waves = [
+        wave(("a", "17.01.11", 10, 5), ("a", "17.01.11", 10, 2), ("b", None, 9, 1), ("old", "17.01.11", 1, 0)),  # nothing is late yet
+        wave(("a", "17.01.11", 10, 6), ("c", "17.01.11", 9, 4), ("d", "17.02.11", 9, 5), ("b", None, 8, 0)),  # c is, b and a are repeats
+        wave(("c", "17.01.11", 12, 0), ("e", "17.03.11", 9, 6), ("f", None, 9, 4)),  # the limit has not moved
+        wave(("g", "17.01.11", 10, 23), ("f", None, 13, 0)),
+    ]
+    for batch_id, rows in enumerate(waves):
+        handler(rows, batch_id)
+    handler(waves[3], 3)  # a batch may come again
+    found = {late: sorted((r.video_id, r._arrived_at.day, r._arrived_at.hour) for r in handler.read(spark, late).collect()) for late in (False, True)}
+    assert found[False] == [("a", 10, 2), ("b", 9, 1), ("d", 9, 5), ("e", 9, 6), ("old", 1, 0)]
+    assert found[True] == [("c", 9, 4), ("f", 9, 4), ("g", 10, 23)]
+
+
+def test_category_documents_that_break_rules_are_refused_and_reported(spark, config, folder):
+    put(folder, "reference/region=fr/broken.json", "{ not json")
+    put(folder, "reference/region=de/empty.json", {"items": []})
+    result = run_medallion(spark, config, NOW)
+    found = {r.column: r.value for r in result.category_checks}
+    assert result.gold_built and found == {"unreadable": 1, "no_items": 1, "no_id": 0, "no_title": 0, "repeated_id": 0}
+    assert spark.read.parquet(folder + "/silver/quarantined_categories").count() == 2

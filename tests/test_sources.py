@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rows import raw
 from trendmark.functions import field_or, flatten_struct
 from trendmark.operators.normalize import normalize_csv, normalize_json, union_sources
+from trendmark.operators.validation import category_checks, judged_categories, quarantined_categories
 from trendmark.operators.reference import category_items, keep_last_category, refine_reference
 from trendmark.schemas import CATEGORY_ITEM, SNAPSHOT_COLUMNS, VIDEO_ITEM
 from trendmark.sinks import convert_csv, publish, write_partitioned, write_raw_documents
@@ -340,3 +341,45 @@ def test_types_hold_for_a_layout_over_all_groups(spark, folder, monkeypatch):
 def test_convert_nothing(spark, folder):
     put(folder, "in/empty.csv", "")
     assert convert_csv(spark, folder + "/in", folder + "/out").count() == 0
+
+
+def test_convert_csv_leaves_broken_files_out(spark, folder):
+    for i in range(5):
+        put(folder, f"in/f{i}.csv", f"id,n\n{i},{i}\n")
+    wide = ",".join(map(str, range(30_000)))  # more columns than the reader takes
+    put(folder, "in/wide.csv", wide + "\n")
+    put(folder, "in/g.csv", "id,n\n" + wide + "\n" + "1,2\n")
+    manifest = {Path(r.source).name: r for r in convert_csv(spark, folder + "/in", folder + "/out").collect()}
+    assert {name for name, r in manifest.items() if r.status == "failed"} == {"wide.csv", "g.csv"}
+    assert all(r.rows == 1 and r.error is None for name, r in manifest.items() if name.startswith("f"))
+    assert all(r.rows == 0 and r.error for name, r in manifest.items() if r.status == "failed")
+    assert sorted(r.id for r in spark.read.parquet(folder + "/out").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_fetches_of_one_second_stay_apart(spark, folder):
+    at = datetime(2026, 7, 14, 10, 5)
+    fetch = lambda *texts: spark.createDataFrame([(t, at) for t in texts], "doc string, at timestamp")
+    for rows in (fetch('{"a": 1}', '{"a": 1}'), fetch('{"b": 2}'), fetch('{"a": 1}', '{"a": 1}'), fetch('{"b": 2}')):
+        write_raw_documents(rows, "doc", F.col("at"), folder + "/raw")
+    found = spark.read.text(folder + "/raw").collect()
+    assert sorted(r.value for r in found) == ['{"a": 1}', '{"a": 1}', '{"b": 2}']
+    assert len({r.ingestion_id for r in found}) == 2 and all(r.ingestion_id.startswith("20260714_100500-") for r in found)
+
+
+def test_category_rules(spark):
+    documents = categories(
+        spark,
+        ({"items": [category("1", "old"), category("1", "new"), category("2", " "), {"snippet": {"title": "x"}}, category(" ", "y")]}, "ref/region=us/a.json", 1),
+        ({"items": []}, "ref/region=ca/b.json", 2),
+        ({"kind": "k"}, "ref/region=gb/c.json", 3),
+        ("{ broken", "ref/region=de/d.json", 4),
+    )
+    judged = judged_categories(documents)
+    found = {r.column: (r.value, r.passed) for r in category_checks(judged).collect()}
+    assert found == {"unreadable": (1, False), "no_items": (2, False), "no_id": (2, False), "no_title": (1, True), "repeated_id": (1, True)}
+    refused = quarantined_categories(judged).collect()
+    assert sorted((r.rule, Path(r._source_file).name) for r in refused) == [
+        ("no_id", "a.json"), ("no_id", "a.json"), ("no_items", "b.json"), ("no_items", "c.json"), ("unreadable", "d.json")
+    ]
+    assert sorted((r.id, r["snippet.title"]) for r in refine_reference(documents.filter("_corrupt_record is null")).collect()) == [("1", "new"), ("2", " ")]
+    assert {r.passed for r in category_checks(judged_categories(documents.limit(0))).collect()} == {True}

@@ -18,7 +18,7 @@ REPORTED = ("no_title", "repeated_id")
 
 def has_content() -> Column:
     """False for documents that hold no category at all."""
-    return (F.size("items") > 0) | F.col("regions").isNotNull() | F.col("id").isNotNull()
+    return F.coalesce(F.size("items") > 0, F.lit(False)) | F.col("regions").isNotNull() | F.col("id").isNotNull()
 
 
 def _missing(name: str) -> Column:

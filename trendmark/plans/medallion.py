@@ -15,8 +15,8 @@ from trendmark.operators.quality import run_checks, verdict
 from trendmark.operators.reference import refine_reference
 from trendmark.operators.validation import category_checks, has_content, judged_categories, quarantined_categories
 from trendmark.plans.gold import enrich, gold_category, gold_channel, gold_trending
-from trendmark.plans.silver import StageCounts, combine_sources, silver_statistics
-from trendmark.schemas import CATEGORY_ITEM, SILVER_STATISTICS, VIDEO_ITEM
+from trendmark.plans.silver import StageCounts, combine_sources, silver_statistics, with_bucket
+from trendmark.schemas import BUCKET, CATEGORY_ITEM, SILVER_STATISTICS, VIDEO_ITEM
 from trendmark.session import durable
 from trendmark.sinks.tables import publish
 from trendmark.sources import (
@@ -35,7 +35,7 @@ REFUSED_CATEGORIES = "quarantined_categories"
 class MedallionConfig:
     """Where a run reads and writes.
 
-    Split the statistics by region and ``trending_date_parsed`` if incremental runs are to follow.
+    Split the statistics by ``DAY_PARTITIONS`` if incremental runs are to follow.
     """
 
     silver: TableStore
@@ -88,6 +88,8 @@ def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: d
         return {}
     counts = StageCounts()
     clean = silver_statistics(counts.watch_raw(normalised), config.job_name, now)
+    if BUCKET in config.statistics_partitions:
+        clean = with_bucket(clean)
     publish(counts.watch_clean(clean), config.silver, STATISTICS, config.statistics_partitions)
     found = counts.report()
     return found if quarantined is None else found | {"corrupt_documents": quarantined.get["rows"]}

@@ -12,6 +12,7 @@ from trendmark.operators.cleanse import cleanse, with_audit
 from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
 from trendmark.operators.normalize import normalize_csv, normalize_json, union_sources
 from trendmark.operators.quality import warning_metrics
+from trendmark.schemas import BUCKET
 
 WATCHED = ["video_id", "title", "channel_title", "views"]
 
@@ -22,6 +23,17 @@ def silver_statistics(normalised: DataFrame, job_name: str, now: datetime | None
     return with_audit(latest, "_processed_at", now, _job_name=job_name)
 
 
+#: Folders that the rows of a region without a day are spread over.
+UNDATED_BUCKETS = 64
+
+
+def with_bucket(statistics: DataFrame) -> DataFrame:
+    """Adds the bucket that tables split by day use: 0 for rows with a day, by video for those without."""
+    undated = F.col("trending_date_parsed").isNull()
+    bucket = F.pmod(F.xxhash64("video_id"), F.lit(UNDATED_BUCKETS)).cast("int")
+    return statistics.withColumn(BUCKET, F.when(undated, bucket).otherwise(0))
+
+
 def combine_sources(csv_rows: DataFrame | None, json_items: DataFrame | None) -> DataFrame | None:
     """Normalise and unite whichever sources there are."""
     parts = []

@@ -117,6 +117,9 @@ SILVER_STATISTICS = T.StructType(
         T.StructField("trending_date_parsed", T.DateType()),
     ]
 )
+#: The same table split by day. Rows without a day lie in buckets by video, so that one of them touches its bucket only.
+BUCKET = "_bucket"
+SILVER_BY_DAY = T.StructType([*SILVER_STATISTICS.fields, T.StructField(BUCKET, T.IntegerType())])
 
 _DOUBLE = T.DoubleType()
 _DATE = T.DateType()

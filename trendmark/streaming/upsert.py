@@ -10,24 +10,26 @@ from pyspark.sql import types as T
 
 from trendmark.config import STATISTICS
 from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
-from trendmark.plans.silver import silver_statistics
-from trendmark.schemas import SILVER_STATISTICS
+from trendmark.plans.silver import silver_statistics, with_bucket
+from trendmark.schemas import BUCKET, SILVER_BY_DAY, SILVER_STATISTICS
 from trendmark.sinks.staged import Stage
 from trendmark.sinks.tables import register, write_partitioned
 from trendmark.sources.folders import partition_folders, path_exists, read_folders
 from trendmark.sources.tables import TableStore
 
 # The incremental table is also split by day, so that a batch rewrites the days it holds and no others.
-DAY_PARTITIONS = ("region", "trending_date_parsed")
+# Rows without a day are split by bucket besides.
+DAY_PARTITIONS = ("region", "trending_date_parsed", BUCKET)
 
 #: What a batch has changed: its days, and the channels whose rows came or went.
 TOUCHED = T.StructType([*[f for f in SILVER_STATISTICS.fields if f.name == "channel_title"], *SILVER_STATISTICS.fields[-2:]])
 
 
+
 def rows_of_folders(store: TableStore, folders: list[str]) -> DataFrame:
     """Silver rows of some days, given as partition folders; days the table does not have yet give none."""
     path = store.path(STATISTICS)
-    return read_folders(store.spark, path, partition_folders(store.spark, path, len(DAY_PARTITIONS), folders), SILVER_STATISTICS)
+    return read_folders(store.spark, path, partition_folders(store.spark, path, len(DAY_PARTITIONS), folders), SILVER_BY_DAY)
 
 
 def touched_rows(fresh: DataFrame, present: DataFrame) -> DataFrame:
@@ -73,15 +75,16 @@ class SnapshotUpsert:
         fresh, merged = (self._stage(spark, name, batch_id) for name in ("fresh", "merged"))
         if not merged.finished:
             if not fresh.finished:
-                fresh.write(silver_statistics(batch, self.job_name, self.now))
-            rows = fresh.read(SILVER_STATISTICS)
+                fresh.write(with_bucket(silver_statistics(batch, self.job_name, self.now)))
+            rows = fresh.read(SILVER_BY_DAY)
             present = rows_of_folders(self.store, fresh.folders())
             if self.keep_touched:
                 touched_rows(rows, present).write.mode("overwrite").parquet(self._touched(spark, "rows", str(batch_id)).path)
-                folders = spark.createDataFrame([(folder,) for folder in fresh.folders()], "folder string")
+                days = sorted({folder.rpartition("/")[0] for folder in fresh.folders()})  # with all buckets
+                folders = spark.createDataFrame([(day,) for day in days], "folder string")
                 folders.write.mode("overwrite").parquet(self._touched(spark, "days", str(batch_id)).path)
             merged.write(keep_latest_snapshot(present.unionByName(rows)))
-        rows = merged.read(SILVER_STATISTICS)
+        rows = merged.read(SILVER_BY_DAY)
         write_partitioned(rows, self.store.path(STATISTICS), DAY_PARTITIONS, rebalance=False)
         if self.store.database is not None:
             # A row for each day of the batch.

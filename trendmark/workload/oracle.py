@@ -307,8 +307,8 @@ ORACLE: dict[str, str] = {
     ),
     "csv_to_parquet": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
         CAST(NULL AS VARCHAR) AS corrupt FROM orders""",
-    "conversion_manifest": """SELECT 'orders' AS layout, count(*) AS rows, TRUE AS one_output_each FROM orders
-        UNION ALL SELECT 'customer', count(*), TRUE FROM customer""",
+    "conversion_manifest": """SELECT 'orders' AS layout, 'converted' AS status, count(*) AS rows, TRUE AS one_output_each FROM orders
+        UNION ALL SELECT 'customer', 'converted', count(*), TRUE FROM customer UNION ALL SELECT 'broken', 'failed', 0, TRUE""",
     # Projections and filters
     "normalize_csv": _snapshot(f"SELECT {COLUMNS} FROM history", HISTORY),
     "normalize_json": _snapshot(f"SELECT {COLUMNS} FROM live", LIVE),

@@ -355,9 +355,13 @@ def conversion_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, dest = scratch_path(spark, "csv-in"), scratch_path(spark, "parquet-out")
     write_csv(table(spark, sf_dir, "orders"), f"{path}/orders")
     write_csv(table(spark, sf_dir, "customer"), f"{path}/customer", extension="CSV")
+    # A file with more columns than can be read, and the others beside it.
+    cells = F.transform(F.sequence(F.lit(1), F.lit(30_000)), lambda i: i.cast("string"))
+    broken = table(spark, sf_dir, "region").limit(1).select(F.array_join(cells, ",").alias("value"))
+    broken.coalesce(1).write.option("extension", "csv").text(f"{path}/broken")
     manifest = convert_csv(spark, path, dest)
-    layout = F.regexp_extract("source", r"/(orders|customer)/[^/]*$", 1)
-    return manifest.groupBy(layout.alias("layout")).agg(
+    layout = F.regexp_extract("source", r"/(orders|customer|broken)/[^/]*$", 1)
+    return manifest.groupBy(layout.alias("layout"), "status").agg(
         F.sum("rows").alias("rows"), (F.countDistinct("dest") == F.count("*")).alias("one_output_each")
     )
 
