@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,7 +151,9 @@ class FirstArrivals:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = keep_first(batch.select(*SNAPSHOT_KEY, ARRIVED_AT), SNAPSHOT_KEY, [F.col(ARRIVED_AT).asc_nulls_last()])
+        arrived = Observation()  # the latest arrival comes with the write; a maximum stays right if a task is repeated
+        every = batch.select(*SNAPSHOT_KEY, ARRIVED_AT).observe(arrived, F.max(ARRIVED_AT).alias("latest"))
+        first = keep_first(every, SNAPSHOT_KEY, [F.col(ARRIVED_AT).asc_nulls_last()])
         staged = Stage(spark, f"{self.root}/staged", ("region", "trending_date_parsed"))
         staged.write(first)
         rows = spark.read.schema(_without(self.schema, "late", "batch")).parquet(staged.path)
@@ -165,7 +167,7 @@ class FirstArrivals:
         late = F.lit(False) if limit is None else F.coalesce(F.col(ARRIVED_AT) < F.lit(limit) - F.expr(f"INTERVAL {self.delay}"), F.lit(False))
         unseen = rows.join(seen, same, "left_anti").withColumns({"late": late, "batch": F.lit(batch_id).cast("bigint")})
         write_partitioned(unseen, self.path, self.SPLIT)
-        self._mark(spark, batch_id, rows.agg(F.max(ARRIVED_AT)).first()[0], limit)
+        self._mark(spark, batch_id, arrived.get["latest"], limit)
 
     def _marks(self, batch_id: int) -> str:
         return f"{self.root}/latest/batch={batch_id}"

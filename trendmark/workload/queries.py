@@ -358,7 +358,7 @@ def conversion_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A file with more columns than can be read, and the others beside it.
     cells = F.transform(F.sequence(F.lit(1), F.lit(30_000)), lambda i: i.cast("string"))
     broken = table(spark, sf_dir, "region").limit(1).select(F.array_join(cells, ",").alias("value"))
-    broken.coalesce(1).write.option("extension", "csv").text(f"{path}/broken")
+    broken.coalesce(1).write.option("sep", ";").csv(f"{path}/broken")
     manifest = convert_csv(spark, path, dest)
     layout = F.regexp_extract("source", r"/(orders|customer|broken)/[^/]*$", 1)
     return manifest.groupBy(layout.alias("layout"), "status").agg(
