@@ -1,6 +1,7 @@
 """Every operator against a plain version on small rows, with nulls, empty texts, repeats and clashing columns."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -94,9 +95,29 @@ def test_recurrent_gradient():
         near[1][i] -= 1e-2
         assert (loss(near[0]) - loss(near[1])) / 2e-2 == pytest.approx(g[i], rel=0.05, abs=2e-4)
     whole = [np.array([1, 2, 1, 1, 2, 0] * 40, np.int32)]
-    states, _ = unit.read(np.zeros((1, recurrent.HIDDEN), np.float32), whole[0][:, None], whole[0][:, None] == 0)
+    states, _ = unit.read(np.zeros((1, recurrent.HIDDEN), np.float32), whole[0][:, None], np.arange(240)[:, None] == 239)
     straight = unit.log_probabilities(states[:, 0], whole[0]).sum()
-    assert recurrent.sequence_scores(unit, whole, 0)[0] == pytest.approx(straight, rel=1e-4)
+    assert recurrent.sequence_scores(unit, whole)[0] == pytest.approx(straight, rel=1e-4)
+
+
+@pytest.mark.parametrize("taught", [True, False])
+def test_recurrent_score_is_the_same_alone_and_among_others(spark, taught):
+    texts = [" ".join(f"w{(i * j) % 7}" for j in range(i % 40 + 1)) for i in range(700)]
+    docs = rows_of(spark, ["a b c"] * 20 + texts).coalesce(1)  # more documents than lanes in one task
+    learns = F.col("doc_id") < (200 if taught else 0)
+    scores = {r.doc_id: r.score for r in recurrent.score_documents(docs, learns).collect()}
+    assert len({round(scores[i], 4) for i in range(20)}) == 1
+    if not taught:
+        alone = recurrent.score_documents(docs.filter("doc_id = 333"), learns).first()
+        assert alone.score == pytest.approx(scores[333], rel=1e-5)
+
+
+def test_model_words_are_known_however_many_are_as_frequent(spark, monkeypatch):
+    monkeypatch.setattr(recurrent, "KNOWN", 10)
+    recurrent.ready(spark)
+    docs = rows_of(spark, [" ".join(f"w{i}x{j}" for j in range(10)) for i in range(20)])
+    vocabulary = recurrent.learn_vocabulary(recurrent.count_words(docs))
+    assert len(vocabulary.number) == 201 and vocabulary.number[recurrent.END] == 0
 
 
 def test_chat_round_trip(spark):
@@ -115,8 +136,16 @@ def test_chat_round_trip(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         loss = "".join(b for a, b in turns if a == "assistant")
         assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(turns), len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    for r in formatted.collect():
+    for r in chat.masked_texts(formatted).collect():
         assert sum(x.chars for x in r.loss_runs) == len(r.formatted)
+        assert r.loss_texts == [b for a, b in wanted[r.conv_id] if a == "assistant"]
+    # A wrong mask shows in the digest.
+    moved = formatted.withColumn("loss_runs", F.transform("loss_runs", lambda x: F.struct(x["chars"], (~x["loss"]).alias("loss"))))
+    digests = lambda df: {r.conv_id: r.loss_sha256 for r in chat.fingerprints(df).collect()}
+    assert all(digests(moved)[i] != d for i, d in digests(formatted).items())
+    long = spark.range(1500).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") % 2 + 1).cast("int")).alias("role"), F.concat(F.lit("é<|"), "id").alias("text"))
+    found = chat.fingerprints(chat.format_conversations(long)).first()
+    assert found.loss_sha256 == hashlib.sha256("".join(f"é<|{i}" for i in range(1, 1500, 2)).encode()).hexdigest()
     assert chat.fingerprints(chat.format_conversations(frame.limit(0))).count() == 0
 
 
@@ -137,6 +166,12 @@ def test_nearest_recall(spark, tiny):
             assert all(r.score == pytest.approx(score[r.vec_id], abs=1e-12) for r in own)
             hits += len(set(best) & {r.vec_id for r in own})
         assert hits >= 0.9 * 5 * len(queries)
+    tiny_and_huge = [(50 * i, [1e-200 * math.cos(i), 1e-200 * math.sin(i), 0.0]) for i in range(1, 9)] + [(i, [1e200 * math.cos(i + 0.1), 1e200 * math.sin(i + 0.1), 0.0]) for i in range(1, 9)]
+    extreme = spark.createDataFrame(tiny_and_huge + [(900, [5e-324, 0.0, 0.0]), (901, [1.7e308, 1.7e308, 0.0])], "vec_id bigint, embedding array<double>")
+    for r in nearest.nearest(extreme, F.col("vec_id") % 50 == 0).collect():
+        a, b = (np.array(dict(tiny_and_huge + [(900, [1.0, 0.0, 0.0]), (901, [1.0, 1.0, 0.0])])[i]) for i in (r.query_id, r.vec_id))
+        a, b = a / np.abs(a).max(), b / np.abs(b).max()
+        assert r.score == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), abs=1e-12)
     assert nearest.nearest(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = nearest.nearest(frame.filter("vec_id in (0, 1, 2)"), F.col("vec_id") % 50 == 0)
     assert {r.vec_id for r in few.collect()} == {1, 2}
@@ -285,6 +320,13 @@ def test_quality(spark, odd, none):
     assert len(found) == odd.count() and all(0 <= r.score <= 1 for r in found)
     untaught = quality.learn(odd, labels.limit(0))
     assert {r.score for r in quality.score(odd, untaught, ["doc_id"]).collect()} == {0.5}
+    # One labelled id may hold a third of all rows: about ``sample`` documents are learnt from.
+    hot = real.unionByName(real.limit(1).crossJoin(spark.range(500)).drop("id"))
+    seen, kept = [], quality.AdditiveModel
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "AdditiveModel", lambda x, y: seen.append(len(x)) or kept(x, y))
+        quality.learn(hot, labels.limit(0).unionByName(labels.join(real.limit(1).select("doc_id"), "doc_id", "right").select(*labels.columns).fillna(1)), sample=60)
+    assert 20 < seen[0] < 140
     assert quality.keep_accepted(odd, untaught).columns == odd.columns
     assert quality.score(none, model, ["doc_id"]).count() == 0
 

@@ -102,13 +102,57 @@ def read_conversations(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.flatten(F.transform(blocks, turns)))
 
 
+#: Runs of a mask that are cut out of their stretch of text together, so that no cut scans the whole text.
+_STRETCH = 256
+
+
+def _starts(sizes: Column) -> Column:
+    """Running sums of ``sizes``, from 0."""
+    return F.aggregate(
+        F.slice(sizes, 1, F.greatest(F.size(sizes) - 1, F.lit(0))),
+        F.array(F.lit(0).cast("bigint")),
+        lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)),
+    )
+
+
+def _sum(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda n, x: n + x)
+
+
+def masked_texts(formatted: DataFrame) -> DataFrame:
+    """Adds ``loss_texts``: what ``loss_runs`` marks in ``formatted``, run by run, unescaped."""
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.size("loss_runs") - 1) / _STRETCH).cast("int"), F.lit(0))),
+        lambda i: F.slice("loss_runs", i * _STRETCH + 1, _STRETCH),
+    )
+    rows = formatted.withColumn("_stretches", stretches)
+    rows = rows.withColumn("_sizes", F.transform("_stretches", lambda runs: _sum(runs["chars"])))
+    rows = rows.withColumn("_begin", _starts(F.col("_sizes")))
+    cut = F.transform(
+        "_stretches",
+        lambda runs, i: F.struct(
+            F.substring("formatted", (F.get("_begin", i) + 1).cast("int"), F.get("_sizes", i).cast("int")).alias("text"),
+            F.arrays_zip(runs.alias("run"), _starts(runs["chars"]).alias("at")).alias("runs"),
+        ),
+    )
+    rows = rows.withColumn("_cut", cut)
+    marked = F.transform(
+        "_cut",
+        lambda own: F.transform(
+            F.filter(own["runs"], lambda r: r["run"]["loss"]),
+            lambda r: unescape(F.substring(own["text"], (r["at"] + 1).cast("int"), r["run"]["chars"])),
+        ),
+    )
+    return rows.withColumn("loss_texts", F.flatten(marked)).drop("_stretches", "_sizes", "_begin", "_cut")
+
+
 def fingerprints(formatted: DataFrame) -> DataFrame:
-    """Digests of what can be read back from the formatted texts."""
-    back = read_conversations(formatted)
+    """Digests of what can be read back from the formatted texts, and of what the loss mask marks in them."""
+    back = masked_texts(read_conversations(formatted))
     joined = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
-    loss = F.array_join(F.filter("turns", lambda t: t["role"] == TRAINED)["text"], "")
+    loss = F.array_join("loss_texts", "")
     masked = F.aggregate("loss_runs", F.lit(0).cast("bigint"), lambda n, r: n + F.when(r["loss"], r["chars"]).otherwise(0))
     return back.select(
         "conv_id",

@@ -251,8 +251,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     queries = packed.join(asking, "node").select(F.col("node").alias("query"), F.col("node").alias("start"), "unit")
     found = search_graph(links, packed, queries, beam_of(packed.count()))
     # What half precision calls near is measured again on the original vectors.
+    # Vectors are first brought near 1 by a power of two, which is exact, so that no square vanishes or overflows.
+    power = F.floor(F.log2(F.array_max(F.transform("embedding", F.abs))))
+    near_one = F.pow(F.lit(2.0), F.greatest(F.least(-power, F.lit(1000)), F.lit(-1000)).cast("double"))
+    scaled = nodes.withColumn("_scale", near_one).select("node", F.transform("embedding", lambda x: x * F.col("_scale")).alias("embedding"))
     norm = F.sqrt(dot(F.col("embedding"), F.col("embedding")))
-    measured = nodes.select("node", "embedding", norm.alias("norm"))
+    measured = scaled.select("node", "embedding", norm.alias("norm"))
     wanted = measured.join(asking, "node").select(F.col("node").alias("query"), F.col("embedding").alias("wanted"), F.col("norm").alias("length"))
     score = dot(F.col("wanted"), F.col("embedding")) / (F.col("length") * F.col("norm"))
     found = found.join(measured, "node").join(wanted, "query").select("query", "node", score.alias("score"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendmark.llm.common import BY_SPACE, mixed, ready, slices, utf8, word_hashes
+from trendmark.llm.common import BY_SPACE, mixed, ready, slices, stored, utf8, word_hashes
 
 SAMPLE = 20_000
 BINS = 48
@@ -202,7 +202,7 @@ class AdditiveModel:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> AdditiveModel:
-    """Fit on the documents of at most ``sample`` rows of ``labels`` (doc_id, label)."""
+    """Fit on the documents of at most ``sample`` rows of ``labels`` (doc_id, label), and on about as many documents."""
     ready(docs.sparkSession)
     chosen = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
@@ -213,10 +213,14 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
                 x = features(*utf8(piece.column("text")))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
-    found = rows.select("doc_id", "y", "text").mapInArrow(measure, "doc_id bigint, y double, x array<double>").toPandas()
-    found = found.sort_values(["doc_id", "y"], kind="stable")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` labels
+    measured = stored(rows.select("doc_id", "y", "text").mapInArrow(measure, "doc_id bigint, y double, x array<double>"), "measured")
+    if (many := measured.count()) > sample:  # labelled ids that repeat: about ``sample`` of their rows, by hash
+        measured = measured.filter(F.pmod(F.xxhash64("doc_id", "y", F.monotonically_increasing_id()), F.lit(many)) < sample)
+    found = measured.toPandas()
     x = np.stack(found["x"]) if len(found) else np.zeros((0, len(FEATURES)))
+    order = np.lexsort((*x.T[::-1], found["y"], found["doc_id"]))  # the same order whatever the tasks
+    x, found = x[order], found.iloc[order]
     return AdditiveModel(x, found["y"].to_numpy(np.float64))
 
 

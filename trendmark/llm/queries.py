@@ -119,6 +119,71 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_ESCAPED = "replace(replace(replace(coalesce({0}, ''), '&', '&amp;'), '<|', '&lt;|'), '|>', '|&gt;')"
+
+ORACLE["op2_chat_format"] = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+turns AS (
+    SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) <> role, TRUE) AS opens,
+           length({_ESCAPED.format("role")}) AS role_chars, length({_ESCAPED.format("text")}) AS text_chars
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(text_chars + CASE WHEN opens THEN role_chars + 9 + 7 ELSE 7 END)::BIGINT AS formatted_chars,
+       coalesce(sum(text_chars) FILTER (role = 'assistant'), 0)::BIGINT AS mask_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE["op4_decontaminate"] = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, n, array_to_string(words[i:i + n - 1], ' ') AS written
+    FROM (SELECT item, words, least(len(words), 13) AS n, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM items WHERE len(words) > 0)
+),
+places AS (
+    SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS written
+    FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)
+),
+found AS (SELECT doc_id, item, i, n FROM places JOIN windows USING (n, written)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE["op8_ngram_join"] = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM docs WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS one, b.doc_id AS other, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT one, other FROM shared JOIN sizes a ON one = a.doc_id JOIN sizes b ON other = b.doc_id
+    WHERE 100 * common >= 75 * (a.n + b.n - common)
+),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT reached.doc_id, links.other FROM reached JOIN links ON reached.other = links.one
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 _TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 ORACLE["op13_lexical_search"] = f"""

@@ -11,8 +11,9 @@ on its documents, and copies are averaged, weighted by tokens, once a round. Eve
 its first word to its end, in one of the ``ROUNDS`` rounds, chosen by a hash of its text; all counts come from all training
 text. Training and scoring carry the state from window to window through the whole document, however long.
 
-Counts of the ``KNOWN`` most frequent words are broadcast; all others are joined. Null and empty texts have the end
-token alone. With no training document, probabilities are uniform over what is left and no token is known. Rows are scored one by one,
+Counts of the ``KNOWN`` most frequent words are broadcast, those of the model's words always; all others are joined. Null and
+empty texts have the end token alone. With no training document, probabilities are those of the untrained unit and
+no token is known. A text's score depends on the model and the text, not on the texts scored with it. Rows are scored one by one,
 also repeated ones and those with null ``doc_id``. Other columns are ignored.
 """
 
@@ -102,7 +103,8 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     by_count = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("at_least", at_least)
     least = by_count.filter(F.col("at_least") <= KNOWN).agg(F.min("n")).first()[0]
     found = counts.filter(F.col("n") >= least).collect() if least is not None else []
-    top = sorted(((bytes(r["token"]), r["n"]) for r in found), key=lambda word: (-word[1], word[0]))
+    found += counts.orderBy(F.desc("n"), "token").limit(WORDS).collect()  # the model's words, however many others are as frequent
+    top = sorted({(bytes(r["token"]), r["n"]) for r in found}, key=lambda word: (-word[1], word[0]))
     totals = counts.agg(F.sum("n"), F.count("*")).first()
     frequent = {word for word, _ in top[:WORDS]}
 
@@ -252,26 +254,28 @@ def lanes(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
     return rank[lane], start, int(load.max(initial=0))
 
 
-def laid_out(sequences: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs (time, lane; -1 where a lane has ended), each sequence's lane and start, and the lengths."""
+def laid_out(sequences: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs (time, lane; -1 where a lane has ended), where sequences end, each one's lane and start, and the lengths."""
     length = np.array([len(s) for s in sequences], np.int64)
     lane, start, steps = lanes(length, n)
     grid = np.full((n, steps), -1, np.int32)
     for s, k, a in zip(sequences, lane.tolist(), start.tolist()):
         grid[k, a : a + len(s)] = s
-    return np.ascontiguousarray(grid.T), lane, start, length
+    ends = np.zeros((steps, n), bool)
+    ends[start + length - 1, lane] = True
+    return np.ascontiguousarray(grid.T), ends, lane, start, length
 
 
-def sequence_scores(unit: Unit, sequences: list[np.ndarray], end: int) -> np.ndarray:
-    """Natural log-probability of each sequence of inputs; the state goes on from window to window."""
-    grid, lane, start, length = laid_out(sequences, min(LANES, max(1, len(sequences))))
+def sequence_scores(unit: Unit, sequences: list[np.ndarray]) -> np.ndarray:
+    """Natural log-probability of each sequence of inputs; the state goes on from window to window, and ends with it."""
+    grid, ends, lane, start, length = laid_out(sequences, min(LANES, max(1, len(sequences))))
     sums = np.zeros((len(grid) + 1, grid.shape[1]))
     h = np.zeros((grid.shape[1], HIDDEN), np.float32)
     for a in range(0, len(grid), WINDOW):
         width = int((grid[a] >= 0).sum())  # lanes that have ended are the last ones
         window = grid[a : a + WINDOW, :width]
         inputs = np.maximum(window, 0)
-        states, h = unit.read(h[:width], inputs, window == end)
+        states, h = unit.read(h[:width], inputs, ends[a : a + WINDOW, :width])
         real = window.ravel() >= 0
         value = np.zeros(window.size)
         value[real] = unit.log_probabilities(states.reshape(-1, HIDDEN)[real], inputs.ravel()[real])
@@ -280,15 +284,15 @@ def sequence_scores(unit: Unit, sequences: list[np.ndarray], end: int) -> np.nda
     return sums[start + length, lane] - sums[start, lane]
 
 
-def train(unit: Unit, sequences: list[np.ndarray], end: int, state: tuple) -> None:
+def train(unit: Unit, sequences: list[np.ndarray], state: tuple) -> None:
     """Improve ``unit`` in place by one pass of truncated backpropagation; ``state`` is Adam's."""
-    grid, *_ = laid_out(sequences, min(TRAIN_LANES, max(1, len(sequences))))
+    grid, ends, *_ = laid_out(sequences, min(TRAIN_LANES, max(1, len(sequences))))
     h = np.zeros((grid.shape[1], HIDDEN), np.float32)
     mean, square, steps = state
     for a in range(0, len(grid), TRAIN_WINDOW):
         width = int((grid[a] >= 0).sum())
         window = grid[a : a + TRAIN_WINDOW, :width]
-        g, h = unit.gradient(h[:width], np.maximum(window, 0), window == end, window >= 0)
+        g, h = unit.gradient(h[:width], np.maximum(window, 0), ends[a : a + TRAIN_WINDOW, :width], window >= 0)
         g *= min(1.0, 1.0 / max(1e-9, float(np.linalg.norm(g))))
         steps[0] += 1
         mean += 0.1 * (g - mean)
@@ -307,7 +311,6 @@ def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) ->
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
     unit = Unit.fresh(vocabulary)
-    end = vocabulary.number.get(END, -1)
 
     def averaged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         n = rows["n"].to_numpy(np.float64)
@@ -328,10 +331,10 @@ def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) ->
                             held.append(_inputs(shared.value, [*words(text), END]))
                             tokens += len(held[-1])
                     if tokens > TOGETHER:
-                        train(own, held, end, state)
+                        train(own, held, state)
                         held, tokens, n = [], 0, n + tokens
             if held:
-                train(own, held, end, state)
+                train(own, held, state)
                 n += tokens
             if n:
                 place = TaskContext.get().partitionId()
@@ -367,7 +370,6 @@ def score_documents(docs: DataFrame, learns: Column) -> DataFrame:
         own_unit = Unit(weights.value)
         log_count = np.log10(known.count + 1)
         log_tail = known.log_tail()
-        end = known.number.get(END, -1)
         get = known.number.get
         row = TaskContext.get().partitionId() << 33
         held: list[tuple] = []
@@ -375,7 +377,7 @@ def score_documents(docs: DataFrame, learns: Column) -> DataFrame:
 
         def rows() -> pa.RecordBatch:
             nonlocal row
-            score = sequence_scores(own_unit, sequences, end) / np.log(10)
+            score = sequence_scores(own_unit, sequences) / np.log(10)
             columns = [[*range(row, row + len(held))], *(list(c) for c in zip(*held))]
             row += len(held)
             columns[6] = [a + b for a, b in zip(columns[6], score.tolist())]
