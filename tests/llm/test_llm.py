@@ -74,11 +74,11 @@ def test_recurrent_learns_from_every_word(spark):
     vocabulary = recurrent.learn_vocabulary(recurrent.count_words(docs))
     learnt, fresh = recurrent.learn_unit(docs, vocabulary), recurrent.Unit.fresh(vocabulary)
     changed = (learnt.x != fresh.x).any(1)
-    assert all(changed[i] for word, i in vocabulary.number.items() if word)
+    assert len(vocabulary.keys) == 201 and all(changed[i] for i, key in enumerate(vocabulary.keys) if key != recurrent.END)
 
 
 def test_recurrent_gradient():
-    vocabulary = recurrent.Vocabulary([(b"", 5), (b"a", 3), (b"b", 2)], recurrent.pd.DataFrame({"k": [0], "n": [4], "v": [2]}), 14, 5)
+    vocabulary = recurrent.Vocabulary(np.array([recurrent.END, 7, 8], np.uint64), np.zeros(3, int), np.array([5, 3, 2]), {0: (4, 2)}, 14, 5)
     unit = recurrent.Unit.fresh(vocabulary)
     inputs = np.array([[1, 2], [recurrent.WORDS, 0], [0, 1]], np.int32)
     ends, real, h = inputs == 0, np.ones_like(inputs, bool), np.zeros((2, recurrent.HIDDEN), np.float32)
@@ -117,7 +117,20 @@ def test_model_words_are_known_however_many_are_as_frequent(spark, monkeypatch):
     recurrent.ready(spark)
     docs = rows_of(spark, [" ".join(f"w{i}x{j}" for j in range(10)) for i in range(20)])
     vocabulary = recurrent.learn_vocabulary(recurrent.count_words(docs))
-    assert len(vocabulary.number) == 201 and vocabulary.number[recurrent.END] == 0
+    assert len(vocabulary.keys) == 201 and vocabulary.keys[0] == recurrent.END
+
+
+def test_words_and_their_forms():
+    texts = ["The Cat. sat,\tÉté longer-one x\x00", None, "", "a a A", "  ", "wordlonger, 1234567890"]
+    found = recurrent.Words(recurrent.pa.array(texts))
+    own = [re.findall(rb"[^ \t]+", (t or "").encode().lower()) for t in texts]
+    form = lambda w: (12 if w.isascii() else 0) + 3 * (0 if w[-1] >= 97 else {46: 1, 44: 2}.get(w[-1], 3)) + (len(w) >= 6) + (len(w) >= 10)
+    assert found.bounds.tolist() == np.cumsum([0, *(len(w) + 1 for w in own)]).tolist()
+    assert found.form.tolist() == [x for words in own for x in [*map(form, words), recurrent._END_FORM]]
+    keys = defaultdict(set)
+    for key, word in zip(found.keys.tolist(), [w for words in own for w in [*words, b""]]):
+        keys[word].add(key)
+    assert all(len(x) == 1 for x in keys.values()) and len({min(x) for x in keys.values()}) == len(keys) and keys[b""] == {0}
 
 
 def test_chat_round_trip(spark):

@@ -11,7 +11,7 @@ on its documents, and copies are averaged, weighted by tokens, once a round. Eve
 its first word to its end, in one of the ``ROUNDS`` rounds, chosen by a hash of its text; all counts come from all training
 text. Training and scoring carry the state from window to window through the whole document, however long.
 
-Counts of the ``KNOWN`` most frequent words are broadcast, those of the model's words always; all others are joined. Null and
+Words are compared by 64-bit hashes. Counts of the ``KNOWN`` most frequent words are broadcast, those of the model's words always; all others are joined. Null and
 empty texts have the end token alone. With no training document, probabilities are those of the untrained unit and
 no token is known. A text's score depends on the model and the text, not on the texts scored with it. Rows are scored one by one,
 also repeated ones and those with null ``doc_id``. Other columns are ignored.
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendmark.llm.common import ready, slices, stored
+from trendmark.llm.common import BY_SPACE, ready, slices, span_hashes, spans, stored, utf8
+from trendmark.llm.piece_table import Numbers
 
 CLASSES, WIDTH, TAILS = 40, 32, 24
 WORDS = CLASSES * WIDTH
@@ -44,81 +44,111 @@ ROUNDS, RATE = 2, 0.01
 TOGETHER = 1 << 21
 _HELD = 1 << 19
 _MERGE = 64
-END = b""
+#: The end token's key; words have hashes.
+END = 0
 
 
-def words(text: bytes | None) -> list[bytes]:
-    """Bytes split at ASCII white space only, and only A-Z are lowered."""
-    return (text or b"").lower().split()
+class Words:
+    """The words of some texts: keys (hashes of the lower-cased words, or ``END`` after each text) and tail classes by form."""
 
+    def __init__(self, column: pa.Array):
+        data, offsets = utf8(column)
+        code = BY_SPACE[data]
+        begin, end = spans(code != 0, offsets)
+        first = np.searchsorted(begin, offsets)
+        keys = np.maximum(span_hashes(code, begin, end), np.uint64(1)) if len(begin) else np.zeros(0, np.uint64)
+        self.keys = np.insert(keys, first[1:], np.uint64(END))
+        # A class by the word's form: ASCII or not, how it ends, and its length.
+        last, size = data[end - 1] | 32 * ((data[end - 1] >= 65) & (data[end - 1] <= 90)), end - begin
+        ending = np.select([last == ord("."), last == ord(","), last < 97], [1, 2, 3], 0)
+        longer = np.concatenate(([0], np.cumsum(data >= 128)))
+        form = 12 * (longer[end] == longer[begin]) + 3 * ending + (size >= 6) + (size >= 10)
+        self.form = np.insert(form.astype(np.int32), first[1:], _END_FORM)
+        self.bounds = first + np.arange(len(first))
 
-def tail_class(word: bytes) -> int:
-    """A class by the word's form: ASCII or not, how it ends, and its length."""
-    last = word[-1] if word else 0
-    ending = 0 if last >= 97 else 1 if last == 46 else 2 if last == 44 else 3
-    return (12 if word.isascii() else 0) + 3 * ending + (0 if len(word) < 6 else 1 if len(word) < 10 else 2)
+
+#: The end's tail class, where it is no word of the model: ASCII, no letter, short.
+_END_FORM = 12 + 3 * 3
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """token, n over all ``docs``; the end is the empty token."""
+    """word (key), k (tail class), n over all ``docs``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        parts: list[tuple[np.ndarray, ...]] = []
+        held = 0
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["token", "n"])
+        def merged() -> tuple[np.ndarray, ...]:
+            word, k, n = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(word, kind="stable")
+            first = np.flatnonzero(np.diff(word[order], prepend=~word[order[:1]]))
+            return word[order][first], k[order][first], np.add.reduceat(n[order], first)
+
+        def rows(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(part[0].view(np.int64)), pa.array(part[1]), pa.array(part[2])], ["word", "k", "n"])
 
         for batch in batches:
             for piece in slices(batch, "text"):
-                counts[END] += piece.num_rows
-                for text in piece.column("text").cast(pa.binary()).to_pylist():
-                    counts.update(words(text))
-                if len(counts) > _HELD:
-                    yield rows()
-                    counts = Counter()
-        yield rows()
-
-    return docs.select("text").mapInArrow(count, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+                found = Words(piece.column("text"))
+                word, first, n = np.unique(found.keys, return_index=True, return_counts=True)
+                parts.append((word, found.form[first], n))
+                held += len(word)
+                if held > 2 * _HELD:
+                    parts = [merged()]
+                    held = len(parts[0][0])
+                    if held > _HELD:
+                        yield rows(parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield rows(merged())
+
+    counted = docs.select("text").mapInArrow(count, "word bigint, k int, n bigint")
+    return counted.groupBy("word").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
 
 
 class Vocabulary:
     """The most frequent words with their counts, and what the tail classes hold."""
 
-    def __init__(self, top: list[tuple[bytes, int]], tail: pd.DataFrame, tokens: int, distinct: int):
-        self.number = {word: i for i, (word, _) in enumerate(top)}
-        self.count = np.array([n for _, n in top], np.float64)
+    def __init__(self, keys: np.ndarray, form: np.ndarray, count: np.ndarray, tail: dict[int, tuple[int, int]], tokens: int, distinct: int):
+        self.keys, self.count = keys, count.astype(np.float64)
+        self.numbers = Numbers(max(1, len(keys)))
+        self.numbers.add(_spread(keys))
         self.tokens, self.distinct = tokens, distinct
         # Input of each known word: itself, or its tail class.
-        self.input = np.array([i if i < WORDS else WORDS + tail_class(w) for i, (w, _) in enumerate(top)], np.int32)
+        self.input = np.where(np.arange(len(keys)) < WORDS, np.arange(len(keys)), WORDS + form).astype(np.int32)
         self.tail_n, self.tail_v = np.zeros(TAILS), np.zeros(TAILS)
-        self.tail_n[tail["k"]], self.tail_v[tail["k"]] = tail["n"], tail["v"]
+        for k, (n, v) in tail.items():
+            self.tail_n[k], self.tail_v[k] = n, v
+
+    def known(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each word (-1 if it is not known), and its input."""
+        number = self.numbers.find(_spread(found.keys))
+        return number, np.where(number >= 0, np.append(self.input, 0)[number], WORDS + found.form).astype(np.int32)
 
     def log_tail(self) -> np.ndarray:
         return np.log10(self.tail_n + self.tail_v + 1)
 
 
+def _spread(keys: np.ndarray) -> np.ndarray:
+    """Keys for a table of numbers, which has none for 0."""
+    return np.where(keys == END, np.uint64(0x9E3779B97F4A7C15), keys)
+
+
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     # The least count of which all words are known: a row for each different count is looked at, not each word.
     at_least = F.sum("words").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
     by_count = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("at_least", at_least)
     least = by_count.filter(F.col("at_least") <= KNOWN).agg(F.min("n")).first()[0]
-    found = counts.filter(F.col("n") >= least).collect() if least is not None else []
-    found += counts.orderBy(F.desc("n"), "token").limit(WORDS).collect()  # the model's words, however many others are as frequent
-    top = sorted({(bytes(r["token"]), r["n"]) for r in found}, key=lambda word: (-word[1], word[0]))
+    order = [F.desc("n"), F.asc("word")]
+    found = counts.orderBy(*order).limit(WORDS)  # the model's words, however many others are as frequent
+    if least is not None:
+        found = found.union(counts.filter(F.col("n") >= least)).distinct()
+    top = found.orderBy(*order).toArrow()
+    keys, form, count = (top[c].to_numpy() for c in ("word", "k", "n"))
     totals = counts.agg(F.sum("n"), F.count("*")).first()
-    frequent = {word for word, _ in top[:WORDS]}
-
-    def by_form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v = np.zeros(TAILS, np.int64), np.zeros(TAILS, np.int64)
-        for batch in batches:
-            for word, own in zip(batch.column("token").to_pylist(), batch.column("n").to_pylist()):
-                if word not in frequent:
-                    n[k := tail_class(word)] += own
-                    v[k] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(TAILS)), pa.array(n), pa.array(v)], ["k", "n", "v"])
-
-    tail = counts.mapInArrow(by_form, "k bigint, n bigint, v bigint").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toPandas()
-    return Vocabulary(top, tail, totals[0] or 0, totals[1])
+    tail = counts.filter(~F.col("word").isin(keys[:WORDS].tolist())).groupBy("k").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
+    held = {row["k"]: (row["n"], row["v"]) for row in tail.collect()}
+    return Vocabulary(keys.view(np.uint64), form, count, held, totals[0] or 0, totals[1])
 
 
 class Unit:
@@ -160,18 +190,32 @@ class Unit:
 
     def read(self, h: np.ndarray, inputs: np.ndarray, ends: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States before each token of a window (time, lane), and the state after it."""
-        states = np.empty((*inputs.shape, HIDDEN), np.float32)
+        steps, width = inputs.shape
+        states = np.empty((steps, width, HIDDEN), np.float32)
+        gates, new, inner = (np.empty((steps, width, n), np.float32) for n in (2 * HIDDEN, HIDDEN, HIDDEN))
         given = self.x[inputs]
-        keep = (~ends).astype(np.float32)
-        for t in range(len(inputs)):
+        given[..., : 2 * HIDDEN] *= 0.5  # a gate is half a hyperbolic tangent of half its input, and a half
+        u = self.u.copy()
+        u[:, : 2 * HIDDEN] *= 0.5
+        keep = (~ends).astype(np.float32)[:, :, None]
+        for t in range(steps):
             states[t] = h
-            a = h @ self.u
-            gates = 0.5 * np.tanh(0.5 * (given[t, :, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])) + 0.5
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            new = np.tanh(given[t, :, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
-            if trace is not None:
-                trace.append((z, r, new, a[:, 2 * HIDDEN :]))
-            h = (new + z * (h - new)) * keep[t, :, None]
+            a = h @ u
+            g, n = gates[t], new[t]
+            np.add(given[t, :, : 2 * HIDDEN], a[:, : 2 * HIDDEN], out=g)
+            np.tanh(g, out=g)
+            g *= 0.5
+            g += 0.5
+            inner[t] = a[:, 2 * HIDDEN :]
+            np.multiply(g[:, HIDDEN:], inner[t], out=n)
+            n += given[t, :, 2 * HIDDEN :]
+            np.tanh(n, out=n)
+            h = h - n
+            h *= g[:, :HIDDEN]
+            h += n
+            h *= keep[t]
+        if trace is not None:
+            trace.extend((gates[..., :HIDDEN], gates[..., HIDDEN:], new, inner))
         return states, h
 
     def _classes(self, states: np.ndarray) -> np.ndarray:
@@ -217,18 +261,25 @@ class Unit:
             g.ww[c], g.bw[c] = flat[rows].T @ p, p.sum(0)
             back[rows] += p @ self.ww[c].T
         back = back.reshape(states.shape)
-        given = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
+        z, r, new, inner = trace
+        # What an error of the state is multiplied by on its way into the gates and the new state.
+        by_z, by_n, by_r = (states - new) * z * (1 - z), (1 - z) * (1 - new * new), inner * r * (1 - r)
+        through, fresh = np.empty((*inputs.shape, 3 * HIDDEN), np.float32), np.empty(states.shape, np.float32)
+        keep, back_u = (~ends).astype(np.float32)[:, :, None], np.ascontiguousarray(self.u.T)
         error = np.zeros_like(h)
         for t in range(len(inputs) - 1, -1, -1):
-            z, r, new, a = trace[t]
-            error = error * ~ends[t][:, None]
-            dz = error * (states[t] - new) * z * (1 - z)
-            dn = error * (1 - z) * (1 - new * new)
-            dr = dn * a * r * (1 - r)
-            given[t] = np.concatenate((dz, dr, dn), 1)
-            through = np.concatenate((dz, dr, dn * r), 1)
-            g.u += states[t].T @ through
-            error = error * z + through @ self.u.T + back[t]
+            error *= keep[t]
+            own, dn = through[t], fresh[t]
+            np.multiply(error, by_z[t], out=own[:, :HIDDEN])
+            np.multiply(error, by_n[t], out=dn)
+            np.multiply(dn, by_r[t], out=own[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[t], out=own[:, 2 * HIDDEN :])
+            error *= z[t]
+            error += own @ back_u
+            error += back[t]
+        g.u[:] = flat.T @ through.reshape(-1, 3 * HIDDEN)
+        given = through
+        given[..., 2 * HIDDEN :] = fresh
         order = np.argsort(at, kind="stable")
         heads = np.flatnonzero(np.diff(at[order], prepend=-1))
         g.x[at[order][heads]] = np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], heads)
@@ -295,15 +346,18 @@ def train(unit: Unit, sequences: list[np.ndarray], state: tuple) -> None:
         g, h = unit.gradient(h[:width], np.maximum(window, 0), ends[a : a + TRAIN_WINDOW, :width], window >= 0)
         g *= min(1.0, 1.0 / max(1e-9, float(np.linalg.norm(g))))
         steps[0] += 1
-        mean += 0.1 * (g - mean)
-        square += 0.01 * (g * g - square)
+        mean *= 0.9
+        mean += 0.1 * g
+        g *= g
+        g *= 0.01
+        square *= 0.99
+        square += g
         size = RATE * np.sqrt(1 - 0.99 ** steps[0]) / (1 - 0.9 ** steps[0])
-        unit.flat -= size * mean / (np.sqrt(square) + 1e-6)
-
-
-def _inputs(vocabulary: Vocabulary, own: list[bytes]) -> np.ndarray:
-    number, known = vocabulary.number, vocabulary.input
-    return np.array([known[i] if (i := number.get(w, -1)) >= 0 else WORDS + tail_class(w) for w in own], np.int32)
+        np.sqrt(square, out=g)
+        g += 1e-6
+        np.divide(mean, g, out=g)
+        g *= size
+        unit.flat -= g
 
 
 def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Unit:
@@ -326,10 +380,12 @@ def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) ->
             held, tokens, n = [], 0, 0
             for batch in batches:
                 for piece in slices(batch, "text"):
-                    for text in piece.column("text").cast(pa.binary()).to_pylist():
-                        if zlib.crc32(text or b"") % rounds == turn:
-                            held.append(_inputs(shared.value, [*words(text), END]))
-                            tokens += len(held[-1])
+                    texts = piece.column("text").cast(pa.binary()).to_pylist()
+                    chosen = pa.array([zlib.crc32(text or b"") % rounds == turn for text in texts])
+                    found = Words(piece.column("text").filter(chosen))
+                    _, inputs = shared.value.known(found)
+                    held += np.split(inputs, found.bounds[1:-1]) if len(found.bounds) > 1 else []
+                    tokens += len(inputs)
                     if tokens > TOGETHER:
                         train(own, held, state)
                         held, tokens, n = [], 0, n + tokens
@@ -351,7 +407,7 @@ def learn_unit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) ->
     return unit
 
 
-_SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, rare array<struct<token: binary, n: int>>"
+_SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, rare array<bigint>"
 
 
 def score_documents(docs: DataFrame, learns: Column) -> DataFrame:
@@ -368,45 +424,48 @@ def score_documents(docs: DataFrame, learns: Column) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         own_unit = Unit(weights.value)
-        log_count = np.log10(known.count + 1)
+        log_count = np.append(np.log10(known.count + 1), 0)
         log_tail = known.log_tail()
-        get = known.number.get
         row = TaskContext.get().partitionId() << 33
-        held: list[tuple] = []
+        held: list[list] = [[] for _ in range(7)]
         sequences: list[np.ndarray] = []
 
         def rows() -> pa.RecordBatch:
             nonlocal row
             score = sequence_scores(own_unit, sequences) / np.log(10)
-            columns = [[*range(row, row + len(held))], *(list(c) for c in zip(*held))]
-            row += len(held)
-            columns[6] = [a + b for a, b in zip(columns[6], score.tolist())]
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int32())]))]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+            doc_id, out, n_tokens, n_known, base, share, rare = (pa.concat_arrays(x) for x in held)
+            place = pa.array(np.arange(row, row + len(sequences)))
+            row += len(sequences)
+            total = pa.array(share.to_numpy() + score)
+            return pa.RecordBatch.from_arrays([place, doc_id, out, n_tokens, n_known, base, total, rare], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
         tokens = 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                for doc_id, out, text in zip(piece.column("doc_id").to_pylist(), piece.column("held_out").to_pylist(), piece.column("text").cast(pa.binary()).to_pylist()):
-                    found = [*words(text), END]
-                    number = np.array([get(w, -1) for w in found], np.int32)
-                    common = number >= 0
-                    inputs = np.empty(len(found), np.int32)
-                    inputs[common] = known.input[number[common]]
-                    others = Counter(found[i] for i in np.flatnonzero(~common).tolist())
-                    if others:
-                        kind = {w: WORDS + tail_class(w) for w in others}
-                        inputs[~common] = [kind[found[i]] for i in np.flatnonzero(~common).tolist()]
-                    logs = log_count[number[common]]
-                    in_tail = inputs >= WORDS
-                    share = logs[inputs[common] >= WORDS].sum() - log_tail[inputs[in_tail] - WORDS].sum()
-                    held.append((doc_id, out, len(found), int(common.sum()), float(logs.sum()), float(share), [{"token": w, "n": n} for w, n in others.items()]))
-                    sequences.append(inputs)
-                    tokens += len(found)
+                found = Words(piece.column("text"))
+                number, inputs = known.known(found)
+                sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[found.bounds])  # noqa: B023, E731
+                logs, in_tail = log_count[number], inputs >= WORDS
+                share = np.where(in_tail, logs - log_tail[np.maximum(inputs - WORDS, 0)], 0.0)
+                others = np.flatnonzero(number < 0)
+                edges = np.searchsorted(others, found.bounds).astype(np.int32)
+                columns = [
+                    piece.column("doc_id"),
+                    piece.column("held_out"),
+                    pa.array(np.diff(found.bounds).astype(np.int64)),
+                    pa.array(sums(number >= 0).astype(np.int64)),
+                    pa.array(sums(logs)),
+                    pa.array(sums(share)),
+                    pa.ListArray.from_arrays(pa.array(edges), pa.array(found.keys[others].view(np.int64))),
+                ]
+                for kept, column in zip(held, columns):
+                    kept.append(column)
+                sequences += np.split(inputs, found.bounds[1:-1])
+                tokens += len(inputs)
                 if tokens > TOGETHER:
                     yield rows()
-                    held, sequences, tokens = [], [], 0
-        if held:
+                    held, sequences, tokens = [[] for _ in range(7)], [], 0
+        if sequences:
             yield rows()
 
     scored = docs.mapInArrow(score, _SCORED)
@@ -414,12 +473,12 @@ def score_documents(docs: DataFrame, learns: Column) -> DataFrame:
     first = F.coalesce(F.col("place"), F.lit(0)) == 0
     once = [F.when(first, F.col(c)).otherwise(0).alias(c) for c in ("n_tokens", "n_known", "base", "score")]
     spread = scored.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", F.posexplode_outer("rare").alias("place", "word"))
-    spread = spread.select("row", "doc_id", "held_out", *once, F.col("word.token").alias("token"), F.col("word.n").alias("times"))
-    joined = spread.join(counts.withColumnRenamed("n", "count"), "token", "left")
-    seen = F.coalesce("times", F.lit(0)) * F.log10(F.coalesce("count", F.lit(0)) + 1)
+    spread = spread.select("row", "doc_id", "held_out", *once, "word")
+    joined = spread.join(counts.select("word", F.col("n").alias("count")), "word", "left")
+    seen = F.log10(F.coalesce("count", F.lit(0)) + 1)
     whole = joined.groupBy("row", "doc_id", "held_out").agg(
         F.sum("n_tokens").cast("bigint").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("count").isNotNull(), F.coalesce("times", F.lit(0))).otherwise(0)).cast("bigint").alias("n_known"),
+        F.sum(F.col("n_known") + F.when(F.col("count").isNotNull(), 1).otherwise(0)).cast("bigint").alias("n_known"),
         F.sum(F.col("base") + seen).alias("base"),
         F.sum(F.col("score") + seen).alias("score"),
     )
