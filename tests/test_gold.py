@@ -151,3 +151,14 @@ def test_gold_reads_only_the_columns_it_needs(spark, folder, tiny):
         assert "description" not in plan and "tags" not in plan and "Python" not in plan
     pruned = plan_of(trending_rollup(statistics.filter(F.col("region") == "eu")))
     assert "PartitionFilters: [isnotnull(region" in pruned
+
+
+def test_channel_rollup_scans_silver_once(spark, folder):
+    rows = raw(spark, *[{"video_id": f"v{i % 7}", "category_id": i % 3, "channel_title": f"c{i % 2}", "views": i} for i in range(50)])
+    cleanse(rows).withColumn("category_name", F.concat(F.lit("n"), "category_id")).write.parquet(folder + "/silver")
+    found = channel_rollup(spark.read.parquet(folder + "/silver"))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "collect_set" not in plan
+    by_channel = {r.channel_title: r for r in found.collect()}
+    assert by_channel["c0"].total_videos == 7 and by_channel["c0"].categories == ["n0", "n1", "n2"]
+    assert by_channel["c0"].total_views == sum(range(0, 50, 2)) and by_channel["c0"].times_trending == 25
