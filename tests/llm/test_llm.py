@@ -373,9 +373,32 @@ def test_ngram_join(spark, odd, none):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == wanted
     once = ngram_join.first_of_each(odd)
     assert once.columns == odd.columns
-    assert sorted(r.doc_id for r in once.filter("doc_id is not null").collect()) == [0, 1, 2, 3, 4, 5, 6, 7]
-    assert once.filter("doc_id is null").count() == 1
+    # The row without an id has the text of document 4.
+    assert sorted((r.doc_id is None, r.doc_id) for r in once.collect()) == [(False, i) for i in range(8)]
     assert ngram_join.join_components(none).count() == 0
+    assert ngram_join.first_of_each(none).count() == 0
+
+
+def test_ngram_join_judges_rows_that_share_an_id_by_their_own_texts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT", 5)  # both ways of naming classes
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    texts = [(1, words("a", 40)), (1, words("b", 400)), (2, words("a", 40)), (None, words("a", 39)), (None, words("c", 30)), (None, words("c", 30))]
+    texts += [(None, None), (None, ""), (3, words("d", 9)), (3, words("e", 9)), (-5, words("b", 390))]
+    texts += [(9, words("f", 50))] * 6 + [(9, words("g", 50)), (8, words("g", 48)), (7, words("h", 3))]  # one id has a third of all rows
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    by_row = plain_components({i: t for i, (_, t) in enumerate(texts)}, 5, 75)
+    least = defaultdict(list)
+    for i, (doc_id, _) in enumerate(texts):
+        least[by_row[i][1]].append(doc_id)
+    name = {c: min((x for x in ids if x is not None), default=None) for c, ids in least.items()}
+    wanted = Counter((doc_id, by_row[i][0], name[by_row[i][1]]) for i, (doc_id, _) in enumerate(texts))
+    assert Counter(map(tuple, ngram_join.join_components(docs).collect())) == wanted
+    assert (2, 36, 1) in wanted and (1, 396, -5) in wanted
+    kept = Counter(map(tuple, ngram_join.first_of_each(docs).collect()))
+    first = {}
+    for i, (doc_id, text) in sorted(enumerate(texts), key=lambda x: (x[1][0] is None, x[1][0] or 0)):
+        first.setdefault(by_row[i][1], (doc_id, text))
+    assert kept == Counter(first.values())
 
 
 def test_language(spark, tiny, real):

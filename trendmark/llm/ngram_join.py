@@ -17,9 +17,13 @@ least T = ceil(n * percent / 100) of them with each document it links to. The jo
    are not looked for again, as only their component matters.
 5. *Components* of the links by label propagation over Spark joins.
 
+Rows are told apart by a key of their own, given when they are first written; ids are looked up at the end. So
+every row is judged by its own text, also where several share a ``doc_id`` or have none, and every row is in the result. A
+component is named by its smallest ``doc_id``, or null if none of its rows has one.
+
 Shingles are compared by 64-bit hashes. Null, empty and wordless texts have no shingle, link with nothing and
 are components of their own. With fewer words than a shingle, the whole sequence is the one shingle. Repeated
-rows are in one class; a null ``doc_id`` takes no part. Other columns are ignored.
+rows are in one class. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendmark.llm.common import BY_SPACE, ready, run_hashes, slices, stored, utf8, word_hashes
@@ -49,6 +53,8 @@ CHUNK = 1_000_000
 HEAP = 512
 #: Entries of long lists that take as long as probing one document.
 PROBE = 4_000
+#: A class or component with so many rows is not gathered in one task to be named.
+HOT = 1_000
 
 
 def shingle_sets(words: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
@@ -97,7 +103,7 @@ def _sent(docs: DataFrame, size: int, buckets: int) -> DataFrame:
 
     def pack(piece: pa.RecordBatch) -> dict[str, list]:
         sets = _piece_sets(piece, size)
-        ids = piece.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = piece.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
         n = np.array([len(s) for s in sets], np.int64)
         sets = [s[: int(np.searchsorted(s, top))] for s in sets]
         every = np.concatenate(sets)
@@ -132,7 +138,7 @@ def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """For each document, how many of a bucket's shingles are found in another batch, with a minus."""
     if key[0] < 0:
         ids, single, n = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]]) for c in ("ids", "rows", "codes"))
-        return pd.DataFrame({"doc_id": ids, "n": n, "single": single})
+        return pd.DataFrame({"key": ids, "n": n, "single": single})
     ids = [np.frombuffer(x, np.int64) for x in rows["ids"]]
     # Each code with its document, sorted in place as one number. Documents are numbered on; 0 stands for several.
     both = np.empty(sum(len(x) for x in rows["codes"]) // 4, np.uint64)
@@ -150,7 +156,7 @@ def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     shared[:-1] |= same
     counts = np.bincount(owner[shared], minlength=1 + sum(map(len, ids)))[1:]
     found = np.flatnonzero(counts)
-    return pd.DataFrame({"doc_id": np.concatenate(ids)[found], "n": np.zeros(len(found), np.int64), "single": -counts[found]})
+    return pd.DataFrame({"key": np.concatenate(ids)[found], "n": np.zeros(len(found), np.int64), "single": -counts[found]})
 
 
 def _candidate_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -160,15 +166,15 @@ def _candidate_sets(docs: DataFrame, size: int) -> DataFrame:
                 found = _piece_sets(piece, size)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("doc_id"),
+                        piece.column("key"),
                         pa.array([len(x) for x in found], pa.int64()),
                         pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found], pa.binary()),
                         pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "digest", "shingles"],
+                    ["key", "n", "digest", "shingles"],
                 )
 
-    return docs.mapInArrow(sets, "doc_id bigint, n bigint, digest binary, shingles array<bigint>")
+    return docs.mapInArrow(sets, "key bigint, n bigint, digest binary, shingles array<bigint>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -251,8 +257,8 @@ class Lists:
 def _linked(percent: int):
     def link(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """Links of a group's documents, as a star for each component found here."""
-        rows = rows.sort_values(["n", "doc_id"], kind="stable")
-        ids, n, chunk = (rows[c].to_numpy(np.int64) for c in ("doc_id", "n", "chunk"))
+        rows = rows.sort_values(["n", "key"], kind="stable")
+        ids, n, chunk = (rows[c].to_numpy(np.int64) for c in ("key", "n", "chunk"))
         sets = [np.asarray(x, np.int64).view(np.uint64) for x in rows["shingles"]]
         lists = Lists(sets)
         label = np.arange(len(sets))
@@ -276,27 +282,27 @@ def _linked(percent: int):
 
 def _links(classes: DataFrame, percent: int, chunk: int) -> DataFrame:
     """Links (a, b) between classes (doc_id, n, shingles)."""
-    posting = classes.select("doc_id", "n", F.explode("shingles").alias("shingle"))
+    posting = classes.select("key", "n", F.explode("shingles").alias("shingle"))
     often = posting.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     rest = F.size("own") - F.ceil(F.col("n") * percent / 100)  # of shared shingles, less those always left aside
     short = (
         posting.join(often, "shingle")
-        .groupBy("doc_id", "n")
+        .groupBy("key", "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("own"))
         .filter(rest >= 0)
-        .select("doc_id", F.explode(F.slice("own", F.lit(1), (rest + 1).cast("int"))).alias("entry"))
-        .select("doc_id", F.col("entry.shingle").alias("shingle"))
+        .select("key", F.explode(F.slice("own", F.lit(1), (rest + 1).cast("int"))).alias("entry"))
+        .select("key", F.col("entry.shingle").alias("shingle"))
     )
     short = stored(short, "short-lists")
-    hub = short.groupBy("shingle").agg(F.min("doc_id").alias("hub"), F.count("*").alias("many")).filter("many > 1")
-    meet = short.join(hub, "shingle").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    hub = short.groupBy("shingle").agg(F.min("key").alias("hub"), F.count("*").alias("many")).filter("many > 1")
+    meet = short.join(hub, "shingle").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
     clusters = components(meet)
     clusters = clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct())
-    members = stored(classes.join(clusters.withColumnRenamed("node", "doc_id"), "doc_id"), "members")
+    members = stored(classes.join(clusters.withColumnRenamed("node", "key"), "key"), "members")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / float(chunk)).alias("chunks"), F.sum("n").alias("total"))
     bins = sizes.filter("chunks = 1").agg(F.coalesce(F.ceil(F.sum("total") / float(chunk)), F.lit(1)).alias("bins"))
     placed = members.join(sizes.drop("total"), "component").crossJoin(F.broadcast(bins))
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks")).withColumn(
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
     )
     small = F.col("chunks") == 1
@@ -305,7 +311,7 @@ def _links(classes: DataFrame, percent: int, chunk: int) -> DataFrame:
             F.when(small, F.lit(-1)).otherwise(F.col("component")).alias("cluster"),
             F.when(small, F.pmod(F.xxhash64("component"), 4 * F.col("bins"))).otherwise(F.least("chunk", "other")).alias("x"),
             F.when(small, F.lit(0)).otherwise(F.greatest("chunk", "other")).alias("y"),
-            "doc_id",
+            "key",
             "n",
             "chunk",
             "shingles",
@@ -315,50 +321,70 @@ def _links(classes: DataFrame, percent: int, chunk: int) -> DataFrame:
     )
 
 
-def join_components(
-    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bucket: int = BUCKET, chunk: int = CHUNK
-) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of each doc_id of ``docs``."""
-    ready(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def _named(rows: DataFrame, names: DataFrame, on: str) -> DataFrame:
+    """``rows`` joined with ``names``, one row for each value of ``on``; values with ``HOT`` rows or more are not gathered.
+
+    There is at most one such value for every ``HOT`` rows, so their names are few.
+    """
+    often = rows.groupBy(on).agg(F.count("*").alias("many")).filter(F.col("many") >= HOT).select(on)
+    often = stored(names.join(often, on), "often")
+    common = rows.join(broadcast_if_small(often), on)
+    return rows.join(broadcast_if_small(often.select(on)), on, "left_anti").join(names, on).unionByName(common)
+
+
+def _components(keyed: DataFrame, size: int, percent: int, bucket: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """key, n of every row of ``keyed`` (key, text), and key, component (its smallest key) of those with links."""
+    total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counts = stored(
-        _sent(docs, size, max(1, -(-total * COUNTED // (48 * bucket))))
+        _sent(keyed, size, max(1, -(-total * COUNTED // (48 * bucket))))
         .groupBy("bucket")
-        .applyInPandas(_shared, "doc_id bigint, n bigint, single bigint")
-        .groupBy("doc_id")
+        .applyInPandas(_shared, "key bigint, n bigint, single bigint")
+        .groupBy("key")
         .agg(F.max("n").alias("n"), F.sum("single").alias("single")),
         "counts",
     )
     candidates = counts.filter((F.col("n") > 0) & (F.col("single") <= F.col("n") - F.ceil(F.col("n") * percent / 100)))
-    chosen = broadcast_if_small(candidates.select("doc_id"))
-    sets = stored(_candidate_sets(docs.join(chosen, "doc_id"), size), "sets")
-    members = sets.join(sets.groupBy("digest").agg(F.min("doc_id").alias("first")), "digest")
-    members = stored(members.select("doc_id", "n", "first", F.when(F.col("doc_id") == F.col("first"), F.col("shingles")).alias("shingles")), "classes")
-    links = _links(members.filter("doc_id = first").select("doc_id", "n", "shingles"), percent, chunk)
-    copies = members.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    chosen = broadcast_if_small(candidates.select("key"))
+    sets = stored(_candidate_sets(keyed.join(chosen, "key"), size), "sets")
+    members = _named(sets, sets.groupBy("digest").agg(F.min("key").alias("first")), "digest")
+    members = stored(members.select("key", "n", "first", F.when(F.col("key") == F.col("first"), F.col("shingles")).alias("shingles")), "classes")
+    links = _links(members.filter("key = first").select("key", "n", "shingles"), percent, chunk)
+    copies = members.filter("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b"))
     found = components(stored(links, "links").unionByName(copies))
-    return counts.join(found, counts["doc_id"] == found["node"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
-    )
+    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    return counts.select("key", "n"), stored(found.withColumnRenamed("node", "key"), "components")
 
 
-def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without all but the smallest doc_id of each component; rows without a doc_id stay.
+def join_components(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bucket: int = BUCKET, chunk: int = CHUNK
+) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of each row of ``docs``."""
+    ready(docs.sparkSession)
+    rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("bigint"), "text")
+    keyed = stored(rows, "keyed", "zstd")
+    counts, found = _components(keyed.select("key", "text"), size, percent, bucket, chunk)
+    ids = counts.join(keyed.select("key", "doc_id"), "key").join(found, "key", "left")
+    ids = stored(ids, "ids")
+    linked = ids.filter("component is not null")
+    named = _named(linked, linked.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component")
+    alone = ids.filter("component is null").withColumn("component_id", F.col("doc_id"))
+    return alone.unionByName(named).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def first_of_each(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bucket: int = BUCKET, chunk: int = CHUNK
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, and of the smallest hash among these.
 
-    Of several rows of one doc_id the one with the smallest text stays.
+    Rows without a doc_id come last. Rows that are linked with nothing all stay, whatever their ids.
     """
-    found = join_components(docs, **options)
-    dropped = broadcast_if_small(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped")))
-    kept = docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
-    repeated = stored(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("repeated")), "repeated")
-    if repeated.isEmpty():
-        return kept
-    repeated = broadcast_if_small(repeated)
-    again = kept.join(repeated, kept["doc_id"] == repeated["repeated"], "left_semi")
-    again = again.select(F.struct("*").alias("whole"), "doc_id", "text")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "whole"))
-    once = again.withColumn("place", place).filter("place = 1").select("whole.*")
-    return kept.join(repeated, kept["doc_id"] == repeated["repeated"], "left_anti").unionByName(once)
+    ready(docs.sparkSession)
+    whole = docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("whole"))
+    keyed = stored(whole.withColumn("tie", F.xxhash64("whole")), "keyed", "zstd")
+    _, found = _components(keyed.select("key", "whole.text"), size, percent, bucket, chunk)
+    doc_id = F.col("whole.doc_id").alias("doc_id")
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "tie", "key")
+    linked = keyed.select("key", doc_id, "tie").join(found, "key")
+    kept = linked.groupBy("component").agg(F.min(place)["key"].alias("key")).select("key")
+    dropped = stored(found.join(kept, "key", "left_anti").select("key"), "dropped")
+    return keyed.join(broadcast_if_small(dropped), "key", "left_anti").select("whole.*")
