@@ -2,9 +2,10 @@
 
 The graph: every distinct vector keeps its ``NEIGHBOURS`` nearest known ones. They are first sought in the leaves of
 random projection trees (fitted on a bounded sample of ``SAMPLE`` vectors; every vector is indexed), then NN-descent
-improves them: around each vector, its neighbours and some that have it as neighbour are joined with their vectors and
-compared with each other, and pairs better than what a vector knows are kept, until a round finds hardly any new pair.
-Lists around a vector are bounded, so a round costs the same for every vector.
+improves them: around each vector, its neighbours, some that have it as neighbour and a few random vectors are joined with
+their vectors and compared with each other, and unknown pairs better than what a vector knows are kept, until a round finds
+hardly any new pair. Random vectors, others in each round, lead from one island of the graph to the next. Lists around a
+vector are bounded, so a round costs the same for every vector.
 
 The search: a query starts at its own vector's place in the graph and expands the best vectors found, ``beam_of`` the
 number of vectors, until all of these are expanded. Graph and search compare unit vectors kept in half precision; those
@@ -37,6 +38,8 @@ CHANGES = 0.001
 BEAM, BEAM_FITS = 256, 51_282
 #: Of each list around a vector, this many of a vector's best new pairs are kept a round.
 OFFERS = 8
+#: Random vectors around each vector in a round, drawn within random groups of about ``GROUP``.
+STRANGERS, GROUP = 4, 1000
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -107,8 +110,16 @@ def _pairs(u: np.ndarray, v: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(sim)], ["u", "v", "sim"])
 
 
+def _listed(column: pa.Array) -> np.ndarray:
+    """A list column as a matrix, short lists filled up with the smallest number."""
+    size = np.diff(column.offsets.to_numpy())
+    out = np.full((len(size), max(1, size.max(initial=0))), np.iinfo(np.int64).min)
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
 def _compared(keep: int):
-    """Around each pivot of sorted rows (pivot, node, worst, unit): pairs better than a node's worst."""
+    """Around each pivot of sorted rows (pivot, node, worst, known, unit): unknown pairs better than a node's worst."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _groups(batches, "pivot"):
@@ -116,7 +127,7 @@ def _compared(keep: int):
             edges = np.concatenate(([0], np.flatnonzero(np.diff(pivot)) + 1, [len(pivot)]))
             node = batch.column("node").to_numpy()
             worst = batch.column("worst").to_numpy()
-            unit = unit_rows(batch, "unit")
+            unit, listed = unit_rows(batch, "unit"), _listed(batch.column("known"))
             widest = int(np.diff(edges).max())
             step = max(1, 4_000_000 // (widest * (widest + unit.shape[1])))
             for a in range(0, len(edges) - 1, step):
@@ -129,6 +140,8 @@ def _compared(keep: int):
                 sim = block @ block.transpose(0, 2, 1)
                 sim[~(inside[:, :, None] & inside[:, None, :])] = -2
                 sim[node[index][:, :, None] == node[index][:, None, :]] = -2
+                for column in listed.T:
+                    sim[column[index][:, :, None] == node[index][:, None, :]] = -2
                 m = min(keep, widest - 1)
                 if m < 1:
                     continue
@@ -160,6 +173,14 @@ def packed_units(nodes: DataFrame) -> DataFrame:
     return stored(nodes.mapInArrow(pack, "node bigint, unit binary"), "units")
 
 
+def strangers(packed: DataFrame, count: int, seed: int) -> DataFrame:
+    """pivot, node: some random other nodes for every node, others for another seed."""
+    order = Window.partitionBy(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(-(-count // GROUP)))).orderBy(F.xxhash64("node", F.lit(seed)), "node")
+    after = F.array(*(F.lead("node", i).over(order) for i in range(1, STRANGERS + 1)))
+    pairs = packed.select(F.col("node").alias("pivot"), after.alias("after"))
+    return pairs.select("pivot", F.explode("after").alias("node")).filter("node is not null")
+
+
 def build_graph(packed: DataFrame, k: int = NEIGHBOURS, trees: int = TREES, leaf: int = LEAF, seed: int = 11) -> DataFrame:
     """u, v, sim, place: the ``k`` nearest known neighbours of each node (node, unit)."""
     rng = np.random.default_rng(seed)
@@ -181,16 +202,17 @@ def build_graph(packed: DataFrame, k: int = NEIGHBOURS, trees: int = TREES, leaf
     sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (2.0 * leaf)).alias("parts"))
     # Leaves that the sample's tree left too large are dealt out further.
     part = F.pmod(F.xxhash64(F.lit(seed), "node"), "parts")
-    dealt = leaves.join(sizes, "leaf").select(F.xxhash64("leaf", part).alias("pivot"), "node", F.lit(-2.0).cast("float").alias("worst"), "unit")
+    dealt = leaves.join(sizes, "leaf").select(F.xxhash64("leaf", part).alias("pivot"), "node", F.lit(-2.0).cast("float").alias("worst"), F.expr("cast(array() as array<bigint>)").alias("known"), "unit")
     pairs = dealt.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(_compared(k), _PAIRS)
     graph = stored(_best(pairs.withColumn("known", F.lit(False)), k), "graph")
     changed, r = count * k if count > leaf else 0, 0
     while changed > CHANGES * count * k:
         back = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64(F.lit(seed + r), "u"), "u"))
         reverse = graph.withColumn("back", back).filter(F.col("back") <= k).select(F.col("v").alias("pivot"), F.col("u").alias("node"))
-        around = graph.select(F.col("u").alias("pivot"), F.col("v").alias("node")).unionByName(reverse).distinct()
-        worst = graph.groupBy("u").agg(F.min("sim").alias("worst")).withColumnRenamed("u", "node")
-        members = around.join(packed.join(worst, "node"), "node").select("pivot", "node", "worst", "unit")
+        around = graph.select(F.col("u").alias("pivot"), F.col("v").alias("node")).unionByName(reverse).unionByName(strangers(packed, count, seed + r)).distinct()
+        worst = F.when(F.count("*") < k, -2.0).otherwise(F.min("sim")).cast("float")  # a short list takes any pair
+        lists = graph.groupBy("u").agg(worst.alias("worst"), F.collect_list("v").alias("known")).withColumnRenamed("u", "node")
+        members = around.join(packed.join(lists, "node"), "node").select("pivot", "node", "worst", "known", "unit")
         offers = members.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(_compared(OFFERS), _PAIRS)
         known = graph.select("u", "v", "sim", F.lit(True).alias("known"))
         graph = stored(_best(known.unionByName(offers.withColumn("known", F.lit(False))), k), f"graph-{r}")
