@@ -424,6 +424,52 @@ def test_language_learns_every_language(spark):
     assert {r.page_id: r.lang for r in found} == {i: f"l{i:02}" for i in range(70)}
 
 
+def test_language_fuses_as_a_plain_version(spark, tiny, real):
+    odd = [(-1, None, None), (-2, "http://a.b.example.de/x", "<html lang='de'>"), (-3, "http://example.de", ""), (-4, "http://c.b.example.de/", "der die und <!-- no"), (-4, "http://c.b.example.de/", "der die und <!-- no")]
+    pages = table(spark, tiny, "pages").unionByName(spark.createDataFrame(odd, "page_id bigint, url string, html string"), allowMissingColumns=True)
+    names, prior, logs = language.learn_text_model(real)
+    parts = language.page_parts(pages).collect()
+    text, guess = [], []
+    for r in parts:
+        bucket, _ = language.trigrams(np.frombuffer(r.text.encode(), np.uint8), np.array([0, len(r.text.encode())]))
+        text.append(logs[:, bucket].sum(1) / language.TEMPER)
+        guess.append(int(np.argmax(text[-1] + prior)))
+    k, s, every = len(names), language.SMOOTH, len(parts)
+    one = np.eye(k)
+    counts = {key: defaultdict(lambda: np.zeros(k)) for key in ("declared", "suffix", "host", "site", "domain")}
+    for r, g in zip(parts, guess):
+        for key, own in counts.items():
+            own[r[key]] += one[g]
+    total = sum(one[g] for g in guess)
+    wanted = []
+    for r, t, g in zip(parts, text, guess):
+        labels = r.host.split(".")
+        assert (r.site, r.domain, r.suffix) == (".".join(labels[-3:]), ".".join(labels[-2:]), labels[-1])
+        p, seen = (total - one[g] + 1) / (every - 1 + k), set()
+        for key in ("domain", "site", "host"):
+            own = counts[key][r[key]] - one[g]
+            if r[key] not in seen:
+                p = (own + s * p) / (own.sum() + s)
+            seen.add(r[key])
+        value = t + np.log(p)
+        for key in ("declared", "suffix"):
+            if r[key]:
+                own = counts[key][r[key]]
+                value = value + np.log(np.maximum((own - one[g] + s * own.sum() / every) / (total + s), 1e-6))
+        wanted.append((r.page_id, names[int(np.argmax(value))], 1 / np.exp(value - value.max()).sum()))
+    found = sorted((r.page_id, r.lang, r.confidence) for r in language.identify(pages, real).collect())
+    assert [x[:2] for x in found] == [x[:2] for x in sorted(wanted)]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in sorted(wanted)], rel=1e-6)
+
+
+def test_language_of_a_new_host_comes_from_its_domain(spark):
+    docs = spark.createDataFrame([("b", "bebe bubu bobo " * 9)] * 2 + [("a", "aka taka saka " * 9)], "lang string, text string")
+    pages = [(i, f"http://h{i}.org{i}.com/", "bebe bubu bobo " * 9) for i in range(60)]
+    pages += [(100 + i, "http://www.example.com/", "aka taka saka " * 9) for i in range(10)] + [(200, "http://new.example.com/", ""), (201, "http://new.other.com/", "")]
+    found = {r.page_id: r.lang for r in language.identify(spark.createDataFrame(pages, "page_id bigint, url string, html string"), docs).collect()}
+    assert (found[100], found[200], found[201], found[0]) == ("a", "a", "b", "b")
+
+
 def test_pipeline_stages(spark, tiny, real):
     docs = real.withColumns({c: F.lit("x") for c in ("row", "part", "score", "kept", "hit", "whole")})
     for _, stage in corpus_pipeline.STAGES[:-1]:

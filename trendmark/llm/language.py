@@ -5,10 +5,11 @@ Four kinds of evidence are added up as log-probabilities for each language:
 * the text, by a naive Bayes model of hashed byte trigrams learnt from all labelled documents,
 * the language that the markup declares,
 * the suffix of the address (``com``, ``de``), and
-* the host, whose languages are counted and smoothed by those of its domain, and these by those of all pages.
+* the host, whose languages are counted and smoothed by those of its last three labels, these by those of its last two, and
+  these by those of all pages. Levels that are the same name, as for ``example.com``, count once.
 
 How far declarations and suffixes can be trusted, and the host's languages, come from counts over all pages, grouped by
-declaration, suffix, host and domain, of the language that the text alone suggests; a page is left out of the counts
+declaration, suffix, host and its parents, of the language that the text alone suggests; a page is left out of the counts
 that judge it.
 
 Null or empty markup is no text and no declaration; a null or broken address has an empty host and suffix.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendmark.llm.common import ready, slices, stored, utf8
@@ -101,18 +102,23 @@ def learn_text_model(docs: DataFrame, buckets: int = BUCKETS) -> tuple[list[str]
 
 
 def page_parts(pages: DataFrame) -> DataFrame:
-    """page_id, visible text, declared language, host, domain and suffix of every page."""
+    """page_id, visible text, declared language, host, site (its last three labels), domain (two) and suffix of every page."""
     html, url = F.coalesce("html", F.lit("")), F.lower(F.coalesce("url", F.lit("")))
     host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     text = F.regexp_replace(F.regexp_replace(html, _MARKUP, " "), r"&[#\w]+;", " ")
     declared = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)", 1)
     parts = F.split(host, r"\.")
+
+    def last(labels: int) -> Column:
+        return F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - labels + 1), labels), ".")
+
     return pages.select(
         "page_id",
         text.alias("text"),
         F.lower(declared).alias("declared"),
         host.alias("host"),
-        F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - 2), 3), ".").alias("domain"),
+        last(3).alias("site"),
+        last(2).alias("domain"),
         F.element_at(parts, -1).alias("suffix"),
     )
 
@@ -121,7 +127,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """page_id, lang, confidence, text_lang, declared, host of every page."""
     names, prior, table = learn_text_model(docs)
     model = docs.sparkSession.sparkContext.broadcast(table)
-    kept = ["page_id", "declared", "host", "domain", "suffix"]
+    kept = ["page_id", "declared", "host", "site", "domain", "suffix"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +156,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         return found.select(*keys, log(lambda i: F.coalesce(F.try_element_at("n", i), F.lit(0.0))).alias(f"by_{keys[-1] if keys else 'all'}"))
 
     rows = read_pages
-    for key in ("declared", "suffix", "host", "domain"):
+    for key in ("declared", "suffix", "host", "site", "domain"):
         rows = rows.join(counted(key), key)
     everything = counted().first()
     total = [float(x) for x in everything["by_all"]] if everything["by_all"] and everything["by_all"][0] is not None else [0.0] * len(names)
@@ -164,8 +170,15 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         return F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) - 1
 
     share = lambda i: (F.get(pages_of, i) - F.when(i == F.col("guess"), 1.0).otherwise(0.0) + 1) / (every - 1 + len(names))
-    domain = lambda i: (without("by_domain", i) + SMOOTH * share(i)) / (size("by_domain") + SMOOTH)
-    host = lambda i: (without("by_host", i) + SMOOTH * domain(i)) / (size("by_host") + SMOOTH)
+
+    def level(key: str, i, above: Column) -> Column:  # noqa: ANN001
+        return (without(f"by_{key}", i) + SMOOTH * above) / (size(f"by_{key}") + SMOOTH)
+
+    def host(i) -> Column:  # noqa: ANN001
+        domain = level("domain", i, share(i))
+        site = F.when(F.col("site") == F.col("domain"), domain).otherwise(level("site", i, domain))
+        return F.when(F.col("host") == F.col("site"), site).otherwise(level("host", i, site))
+
     # P(declared | language), and of the suffix alike: smoothed by the share of all pages that have it.
     told = lambda c, i: (without(c, i) + SMOOTH * (size(c) + 1) / max(1.0, every)) / (F.get(pages_of, i) + SMOOTH)
     fused = log(
