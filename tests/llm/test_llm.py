@@ -462,6 +462,13 @@ def test_language_fuses_as_a_plain_version(spark, tiny, real):
     assert [x[2] for x in found] == pytest.approx([x[2] for x in sorted(wanted)], rel=1e-6)
 
 
+def test_language_reads_long_unclosed_markup_once(spark):
+    html = ["<!-- " * 100_000, "<script>" * 100_000, "<" * 300_000, "a <b x='1'>c</b><!-- d --> e<style>f</STYLE > g <script>h", "i < j <!-- k"]
+    pages = spark.createDataFrame([(i, "", h) for i, h in enumerate(html)], "page_id bigint, url string, html string")
+    found = {r.page_id: r.text.split() for r in language.page_parts(pages).collect()}
+    assert [found[0], found[1], len(found[2][0]), found[3], found[4]] == [[], [], 300_000, ["a", "c", "e", "g"], ["i", "<", "j"]]
+
+
 def test_language_of_a_new_host_comes_from_its_domain(spark):
     docs = spark.createDataFrame([("b", "bebe bubu bobo " * 9)] * 2 + [("a", "aka taka saka " * 9)], "lang string, text string")
     pages = [(i, f"http://h{i}.org{i}.com/", "bebe bubu bobo " * 9) for i in range(60)]

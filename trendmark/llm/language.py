@@ -12,7 +12,7 @@ How far declarations and suffixes can be trusted, and the host's languages, come
 declaration, suffix, host and its parents, of the language that the text alone suggests; a page is left out of the counts
 that judge it.
 
-Null or empty markup is no text and no declaration; a null or broken address has an empty host and suffix.
+Null or empty markup is no text and no declaration; a comment, script or style sheet that is not closed ends with the page; a null or broken address has an empty host and suffix.
 Pages without any evidence get the most frequent language. Without labelled documents the language is null.
 Repeated rows are judged row by row (each counts). Other columns are ignored.
 """
@@ -36,7 +36,8 @@ _HELD = 64
 TEMPER = 8.0
 SMOOTH = 4.0
 
-_MARKUP = r"(?s)<!--.*?-->|(?i:<(script|style)\b[^>]*>.*?</\1\s*>)|<[^>]*>"
+#: What is not closed goes on to the end of the page, so that no place is read over and over again.
+_MARKUP = r"(?s)<!--.*?(?:-->|\z)|(?i:<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\z))|<[^<>]*>"
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
