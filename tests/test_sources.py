@@ -383,3 +383,20 @@ def test_category_rules(spark):
     ]
     assert sorted((r.id, r["snippet.title"]) for r in refine_reference(documents.filter("_corrupt_record is null")).collect()) == [("1", "new"), ("2", " ")]
     assert {r.passed for r in category_checks(judged_categories(documents.limit(0))).collect()} == {True}
+
+
+def test_raw_documents_are_packed_and_made_twice_at_most(spark, folder):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        made.add(1)
+        return '{"items": [], "filler": "' + "same words again " * 60 + '", "n": ' + str(i) + "}"
+
+    at = F.lit(datetime(2026, 7, 14, 10, 5))
+    texts = spark.range(0, 400, 1, 2).select(text("id").alias("doc"), at.alias("at"))
+    write_raw_documents(texts, "doc", F.col("at"), folder + "/raw")
+    assert made.value <= 2 * 400
+    files = [p for p in Path(folder, "raw").rglob("part-*") if not p.name.startswith(".")]
+    assert sum(p.stat().st_size for p in files) < 400 * 100
+    assert spark.read.text(folder + "/raw").count() == read_documents(spark, folder + "/raw", VIDEO_ITEM, multi_line=False).count() == 400

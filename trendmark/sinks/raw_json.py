@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendmark.functions import partition_stamps
-from trendmark.operators.broadcasting import broadcast_if_small
+from trendmark.operators.broadcasting import is_small
 
 
 def write_raw_documents(documents: DataFrame, text: str, moment: Column, path: str, by_hour: bool = True) -> None:
@@ -14,7 +14,7 @@ def write_raw_documents(documents: DataFrame, text: str, moment: Column, path: s
 
     Each fetch has its own folder below those, named after its second and its content. Landing a fetch again replaces it
     and nothing else; other documents of the same second have other content and so another folder. Nothing landed before
-    is read or written again. The text is written as it came: fields no schema names are kept.
+    is read or written again. The text is written as it came, in gzip files: fields no schema names are kept.
     """
     stamps = partition_stamps(moment)
     folders = ["date", "hour", "ingestion_id"] if by_hour else ["date", "ingestion_id"]
@@ -22,13 +22,17 @@ def write_raw_documents(documents: DataFrame, text: str, moment: Column, path: s
     # The same for the same documents in any order; a row for each second.
     content = F.sha1(F.concat_ws(" ", F.count("*"), F.sum(F.xxhash64("value").cast("decimal(20,0)"))))
     fetches = rows.groupBy(F.col("ingestion_id").alias("_second")).agg(F.substring(content, 1, 16).alias("_content"))
+    # Measured by the seconds alone, so that no text is made for it: the plan below makes each text twice and no more.
+    if is_small(rows.select("ingestion_id").distinct()):
+        fetches = F.broadcast(fetches)
     same = F.col("ingestion_id").eqNullSafe(F.col("_second"))
-    named = rows.join(broadcast_if_small(fetches), same).withColumn("ingestion_id", F.concat_ws("-", "ingestion_id", "_content"))
+    named = rows.join(fetches, same).withColumn("ingestion_id", F.concat_ws("-", "ingestion_id", "_content"))
     (
         named.select("value", *folders)
         .hint("rebalance", *[F.col(name) for name in folders])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
         .partitionBy(*folders)
         .text(path)
     )

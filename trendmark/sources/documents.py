@@ -13,7 +13,7 @@ from trendmark.config import UNKNOWN_REGION
 from trendmark.functions import path_value, parse_timestamp, url_decoded
 from trendmark.schemas import CORRUPT, document_schema
 
-JSON_GLOB = "*.{json,JSON,txt}"
+JSON_GLOB = "*.{json,JSON,txt,txt.gz}"
 
 
 def read_documents(
