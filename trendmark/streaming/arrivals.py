@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,7 +114,8 @@ class ReferenceArrivals:
 class VideoArrivals:
     """Handler of new video documents: rows of readable ones go to ``handler``, the others to quarantine.
 
-    Both outputs are keyed by batch, so that a repeated batch replaces its own.
+    Both outputs are keyed by batch, so that a repeated batch replaces its own. Each reads the batch's files itself: nothing
+    is kept in memory. Both read every field, so that they agree on which documents are unreadable.
     """
 
     def __init__(self, handler: Callable[[DataFrame, int], None], quarantine: str):
@@ -122,13 +123,14 @@ class VideoArrivals:
         self.quarantine = quarantine.rstrip("/")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # both outputs come from one reading of the files
-        try:
-            readable, corrupt = split_corrupt(batch)
-            corrupt.write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
-            self.handler(normalize_json(explode_documents(readable, VIDEO_ITEM)), batch_id)
-        finally:
-            batch.unpersist()
+        readable, corrupt = split_corrupt(batch.filter(_every_field()))
+        corrupt.write.mode("overwrite").parquet(f"{self.quarantine}/batch={batch_id}")
+        self.handler(normalize_json(explode_documents(readable, VIDEO_ITEM)), batch_id)
+
+
+def _every_field() -> Column:
+    """True, but known only from all fields of a document: a reader that leaves some out takes worse documents for readable."""
+    return F.concat(*[F.col(name).isNull().cast("string") for name in document_schema(VIDEO_ITEM).fieldNames()]) != ""
 
 
 class FirstArrivals:
