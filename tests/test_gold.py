@@ -18,7 +18,7 @@ from trendmark.operators.rollups import (
 )
 from trendmark.plans.gold import enrich, gold_channel
 from trendmark.schemas import SILVER_STATISTICS
-from trendmark.workload.queries import enriched, silver
+from trendmark.workload.queries import QUERIES, enriched, silver
 
 
 def reference(spark, *rows):
@@ -162,3 +162,18 @@ def test_channel_rollup_scans_silver_once(spark, folder):
     by_channel = {r.channel_title: r for r in found.collect()}
     assert by_channel["c0"].total_videos == 7 and by_channel["c0"].categories == ["n0", "n1", "n2"]
     assert by_channel["c0"].total_views == sum(range(0, 50, 2)) and by_channel["c0"].times_trending == 25
+
+
+def test_ingestion_summary_reads_payloads_once(spark, tiny):
+    payloads = spark.createDataFrame(
+        [("r1", "US", 1), ("r1", " us", 2), ("r1", None, 5), (None, "US", 4), ("r2", "US", None)],
+        "ingestion_id string, region string, video_count int",
+    )
+    found = ingestion_summary(payloads, ["us", "GB", "us"])
+    assert sorted((str(r.ingestion_id), r.region, r.succeeded, r.video_count) for r in found.collect()) == [
+        ("None", "GB", False, 0), *[("None", "US", False, 0)] * 2,
+        ("r1", "GB", False, 0), *[("r1", "US", True, 3)] * 2,
+        ("r2", "GB", False, 0), *[("r2", "US", False, 0)] * 2,
+    ]
+    plan = QUERIES["ingestion_summary"](spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -589,9 +589,8 @@ def rows_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ingestion_summary")
 def ingestion_summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = parsed(envelope_documents(snapshot(spark, sf_dir)))
-    payloads = documents.select("ingestion_id", F.explode("regions").alias("region", "payload")).select(
-        "ingestion_id", "region", item_count(F.col("payload.items")).alias("video_count")
-    )
+    counts = F.transform_values("regions", lambda _, payload: item_count(payload["items"]))
+    payloads = documents.select("ingestion_id", F.explode(counts).alias("region", "video_count"))
     return ingestion_summary(payloads, [*REGIONS, " xx "])
 
 
