@@ -20,6 +20,7 @@ from trendmark.sinks.staged import Stage
 from trendmark.streaming import FirstArrivals, IncrementalMedallion, ReferenceArrivals, SnapshotUpsert, VideoArrivals, first_seen, run_available, stream_csv_snapshots, stream_documents
 from trendmark.streaming import gold_refresh as refresh_module
 from trendmark.streaming import upsert as upsert_module
+from trendmark.workload.queries import arrivals
 
 NOW = datetime(2024, 2, 1)
 
@@ -419,3 +420,36 @@ def test_category_documents_that_break_rules_are_refused_and_reported(spark, con
     found = {r.column: r.value for r in result.category_checks}
     assert result.gold_built and found == {"unreadable": 1, "no_items": 1, "no_id": 0, "no_title": 0, "repeated_id": 0}
     assert spark.read.parquet(folder + "/silver/quarantined_categories").count() == 2
+
+
+def test_unreadable_documents_are_told_without_keeping_the_batch(spark, folder):
+    kept, seen = [], []
+
+    def rows(df, batch_id):
+        kept.append(spark.sparkContext._jsc.getPersistentRDDs().size() - before)
+        seen.extend(r.video_id for r in df.select("video_id").collect())
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    put(folder, "raw/a.json", {"items": [ITEM]})
+    put(folder, "raw/b.json", {"items": [ITEM], "etag": "x", "snippet": "not a structure"})  # a field no row needs
+    stream = stream_documents(spark, folder + "/raw", VIDEO_ITEM)
+    run_available(stream, VideoArrivals(rows, folder + "/bad"), folder + "/checkpoint")
+    bad = spark.read.parquet(folder + "/bad").collect()
+    assert [Path(r._source_file).name for r in bad] == ["b.json"] and len(seen) == 1 and set(kept) == {0}
+
+
+def test_a_batch_is_shuffled_by_its_merge_alone(spark, folder):
+    store = TableStore(spark, folder + "/silver")
+    handler = SnapshotUpsert(store, folder + "/checkpoint", "job", NOW)
+    batch = raw(spark, {"views": 1}, {"views": 3, "_arrived_at": datetime(2025, 1, 2)}, {"views": 2, "_arrived_at": datetime(2025, 1, 1)})
+    for batch_id in (0, 1, 1):
+        handler(batch, batch_id)
+    assert [r.views for r in spark.read.schema(SILVER_STATISTICS).parquet(store.path(STATISTICS)).collect()] == [3]
+    staged = handler._stage(spark, "fresh", 1).read(upsert_module.SILVER_BY_DAY)
+    assert sorted(r.views for r in staged.collect()) == [1, 2, 3]  # as they came
+
+
+def test_a_wave_parses_its_own_documents(spark, tiny):
+    plan = arrivals(spark, tiny, F.hour("_arrived_at") <= 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json(") < plan.index("hour(")  # filtered below the parse
+    assert plan.count("hour(") == 1

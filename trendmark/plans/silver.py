@@ -19,8 +19,16 @@ WATCHED = ["video_id", "title", "channel_title", "views"]
 
 def silver_statistics(normalised: DataFrame, job_name: str, now: datetime | None = None) -> DataFrame:
     """Normalised rows of any sources to clean statistics: one narrow stage and one shuffle."""
-    latest = keep_latest_snapshot(cleanse(normalised))
-    return with_audit(latest, "_processed_at", now, _job_name=job_name)
+    return _audited(keep_latest_snapshot(cleanse(normalised)), job_name, now)
+
+
+def clean_statistics(normalised: DataFrame, job_name: str, now: datetime | None = None) -> DataFrame:
+    """The same rows with their repeats, for a merge that keeps the latest: one narrow stage."""
+    return _audited(cleanse(normalised), job_name, now)
+
+
+def _audited(statistics: DataFrame, job_name: str, now: datetime | None) -> DataFrame:
+    return with_audit(statistics, "_processed_at", now, _job_name=job_name)
 
 
 #: Folders that the rows of a region without a day are spread over.

@@ -24,8 +24,8 @@ class Stage:
     def finished(self) -> bool:
         return path_exists(self.spark, f"{self.path}/{MARKER}")
 
-    def write(self, df: DataFrame) -> None:
-        write_partitioned(df, self.path, self.partition_by, whole_table=True)
+    def write(self, df: DataFrame, rebalance: bool = True) -> None:
+        write_partitioned(df, self.path, self.partition_by, rebalance, whole_table=True)
         self.mark()
 
     def mark(self) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from trendmark.config import STATISTICS
 from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
-from trendmark.plans.silver import silver_statistics, with_bucket
+from trendmark.plans.silver import clean_statistics, with_bucket
 from trendmark.schemas import BUCKET, SILVER_BY_DAY, SILVER_STATISTICS
 from trendmark.sinks.staged import Stage
 from trendmark.sinks.tables import register, write_partitioned
@@ -75,7 +75,8 @@ class SnapshotUpsert:
         fresh, merged = (self._stage(spark, name, batch_id) for name in ("fresh", "merged"))
         if not merged.finished:
             if not fresh.finished:
-                fresh.write(with_bucket(silver_statistics(batch, self.job_name, self.now)))
+                # Neither deduplicated nor gathered: the merge does both.
+                fresh.write(with_bucket(clean_statistics(batch, self.job_name, self.now)), rebalance=False)
             rows = fresh.read(SILVER_BY_DAY)
             present = rows_of_folders(self.store, fresh.folders())
             if self.keep_touched:

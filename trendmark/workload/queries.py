@@ -791,18 +791,23 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(STATISTICS).select(*SILVER_COLUMNS)
 
 
+def arrivals(spark: SparkSession, sf_dir: str, wave: Column) -> DataFrame:
+    """Normalised rows of the documents of a wave; the others are not parsed for it."""
+    documents = single_documents(snapshot(spark, sf_dir)).filter(wave)
+    return normalize_json(explode_documents(parsed(documents), VIDEO_ITEM))
+
+
 @query("incremental_upsert")
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches out of order, one of them repeated: each day still ends with its latest rows."""
     root = scratch_path(spark, "upsert")
     store = TableStore(spark, f"{root}/silver")
     handler = SnapshotUpsert(store, f"{root}/checkpoint", JOB, NOW)
-    rows = normalize_json(explode_documents(parsed(single_documents(snapshot(spark, sf_dir))), VIDEO_ITEM))
     hour = F.hour(ARRIVED_AT)
     waves = [hour >= 5, hour <= 2, (hour > 2) & (hour < 5)]
     for batch_id, wave in enumerate(waves):
-        handler(rows.filter(wave), batch_id)
-    handler(rows.filter(waves[-1]), len(waves) - 1)
+        handler(arrivals(spark, sf_dir, wave), batch_id)
+    handler(arrivals(spark, sf_dir, waves[-1]), len(waves) - 1)
     return store.read(STATISTICS).select(*SILVER_COLUMNS)
 
 
@@ -814,10 +819,9 @@ def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference = with_audit(nation_reference(spark, sf_dir), "_ingestion_timestamp", NOW, as_text=True)
     publish(reference, silver_store, REFERENCE)
     handler = IncrementalMedallion(silver_store, gold_store, f"{root}/checkpoint", JOB, now=NOW)
-    rows = normalize_json(explode_documents(parsed(single_documents(snapshot(spark, sf_dir))), VIDEO_ITEM))
     early, hour = F.dayofmonth(ARRIVED_AT) <= 3, F.hour(ARRIVED_AT)
     for batch_id, wave in enumerate([hour >= 5, (hour < 5) & ~early, (hour < 5) & early]):
-        handler(rows.filter(wave), batch_id)
+        handler(arrivals(spark, sf_dir, wave), batch_id)
     channel = gold_store.read(CHANNEL).select(
         F.lit("channel").alias("table"), "region", F.col("channel_title").alias("name"), F.lit(None).cast("date").alias("day"),
         "total_views", F.col("total_videos").alias("videos"), F.col("rank_in_region").cast("double").alias("place"),
@@ -872,12 +876,11 @@ def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three waves, the later ones of earlier days and with repeats: first arrivals on time and late."""
     root = scratch_path(spark, "late")
-    rows = normalize_json(explode_documents(parsed(single_documents(snapshot(spark, sf_dir))), VIDEO_ITEM))
     handler = FirstArrivals(f"{root}/arrivals", "72 hours")
     day = F.dayofmonth(ARRIVED_AT)
     for batch_id, wave in enumerate([day >= 5, day.isin(3, 4, 7), (day <= 2) | (day == 6)]):
-        handler(cleanse(rows.filter(wave)), batch_id)
-    handler(cleanse(rows.filter((day <= 2) | (day == 6))), 2)  # the last one again
+        handler(cleanse(arrivals(spark, sf_dir, wave)), batch_id)
+    handler(cleanse(arrivals(spark, sf_dir, (day <= 2) | (day == 6))), 2)  # the last one again
     found = [handler.read(spark, late).withColumn("late", F.lit(late)) for late in (False, True)]
     return found[0].unionByName(found[1]).select(*KEY, text_of(ARRIVED_AT).alias("arrived_at"), "late")
 
