@@ -145,7 +145,14 @@ def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_drifting_csv(rows: DataFrame, path: str) -> None:
-    """A layout for each region: as they are, in reverse, one column less and one more, in capitals and sorted."""
+    """A layout for each region: as they are, in reverse, one column less and one more, in capitals and sorted.
+
+    The rows are made once and set aside by region.
+    """
+    aside = scratch_path(rows.sparkSession, "by-region")
+    schema = rows.schema
+    write_partitioned(rows, aside, rebalance=False)
+    rows = rows.sparkSession.read.schema(schema).parquet(aside)
     names = [name for name in SNAPSHOT_COLUMNS if name != "region"]
     layouts = {
         "af": names,
