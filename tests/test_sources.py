@@ -27,6 +27,9 @@ from trendmark.sources import (
 from trendmark.sources.csv_headers import header_lines
 from trendmark.sources.csv_snapshots import in_regions
 from trendmark.streaming import stream_csv_snapshots
+from trendmark.workload import snapshot as snapshot_module
+from trendmark.workload.queries import write_drifting_csv
+from trendmark.workload.snapshot import by_part
 
 ITEM = {
     "id": "abc",
@@ -400,3 +403,29 @@ def test_raw_documents_are_packed_and_made_twice_at_most(spark, folder):
     files = [p for p in Path(folder, "raw").rglob("part-*") if not p.name.startswith(".")]
     assert sum(p.stat().st_size for p in files) < 400 * 100
     assert spark.read.text(folder + "/raw").count() == read_documents(spark, folder + "/raw", VIDEO_ITEM, multi_line=False).count() == 400
+
+
+def test_drifting_files_are_made_from_rows_made_once(spark, folder):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(title):
+        made.add(1)
+        return title
+
+    regions = ["af", "am", "as", "eu", "mi", None]
+    rows = raw(spark, *[{"region": regions[i % 6], "title": f"t{i}"} for i in range(60)]).withColumn("title", told("title"))
+    write_drifting_csv(rows, folder + "/drift")
+    assert made.value == 60
+    found = normalize_csv(read_csv_snapshots(spark, folder + "/drift")).collect()
+    assert sorted((r.region, r.title) for r in found) == sorted((regions[i % 6], f"t{i}") for i in range(60) if i % 6 < 5)
+
+
+def test_line_items_of_a_task_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(snapshot_module, "TASK_ROWS", 50)
+    items = spark.range(0, 2000, 1, 8).select(F.col("id").alias("l_orderkey"), (F.col("id") % 700).alias("l_partkey"))
+    dealt = by_part(items)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 150 and sum(sizes) == 2000
+    few = items.coalesce(2)
+    assert by_part(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -24,12 +24,28 @@ def _every(n: int) -> Column:
     return F.col("l_orderkey") % n == 0
 
 
+#: Line items of a task. Joined with the columns of their parts these are some 100 MB, which can be sorted in memory.
+TASK_ROWS = 250_000
+
+
+def by_part(items: DataFrame) -> DataFrame:
+    """Line items dealt out for their join with parts, in tasks of bounded size.
+
+    Adaptive execution sizes a task by the few columns that are shuffled for the join. The rows are several times wider
+    after it, and what sorts them (the deduplication, a partitioned write) would spill all of them.
+    """
+    splits = items.rdd.getNumPartitions()
+    if splits < items.sparkSession.sparkContext.defaultParallelism:
+        return spread(items)
+    return items.repartition(max(splits, -(-items.count() // TASK_ROWS)), "l_partkey")
+
+
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw snapshot rows in the canonical columns, with ``_arrived_at`` and ``l_linenumber``."""
     day = F.add_months(F.col("l_shipdate").cast("date"), 240)
     # Each join is left to Spark: small sides are broadcast by their measured size, large ones shuffled.
     joined = (
-        spread(table(spark, sf_dir, "lineitem"))
+        by_part(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
