@@ -43,7 +43,7 @@ def by_part(items: DataFrame) -> DataFrame:
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw snapshot rows in the canonical columns, with ``_arrived_at`` and ``l_linenumber``."""
     day = F.add_months(F.col("l_shipdate").cast("date"), 240)
-    # Each join is left to Spark: small sides are broadcast by their measured size, large ones shuffled.
+    # How to join is left to Spark: small sides are broadcast by their measured size, large ones shuffled.
     joined = (
         by_part(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
