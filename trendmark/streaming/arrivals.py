@@ -19,7 +19,7 @@ from trendmark.schemas import CORRUPT, CSV_FILE, VIDEO_ITEM, document_schema
 from trendmark.session import durable, ready
 from trendmark.sinks.staged import Stage
 from trendmark.sinks.tables import publish, write_partitioned
-from trendmark.sources.csv_headers import CSV_GLOB, cells_by_name
+from trendmark.sources.csv_headers import CSV_GLOB, RECORD, cells_by_name, with_further_cells
 from trendmark.sources.csv_snapshots import snapshot_file_columns
 from trendmark.sources.documents import JSON_GLOB, explode_documents, split_corrupt, with_file_columns
 from trendmark.sources.folders import partition_folders, path_exists, read_folders
@@ -43,13 +43,12 @@ def stream_csv_snapshots(
     if not multi_line:
         strict = reader.schema(CSV_FILE).option("header", True).option("enforceSchema", False).csv(path)
         return strict.select(*wanted, *snapshot_file_columns())
-    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
-    rows = reader.schema(cells).option("header", False).csv(path)
-    rows = rows.select(*cells.fieldNames(), *snapshot_file_columns(), F.col("_metadata.file_path").alias("source"))
-    kept = "region string, _arrived_at timestamp, source string"
-    ready(spark)
-    by_name = rows.mapInArrow(lambda batches: cells_by_name(batches, wanted, width), ", ".join(f"{n} string" for n in wanted) + f", {kept}")
-    return by_name.drop("source")
+    expected = min(len(wanted), width + 1)
+    read = T.StructType([T.StructField(name, T.StringType()) for name in (*(f"c{i}" for i in range(expected)), RECORD)])
+    rows = reader.schema(read).option("columnNameOfCorruptRecord", RECORD).option("header", False).csv(path)
+    rows = rows.select(*read.fieldNames(), *snapshot_file_columns(), F.col("_metadata.file_path").alias("source"))
+    rows = with_further_cells(rows, expected, width, {"escape": '"'})
+    return cells_by_name(rows, expected, wanted, width).drop("source")
 
 
 def stream_documents(
