@@ -28,15 +28,24 @@ def engagement_rate() -> Column:
     return percent_of(reactions[0] + reactions[1] + reactions[2], F.col("views"))
 
 
-def cleanse(df: DataFrame) -> DataFrame:
-    """Drop keyless rows, settle region, date and counters, and derive the two ratios."""
+def settle(df: DataFrame) -> DataFrame:
+    """Drop keyless rows, settle region, date and counters."""
     settled = drop_keyless(df).withColumns(
         {
             "region": clean_region(F.col("region")),
             "trending_date_parsed": parse_trending_date(F.col("trending_date")),
         }
     )
-    return fill_counters(settled).withColumns({"like_ratio": like_ratio(), "engagement_rate": engagement_rate()})
+    return fill_counters(settled)
+
+
+def with_ratios(settled: DataFrame) -> DataFrame:
+    return settled.withColumns({"like_ratio": like_ratio(), "engagement_rate": engagement_rate()})
+
+
+def cleanse(df: DataFrame) -> DataFrame:
+    """Drop keyless rows, settle region, date and counters, and derive the two ratios."""
+    return with_ratios(settle(df))
 
 
 def moment(now: datetime | None) -> Column:

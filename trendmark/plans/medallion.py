@@ -90,11 +90,21 @@ def build_silver_statistics(spark: SparkSession, config: MedallionConfig, now: d
     clean = silver_statistics(counts.watch_raw(normalised), config.job_name, now)
     if BUCKET in config.statistics_partitions:
         clean = with_bucket(clean)
-    publish(counts.watch_clean(clean), config.silver, STATISTICS, config.statistics_partitions)
+    publish_statistics(counts.watch_clean(clean), config)
     found = counts.report()
     return found if quarantined is None else found | {"corrupt_documents": quarantined.get["rows"]}
 
 
+def publish_statistics(clean: DataFrame, config: MedallionConfig) -> None:
+    """Write deduplicated statistics.
+
+    Split by region alone, they are written as the deduplication has dealt them out, evenly whatever the regions: up to a file
+    for each task and region, and no second shuffle of all rows. Other layouts have many more folders and are rebalanced.
+    """
+    rebalance = tuple(config.statistics_partitions) != ("region",)
+    publish(clean, config.silver, STATISTICS, config.statistics_partitions, rebalance)
+
+
 def build_silver_reference(spark: SparkSession, config: MedallionConfig, now: datetime | None = None) -> list[Row]:
     """Write the reference table; what breaks a rule is refused to ``REFUSED_CATEGORIES`` or reported.
 
@@ -162,5 +172,6 @@ __all__ = [
     "build_silver_statistics",
     "check_silver",
     "gate",
+    "publish_statistics",
     "run_medallion",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendmark.functions import clean_region, parse_trending_date
-from trendmark.operators.cleanse import cleanse, with_audit
+from trendmark.operators.cleanse import cleanse, settle, with_audit, with_ratios
 from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
 from trendmark.operators.normalize import normalize_csv, normalize_json, union_sources
 from trendmark.operators.quality import warning_metrics
@@ -18,8 +18,11 @@ WATCHED = ["video_id", "title", "channel_title", "views"]
 
 
 def silver_statistics(normalised: DataFrame, job_name: str, now: datetime | None = None) -> DataFrame:
-    """Normalised rows of any sources to clean statistics: one narrow stage and one shuffle."""
-    return _audited(keep_latest_snapshot(cleanse(normalised)), job_name, now)
+    """Normalised rows of any sources to clean statistics: one narrow stage and one shuffle.
+
+    What is derived from a row is added after the shuffle.
+    """
+    return _audited(with_ratios(keep_latest_snapshot(settle(normalised))), job_name, now)
 
 
 def clean_statistics(normalised: DataFrame, job_name: str, now: datetime | None = None) -> DataFrame:

@@ -47,7 +47,7 @@ from trendmark.operators.rollups import (
 )
 from trendmark.operators.validation import category_checks, judged_categories, quarantined_categories
 from trendmark.plans.gold import enrich, gold_category, gold_channel, gold_trending
-from trendmark.plans.medallion import MedallionConfig, build_gold, check_silver, gate
+from trendmark.plans.medallion import MedallionConfig, build_gold, check_silver, gate, publish_statistics
 from trendmark.plans.silver import silver_statistics, stage_row_counts
 from trendmark.schemas import CATEGORY_ITEM, SNAPSHOT_COLUMNS, VIDEO_ITEM
 from trendmark.session import scratch_path
@@ -753,7 +753,7 @@ def gold_written(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Gold table as a gated run has written it."""
     layers = scratch_path(spark, "layers")
     config = MedallionConfig(TableStore(spark, f"{layers}/silver"), TableStore(spark, f"{layers}/gold"))
-    publish(silver(spark, sf_dir), config.silver, STATISTICS)
+    publish_statistics(silver(spark, sf_dir), config)
     reference = with_audit(nation_reference(spark, sf_dir), "_ingestion_timestamp", NOW, as_text=True)
     publish(reference, config.silver, REFERENCE)
     gate(check_silver(spark, config, NOW))
