@@ -194,6 +194,39 @@ def test_nearest_beam_grows_with_the_table():
     assert nearest.beam_of(10) == nearest.BEAM and nearest.beam_of(16 * nearest.BEAM_FITS) == 8 * nearest.BEAM
 
 
+def test_nearest_takes_few_jobs_and_searches_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SHARD", 300, raising=False)
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(1500, 16))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    spark.sparkContext.setJobGroup("nearest-jobs", "nearest")
+    found = nearest.nearest(frame, F.col("vec_id") % 50 == 0).collect()
+    # A search by rounds over all queries took more jobs the more rounds it needed.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("nearest-jobs")) < 60
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T - 9 * np.eye(len(unit))
+    best = {(i, int(j)) for i in range(0, 1500, 50) for j in np.argsort(-near[i])[:5]}
+    assert len(found) == 150 and len(best & {(r.query_id, r.vec_id) for r in found}) >= 0.95 * 150
+
+
+def test_nearest_shard_graph_and_search():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 30, 257, 3000):
+        unit = rng.normal(size=(n, 12)).astype(np.float32)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        ids, near = nearest.greedy(unit, nearest.descend(unit), unit[:100])
+        for i in range(min(n, 100)):
+            kept = ids[i][near[i] > -3]
+            assert len(kept) == len(set(kept.tolist())) == min(n, nearest.WIDTH)
+            assert near[i][near[i] > -3] == pytest.approx(unit[kept] @ unit[i], abs=1e-5)
+        sim = unit[:100] @ unit.T
+        hits = sum(len(set(np.argsort(-row)[:5].tolist()) & set(own[value > -3].tolist())) for row, own, value in zip(sim, ids, near))
+        assert hits >= 0.95 * sim.shape[0] * min(5, n)
+    splits = nearest._tree(unit, 8, rng)
+    assert (nearest._leaves(unit, splits, 8)[:, 0] == nearest._leaf(unit, splits)).mean() > 0.99
+
+
 def test_decontamination(spark, odd, none):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     texts = [*ODD, "one two three", "x One, TWO three y", " ".join(f"k{i}" for i in range(30)), "zz " + " ".join(f"k{i}" for i in range(5, 22)) + " é"]

@@ -1,20 +1,22 @@
-"""Approximate nearest neighbours by NN-descent and greedy graph search.
+"""Approximate nearest neighbours by NN-descent and greedy graph search, a shard of vectors at a time.
 
-The graph: every distinct vector keeps its ``NEIGHBOURS`` nearest known ones. They are first sought in the leaves of
-random projection trees (fitted on a bounded sample of ``SAMPLE`` vectors; every vector is indexed), then NN-descent
-improves them: around each vector, its neighbours, some that have it as neighbour and a few random vectors are joined with
-their vectors and compared with each other, and unknown pairs better than what a vector knows are kept, until a round finds
-hardly any new pair. Random vectors, others in each round, lead from one island of the graph to the next. Lists around a
-vector are bounded, so a round costs the same for every vector.
+The shards: a random projection tree (fitted on a bounded sample of ``SAMPLE`` vectors; every vector is indexed) deals all
+distinct vectors into shards of some ``SHARD`` vectors that are near each other. Leaves that the sample left too large are dealt out
+further. A query visits the shards nearest to it: ``visits_of`` the number of vectors, all shards up to 16.
 
-The search: a query starts at its own vector's place in the graph and expands the best vectors found, ``beam_of`` the
-number of vectors, until all of these are expanded. Graph and search compare unit vectors kept in half precision; those
-in the beam are measured again and ranked in double precision on the original vectors.
+The graph: in its shard, every vector keeps its ``NEIGHBOURS`` nearest known ones. They are first sought in the leaves of
+small trees, then NN-descent improves them: each vector looks at neighbours of its neighbours, of those that have it as
+neighbour, and at a few random vectors, until a round finds few new ones.
+
+The search: a query starts in each shard at the best of ``ENTRIES`` vectors and expands the best vectors found, ``WIDTH`` of them,
+until all of these are expanded. Graph and search compare unit vectors in single precision; the best found are measured again
+and ranked in double precision on the original vectors. Vectors are shuffled once, to their shard, and queries once for each shard
+that they visit; all hops of a visit are one task's.
 
 Equal vectors are one node; their smallest ids are found through it, so a vector that a third of all rows
 share costs no more than any other. Vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do vectors of another length than most, nor rows with null ``vec_id``. Repeated rows count once. With no more
-vectors than a leaf holds the graph is exact. Other columns are ignored.
+vectors than ``ENTRIES`` the search is exact. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,17 +31,20 @@ from pyspark.sql import functions as F
 from trendmark.llm.common import ready, stored
 
 NEIGHBOURS = 20
-TREES = 4
-LEAF = 200
 SAMPLE = 8192
+SHARD = 4096
+#: Small trees within a shard that give the first neighbours, and the vectors in a leaf of them.
+TREES, LEAF = 8, 256
 #: Rounds go on until fewer than this share of all pairs are new in one.
-CHANGES = 0.001
-#: The beam up to ``BEAM_FITS`` vectors; more need a wider one.
+CHANGES = 0.03
+#: In a round a vector looks at ``PICK`` neighbours of each of ``PICK`` neighbours, and at some random vectors.
+PICK, STRANGERS = 10, 4
+#: The beam, over all shards, up to ``BEAM_FITS`` vectors; more need a wider one.
 BEAM, BEAM_FITS = 256, 51_282
-#: Of each list around a vector, this many of a vector's best new pairs are kept a round.
-OFFERS = 8
-#: Random vectors around each vector in a round, drawn within random groups of about ``GROUP``.
-STRANGERS, GROUP = 4, 1000
+#: The beam in one shard, where it starts, and how much of it is expanded at once.
+WIDTH, ENTRIES, STEP = 96, 256, 8
+#: Of each visit, and then of each query, so many are kept to be measured again.
+KEPT = 32
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -56,27 +61,27 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def unit_rows(batch: pa.RecordBatch, column: str = "embedding") -> np.ndarray:
-    """A list column as a matrix of unit rows in single precision, or the rows packed in half precision."""
+    """A list column as a matrix of unit rows in single precision, or the rows packed."""
     if pa.types.is_binary(batch.schema.field(column).type):
         packed = b"".join(batch.column(column).to_pylist())
-        return np.frombuffer(packed, np.float16).reshape(batch.num_rows, -1).astype(np.float32)
+        return np.frombuffer(packed, np.float32).reshape(batch.num_rows, -1)
     values = batch.column(column).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
     values /= np.abs(values).max(axis=1, keepdims=True)
     return (values / np.linalg.norm(values, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _tree(sample: np.ndarray, leaves: int, rng: np.random.Generator) -> list[tuple[np.ndarray, float]]:
-    """Splits of a balanced tree, one level after another, each in half by the sample's median."""
-    depth = max(0, int(np.ceil(np.log2(max(1, leaves)))))
+def _tree(sample: np.ndarray, leaves: int, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Splits of a balanced tree, one level after another, each across two of the sample's vectors, in half by its median."""
     place, splits = np.zeros(len(sample), np.int64), []
-    for _ in range(depth):
-        planes = rng.normal(size=(place.max(initial=0) + 1 if not splits else 2 * len(splits[-1][1]), sample.shape[1])).astype(np.float32)
-        value = np.einsum("ij,ij->i", sample, planes[place])
-        cut = np.zeros(len(planes), np.float32)
+    for level in range(max(0, int(np.ceil(np.log2(max(1, leaves)))))):
+        planes, cut = np.zeros((1 << level, sample.shape[1]), np.float32), np.zeros(1 << level, np.float32)
         for node in np.unique(place):
-            cut[node] = np.median(value[place == node])
+            here = np.flatnonzero(place == node)
+            plane = np.subtract(*sample[rng.choice(here, 2, replace=len(here) < 2)])
+            planes[node] = plane / max(1e-9, np.linalg.norm(plane))
+            cut[node] = np.median(sample[here] @ planes[node])
         splits.append((planes, cut))
-        place = 2 * place + (value > cut[place])
+        place = 2 * place + (np.einsum("ij,ij->i", sample, planes[place]) > cut[place])
     return splits
 
 
@@ -87,177 +92,207 @@ def _leaf(rows: np.ndarray, splits: list) -> np.ndarray:
     return place
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """Batches of rows sorted by ``key``, cut so that no key is in two of them."""
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch] if rest is None else [*rest, batch]).combine_chunks()
-        keys = table.column(key).to_numpy()
-        last = int(np.searchsorted(keys, keys[-1]))
-        rest = table.slice(last).to_batches()
-        if last:
-            yield from table.slice(0, last).combine_chunks().to_batches()
-    if rest is not None:
-        yield from pa.Table.from_batches(rest).combine_chunks().to_batches()
-
-
-_PAIRS = "u bigint, v bigint, sim float"
-
-
-def _pairs(u: np.ndarray, v: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(sim)], ["u", "v", "sim"])
-
-
-def _listed(column: pa.Array) -> np.ndarray:
-    """A list column as a matrix, short lists filled up with the smallest number."""
-    size = np.diff(column.offsets.to_numpy())
-    out = np.full((len(size), max(1, size.max(initial=0))), np.iinfo(np.int64).min)
-    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+def _leaves(rows: np.ndarray, splits: list, count: int) -> np.ndarray:
+    """The ``count`` leaves nearest to each row: those that the least has to be crossed for."""
+    across = np.zeros((len(rows), 1), np.float32)
+    for planes, cut in splits:
+        beyond = rows @ planes.T - cut
+        across = np.stack((across + np.maximum(beyond, 0) ** 2, across + np.maximum(-beyond, 0) ** 2), 2).reshape(len(rows), -1)
+    return np.argsort(across, axis=1, kind="stable")[:, :count]
+
+
+def _merged(ids: np.ndarray, sim: np.ndarray, more: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of each row's two lists, none of them twice."""
+    ids, sim = np.concatenate((ids, more), 1), np.concatenate((sim, near), 1)
+    order = np.argsort(ids, axis=1, kind="stable")
+    ids, sim = np.take_along_axis(ids, order, 1), np.take_along_axis(sim, order, 1)
+    sim[:, 1:][ids[:, 1:] == ids[:, :-1]] = -2
+    best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(ids, best, 1), np.take_along_axis(sim, best, 1)
+
+
+def _seeds(unit: np.ndarray, k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` nearest of each vector in its leaves of some small trees."""
+    n = len(unit)
+    depth = max(0, int(np.ceil(np.log2(n / LEAF))))
+    size = -(-n // (1 << depth))
+    idx, sim = np.zeros((n, 0), np.int32), np.zeros((n, 0), np.float32)
+    for _ in range(TREES if depth else 1):
+        order = np.resize(rng.permutation(n), size << depth)[None]
+        for _ in range(depth):
+            plane = unit[order[:, 0]] - unit[order[:, 1]]
+            order = np.take_along_axis(order, np.argsort((unit[order] @ plane[:, :, None])[..., 0], axis=1), 1).reshape(2 * len(order), -1)
+            order = rng.permuted(order, axis=1)
+        block = unit[order]
+        near = block @ block.transpose(0, 2, 1)
+        near[order[:, :, None] == order[:, None, :]] = -2
+        best = np.argpartition(-near, k - 1, axis=2)[:, :, :k]
+        ids, value = np.empty((n, k), np.int32), np.empty((n, k), np.float32)
+        ids[order] = np.take_along_axis(np.broadcast_to(order[:, None, :], near.shape), best, 2)
+        value[order] = np.take_along_axis(near, best, 2)
+        idx, sim = _merged(idx, sim, ids, value, k)
+    return idx, sim
+
+
+def _reverse(idx: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Of those that have a vector as neighbour, as many as it has itself, the least ``key`` first; filled up with its own."""
+    n, k = idx.shape
+    order = np.lexsort((key.ravel(), idx.ravel()))
+    v, u = idx.ravel()[order], np.repeat(np.arange(n, dtype=idx.dtype), k)[order]
+    place = np.arange(len(v)) - np.searchsorted(v, np.arange(n))[v]
+    out = idx.copy()
+    out[v[place < k], place[place < k]] = u[place < k]
     return out
 
 
-def _compared(keep: int):
-    """Around each pivot of sorted rows (pivot, node, worst, known, unit): unknown pairs better than a node's worst."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _groups(batches, "pivot"):
-            pivot = batch.column("pivot").to_numpy()
-            edges = np.concatenate(([0], np.flatnonzero(np.diff(pivot)) + 1, [len(pivot)]))
-            node = batch.column("node").to_numpy()
-            worst = batch.column("worst").to_numpy()
-            unit, listed = unit_rows(batch, "unit"), _listed(batch.column("known"))
-            widest = int(np.diff(edges).max())
-            step = max(1, 4_000_000 // (widest * (widest + unit.shape[1])))
-            for a in range(0, len(edges) - 1, step):
-                first = edges[a : a + step + 1]
-                size = np.diff(first)
-                slot = np.arange(widest)
-                index = first[:-1, None] + np.minimum(slot, size[:, None] - 1)
-                inside = slot < size[:, None]
-                block = unit[index]
-                sim = block @ block.transpose(0, 2, 1)
-                sim[~(inside[:, :, None] & inside[:, None, :])] = -2
-                sim[node[index][:, :, None] == node[index][:, None, :]] = -2
-                for column in listed.T:
-                    sim[column[index][:, :, None] == node[index][:, None, :]] = -2
-                m = min(keep, widest - 1)
-                if m < 1:
-                    continue
-                best = np.argpartition(-sim, m - 1, axis=2)[:, :, :m]
-                value = np.take_along_axis(sim, best, axis=2)
-                better = value > np.maximum(worst[index], -1.5)[:, :, None]
-                u = np.broadcast_to(node[index][:, :, None], value.shape)[better]
-                v = np.take_along_axis(np.broadcast_to(node[index][:, None, :], sim.shape), best, axis=2)[better]
-                yield _pairs(u, v, value[better])
-
-    return compare
-
-
-def _best(pairs: DataFrame, k: int) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
-    unique = pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("known").alias("known"))
-    return unique.withColumn("place", place).filter(F.col("place") <= k)
+def descend(unit: np.ndarray, seed: int = 11) -> np.ndarray:
+    """Links of a shard's vectors: neighbours by NN-descent, and the nearest of those that have it as neighbour."""
+    rng, n = np.random.default_rng(seed), len(unit)
+    k = min(NEIGHBOURS, n - 1)
+    if k < 1:
+        return np.zeros((n, 1), np.int32)
+    (idx, sim), rows = _seeds(unit, k, rng), np.arange(n)[:, None]
+    changed = n * k if n > LEAF else 0
+    while changed > CHANGES * n * k:
+        pool = np.concatenate((idx, _reverse(idx, rng.random(idx.shape))), 1)
+        one, two = (pool[rows, rng.integers(0, 2 * k, (n, PICK))] for _ in range(2))
+        reached = np.concatenate((two[one].reshape(n, -1), rng.integers(0, n, (n, STRANGERS), np.int32)), 1)
+        near = np.concatenate([(unit[reached[a : a + 256]] @ unit[a : a + 256, :, None])[..., 0] for a in range(0, n, 256)])
+        near[reached == rows] = -2
+        worst = sim.min(1, keepdims=True)
+        had = (sim > worst).sum()
+        idx, sim = _merged(idx, sim, reached, near, k)
+        changed = (sim > worst).sum() - had
+    return np.concatenate((idx, _reverse(idx, -sim)), 1)
+
+
+def greedy(unit: np.ndarray, links: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best vectors that the search of each unit row of ``asked`` ends with, and how near; -3 is none."""
+    entry = np.unique(np.linspace(0, len(unit) - 1, ENTRIES).astype(np.int32))
+    seen = np.zeros((len(asked), len(unit)), bool)
+    seen[:, entry] = True
+    pad = ((0, 0), (0, max(0, WIDTH - len(entry))))
+    near = np.pad(asked @ unit[entry].T, pad, constant_values=-3)
+    ids = np.pad(np.broadcast_to(entry, (len(asked), len(entry))), pad)
+    state = (ids, near, near > -3)
+
+    def best() -> tuple[np.ndarray, ...]:
+        place = np.argpartition(-state[1], WIDTH - 1, axis=1)[:, :WIDTH]
+        return tuple(np.take_along_axis(x, place, 1) for x in state)
+
+    state, active = best(), np.arange(len(asked))
+    found, value = np.zeros((len(asked), WIDTH), np.int32), np.full((len(asked), WIDTH), -3, np.float32)
+    while len(active):
+        ids, near, fresh = state
+        step = np.argpartition(np.where(fresh, -near, 9), STEP - 1, axis=1)[:, :STEP]
+        open_ = np.take_along_axis(fresh, step, 1)
+        np.put_along_axis(fresh, step, False, 1)
+        reached = links[np.take_along_axis(ids, step, 1)]
+        reached = np.where(open_[:, :, None], reached, entry[0]).reshape(len(active), -1)
+        reached.sort(axis=1)
+        new = ~seen[active[:, None], reached]
+        new[:, 1:] &= reached[:, 1:] != reached[:, :-1]
+        row, column = np.nonzero(new)
+        node = reached[row, column]
+        seen[active[row], node] = True
+        sim = np.full(reached.shape, -3, np.float32)
+        sim[row, column] = np.einsum("ij,ij->i", unit[node], asked[active[row]])
+        state = tuple(np.concatenate(x, 1) for x in zip((ids, near, fresh), (reached, sim, new)))
+        state = best()
+        ended = ~state[2].any(1)
+        found[active[ended]], value[active[ended]] = state[0][ended], state[1][ended]
+        active, state = active[~ended], tuple(x[~ended] for x in state)
+    return found, value
 
 
 def packed_units(nodes: DataFrame) -> DataFrame:
-    """node and its unit vector in half precision, which is what graph and search compare."""
+    """node and its unit vector in single precision, which is what graph and search compare."""
     ready(nodes.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = [row.tobytes() for row in unit_rows(batch).astype(np.float16)] if batch.num_rows else []
+            units = [row.tobytes() for row in unit_rows(batch)] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(units, pa.binary())], ["node", "unit"])
 
     return stored(nodes.mapInArrow(pack, "node bigint, unit binary"), "units")
 
 
-def strangers(packed: DataFrame, count: int, seed: int) -> DataFrame:
-    """pivot, node: some random other nodes for every node, others for another seed."""
-    order = Window.partitionBy(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(-(-count // GROUP)))).orderBy(F.xxhash64("node", F.lit(seed)), "node")
-    after = F.array(*(F.lead("node", i).over(order) for i in range(1, STRANGERS + 1)))
-    pairs = packed.select(F.col("node").alias("pivot"), after.alias("after"))
-    return pairs.select("pivot", F.explode("after").alias("node")).filter("node is not null")
+def beam_of(count: int) -> int:
+    """The beam for ``count`` vectors. Five times the vectors took three times the beam for a recall of 0.96."""
+    return int(np.ceil(BEAM * max(1.0, count / BEAM_FITS) ** 0.75))
+
 
+def visits_of(count: int) -> int:
+    """The shards that a query visits among ``count`` vectors: one for every 16 of the beam."""
+    return -(-beam_of(count) // 16)
 
-def build_graph(packed: DataFrame, k: int = NEIGHBOURS, trees: int = TREES, leaf: int = LEAF, seed: int = 11) -> DataFrame:
-    """u, v, sim, place: the ``k`` nearest known neighbours of each node (node, unit)."""
+
+def dealt(packed: DataFrame, queries: DataFrame, seed: int = 11) -> DataFrame:
+    """shard, asks, node, unit: every vector of ``packed`` in its shard, and ``queries`` (node, unit) in those that they visit."""
     rng = np.random.default_rng(seed)
     count = packed.count()
     sample = packed.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(SAMPLE).select("unit").toArrow()
     sample = unit_rows(sample.combine_chunks().to_batches()[0], "unit") if count else np.zeros((0, 1), np.float32)
-    forest = packed.sparkSession.sparkContext.broadcast([_tree(sample, min(-(-count // leaf), len(sample) // 8), rng) for _ in range(trees)])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = unit_rows(batch, "unit")
-            for t, splits in enumerate(forest.value):
-                where = pa.array(_leaf(rows, splits) * len(forest.value) + t)
-                yield pa.RecordBatch.from_arrays([where, batch.column("node"), batch.column("unit")], ["leaf", "node", "unit"])
-
-    leaves = packed.mapInArrow(place, "leaf bigint, node bigint, unit binary")
-    sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (2.0 * leaf)).alias("parts"))
-    # Leaves that the sample's tree left too large are dealt out further.
+    splits = _tree(sample, min(-(-count // SHARD), max(1, len(sample) // 8)), rng)
+    tree, visits = packed.sparkSession.sparkContext.broadcast(splits), visits_of(count)
+
+    def placed(asks: bool):
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in range(0, batch.num_rows, 1024):
+                    piece = batch.slice(a, 1024)
+                    rows = unit_rows(piece, "unit")
+                    leaves = _leaves(rows, tree.value, visits) if asks else _leaf(rows, tree.value)[:, None]
+                    for leaf in leaves.T:
+                        yield pa.RecordBatch.from_arrays([pa.array(leaf), *(piece.column(c) for c in ("node", "unit"))], ["leaf", "node", "unit"])
+
+        return place
+
+    members = packed.mapInArrow(placed(False), "leaf bigint, node bigint, unit binary")
+    # Leaves that the sample's tree left too large are dealt out further; a query visits all parts of a leaf.
+    sizes = F.broadcast(members.groupBy("leaf").agg(F.ceil(F.count("*") / (2.0 * SHARD)).alias("parts")))
     part = F.pmod(F.xxhash64(F.lit(seed), "node"), "parts")
-    dealt = leaves.join(sizes, "leaf").select(F.xxhash64("leaf", part).alias("pivot"), "node", F.lit(-2.0).cast("float").alias("worst"), F.expr("cast(array() as array<bigint>)").alias("known"), "unit")
-    pairs = dealt.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(_compared(k), _PAIRS)
-    graph = stored(_best(pairs.withColumn("known", F.lit(False)), k), "graph")
-    changed, r = count * k if count > leaf else 0, 0
-    while changed > CHANGES * count * k:
-        back = F.row_number().over(Window.partitionBy("v").orderBy(F.xxhash64(F.lit(seed + r), "u"), "u"))
-        reverse = graph.withColumn("back", back).filter(F.col("back") <= k).select(F.col("v").alias("pivot"), F.col("u").alias("node"))
-        around = graph.select(F.col("u").alias("pivot"), F.col("v").alias("node")).unionByName(reverse).unionByName(strangers(packed, count, seed + r)).distinct()
-        worst = F.when(F.count("*") < k, -2.0).otherwise(F.min("sim")).cast("float")  # a short list takes any pair
-        lists = graph.groupBy("u").agg(worst.alias("worst"), F.collect_list("v").alias("known")).withColumnRenamed("u", "node")
-        members = around.join(packed.join(lists, "node"), "node").select("pivot", "node", "worst", "known", "unit")
-        offers = members.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(_compared(OFFERS), _PAIRS)
-        known = graph.select("u", "v", "sim", F.lit(True).alias("known"))
-        graph = stored(_best(known.unionByName(offers.withColumn("known", F.lit(False))), k), f"graph-{r}")
-        changed, r = graph.filter("not known").count(), r + 1
-    return graph
-
-
-def both_ways(graph: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """node, next: neighbours, and the ``2 * k`` nearest of those that have the node as neighbour."""
-    back = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("sim"), "u"))
-    reverse = graph.withColumn("back", back).filter(F.col("back") <= 2 * k)
-    forward = graph.select(F.col("u").alias("node"), F.col("v").alias("next"))
-    return forward.unionByName(reverse.select(F.col("v").alias("node"), F.col("u").alias("next"))).distinct()
+    members = members.join(sizes, "leaf").select(F.xxhash64("leaf", part).alias("shard"), F.lit(False).alias("asks"), "node", "unit")
+    asking = queries.mapInArrow(placed(True), "leaf bigint, node bigint, unit binary").join(sizes, "leaf")
+    asking = asking.select("leaf", "node", "unit", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    asking = asking.select(F.xxhash64("leaf", "part").alias("shard"), F.lit(True).alias("asks"), "node", "unit")
+    # More partitions than shards, as few as there are, so that adaptive execution does not put all of them in one task.
+    tasks = min(4096, 3 * -(-count // SHARD) + 1)
+    return members.unionByName(asking).repartition(tasks, "shard").sortWithinPartitions("shard", "asks", "node")
 
 
-def beam_of(count: int) -> int:
-    """The beam for ``count`` vectors. Five times the vectors took three times the beam for a recall of 0.96."""
-    return int(np.ceil(BEAM * max(1.0, count / BEAM_FITS) ** 0.75))
-
-
-def search_graph(links: DataFrame, packed: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
-    """query, node, near: the best of all nodes that the search of each query (query, start, unit) has looked at."""
-    asked = stored(queries.select("query", F.col("unit").alias("wanted")), "asked")
+def search_shards(visits: DataFrame) -> DataFrame:
+    """query, node, near: the best ``KEPT`` that each query's search of a shard (see ``dealt``) has found."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, unit = None, [], None
         for batch in batches:
-            if batch.num_rows:
-                near = np.einsum("ij,ij->i", unit_rows(batch, "unit"), unit_rows(batch, "wanted"))
-                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(near)], ["query", "node", "near"])
-
-    def scored(found: DataFrame) -> DataFrame:
-        rows = found.join(packed, "node").join(asked, "query").select("query", "node", "unit", "wanted")
-        return rows.mapInArrow(score, "query bigint, node bigint, near float").withColumn("expanded", F.lit(False))
-
-    seen = stored(scored(queries.select("query", F.col("start").alias("node"))), "seen")
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("near"), "node"))
-    while True:
-        ranked = seen.withColumn("open", ~F.col("expanded") & (place <= beam))
-        frontier = ranked.filter("open")
-        if frontier.isEmpty():
-            return seen.withColumn("place", place).filter(F.col("place") <= beam).select("query", "node", "near")
-        reached = frontier.join(links, "node").select("query", F.col("next").alias("node")).distinct()
-        new = scored(reached.join(seen, ["query", "node"], "left_anti"))
-        known = ranked.select("query", "node", "near", (F.col("expanded") | F.col("open")).alias("expanded"))
-        seen = stored(known.unionByName(new), "seen")
+            key, asks = batch.column("shard").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(key) != 0) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *edges], [*edges, batch.num_rows]):
+                if a == b:
+                    continue
+                if key[a] != shard:
+                    shard, held, unit = key[a], [], None
+                if not asks[a]:
+                    held.append(batch.slice(a, b - a))
+                    continue
+                if not held:
+                    continue
+                if unit is None:
+                    unit = np.concatenate([unit_rows(piece, "unit") for piece in held])
+                    node = np.concatenate([piece.column("node").to_numpy() for piece in held])
+                    links = descend(unit)
+                for c in range(a, b, 512):
+                    piece = batch.slice(c, min(512, b - c))
+                    ids, near = greedy(unit, links, unit_rows(piece, "unit"))
+                    order = np.lexsort((node[ids], -near))[:, :KEPT]
+                    ids, near = np.take_along_axis(ids, order, 1), np.take_along_axis(near, order, 1)
+                    real = near > -3
+                    query = np.broadcast_to(piece.column("node").to_numpy()[:, None], ids.shape)[real]
+                    yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(node[ids[real]]), pa.array(near[real])], ["query", "node", "near"])
+
+    return visits.mapInArrow(visit, "query bigint, node bigint, near float")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -267,12 +302,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     named = stored(named.select("vec_id", "node", F.when(F.col("vec_id") == F.col("node"), F.col("embedding")).alias("embedding"), is_query.alias("asks")), "nodes")
     nodes = named.filter("vec_id = node").select("node", "embedding")
     packed = packed_units(nodes)
-    links = stored(both_ways(build_graph(packed)), "links")
     # Queries with equal vectors are one search.
     asking = named.filter("asks").select("node").distinct()
-    queries = packed.join(asking, "node").select(F.col("node").alias("query"), F.col("node").alias("start"), "unit")
-    found = search_graph(links, packed, queries, beam_of(packed.count()))
-    # What half precision calls near is measured again on the original vectors.
+    found = search_shards(dealt(packed, packed.join(asking, "node")))
+    best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("near"), "node"))
+    found = found.withColumn("place", best).filter(F.col("place") <= KEPT).select("query", "node")
+    # Copies of a query's own vector are found through it in any case.
+    found = stored(found.unionByName(asking.select(F.col("node").alias("query"), "node")).distinct(), "found")
+    # What single precision calls near is measured again on the original vectors.
     # Vectors are first brought near 1 by a power of two, which is exact, so that no square vanishes or overflows.
     power = F.floor(F.log2(F.array_max(F.transform("embedding", F.abs))))
     near_one = F.pow(F.lit(2.0), F.greatest(F.least(-power, F.lit(1000)), F.lit(-1000)).cast("double"))
