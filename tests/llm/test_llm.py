@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -100,6 +101,30 @@ def test_recurrent_gradient():
     assert recurrent.sequence_scores(unit, whole)[0] == pytest.approx(straight, rel=1e-4)
 
 
+def test_recurrent_classes_fill_blocks():
+    vocabulary = recurrent.Vocabulary(np.arange(recurrent.WORDS, dtype=np.uint64), np.zeros(recurrent.WORDS, int), np.ones(recurrent.WORDS), {0: (4, 2)}, 2000, 1300)
+    unit, rng = recurrent.Unit.fresh(vocabulary), np.random.default_rng(6)
+    # Classes of no word, one, just as many as a block has, and one more; and tail classes.
+    inputs = np.concatenate([np.full(n, 32 * c) + rng.integers(0, 32, n) for c, n in enumerate((0, 1, 32, 33, 0, 700, 64))] + [np.arange(recurrent.WORDS, recurrent.WORDS + 20)])
+    inputs = rng.permutation(np.resize(inputs, (50, 17)).ravel()).astype(np.int32)
+    states = rng.normal(0, 0.5, (len(inputs), recurrent.HIDDEN)).astype(np.float32)
+    plain = []
+    for state, at in zip(states.astype(float), inputs.tolist()):
+        logits = state @ unit.wc + unit.bc
+        c, w = (at // 32, at % 32) if at < recurrent.WORDS else (at - recurrent.WORDS + recurrent.CLASSES, None)
+        words = state @ unit.ww[c] + unit.bw[c] if w is not None else np.zeros(1)
+        plain.append(logits[c] - np.log(np.exp(logits).sum()) + words[w or 0] - np.log(np.exp(words).sum()))
+    assert unit.log_probabilities(states, inputs) == pytest.approx(np.array(plain), abs=1e-4)
+    # A step's arrays are not kept for a whole window, nor class logits for all of its tokens.
+    many = np.resize(inputs, 64 * 256)
+    spread = np.resize(states, (len(many), recurrent.HIDDEN))
+    tracemalloc.start()
+    unit.log_probabilities(spread, many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8e6
+
+
 @pytest.mark.parametrize("taught", [True, False])
 def test_recurrent_score_is_the_same_alone_and_among_others(spark, taught):
     texts = [" ".join(f"w{(i * j) % 7}" for j in range(i % 40 + 1)) for i in range(700)]

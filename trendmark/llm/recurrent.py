@@ -43,6 +43,8 @@ ROUNDS, RATE = 2, 0.01
 #: Tokens that a task scores, or learns from, together.
 TOGETHER = 1 << 21
 _HELD = 1 << 19
+#: Words of one class that are looked at together.
+BLOCK = 32
 _MERGE = 64
 #: The end token's key; words have hashes.
 END = 0
@@ -191,98 +193,142 @@ class Unit:
     def read(self, h: np.ndarray, inputs: np.ndarray, ends: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States before each token of a window (time, lane), and the state after it."""
         steps, width = inputs.shape
-        states = np.empty((steps, width, HIDDEN), np.float32)
-        gates, new, inner = (np.empty((steps, width, n), np.float32) for n in (2 * HIDDEN, HIDDEN, HIDDEN))
-        given = self.x[inputs]
-        given[..., : 2 * HIDDEN] *= 0.5  # a gate is half a hyperbolic tangent of half its input, and a half
-        u = self.u.copy()
-        u[:, : 2 * HIDDEN] *= 0.5
-        keep = (~ends).astype(np.float32)[:, :, None]
+        # Lanes come last here: parts of gates and states are then contiguous.
+        kept = steps if trace is not None else 1
+        states, new = np.empty((steps, HIDDEN, width), np.float32), np.empty((kept, HIDDEN, width), np.float32)
+        gates, inner = np.empty((kept, 2 * HIDDEN, width), np.float32), np.empty((kept, 3 * HIDDEN, width), np.float32)
+        given = np.ascontiguousarray(self.x[inputs].transpose(0, 2, 1))
+        given[:, : 2 * HIDDEN] *= 0.5  # a gate is half a hyperbolic tangent of half its input, and a half
+        u = self.u.T.copy()
+        u[: 2 * HIDDEN] *= 0.5
+        for_gates, for_new, ending = given[:, : 2 * HIDDEN], given[:, 2 * HIDDEN :], ends.any(1).tolist()
+        h = np.array(h.T, order="C")
         for t in range(steps):
-            states[t] = h
-            a = h @ u
-            g, n = gates[t], new[t]
-            np.add(given[t, :, : 2 * HIDDEN], a[:, : 2 * HIDDEN], out=g)
+            state, a, g, n = states[t], inner[t % kept], gates[t % kept], new[t % kept]
+            state[:] = h
+            np.matmul(u, state, out=a)
+            np.add(for_gates[t], a[: 2 * HIDDEN], out=g)
             np.tanh(g, out=g)
             g *= 0.5
             g += 0.5
-            inner[t] = a[:, 2 * HIDDEN :]
-            np.multiply(g[:, HIDDEN:], inner[t], out=n)
-            n += given[t, :, 2 * HIDDEN :]
+            np.multiply(g[HIDDEN:], a[2 * HIDDEN :], out=n)
+            n += for_new[t]
             np.tanh(n, out=n)
-            h = h - n
-            h *= g[:, :HIDDEN]
+            np.subtract(state, n, out=h)
+            h *= g[:HIDDEN]
             h += n
-            h *= keep[t]
+            if ending[t]:
+                h[:, ends[t]] = 0
         if trace is not None:
-            trace.extend((gates[..., :HIDDEN], gates[..., HIDDEN:], new, inner))
-        return states, h
+            trace.extend((states, gates[:, :HIDDEN], gates[:, HIDDEN:], new, inner[:, 2 * HIDDEN :]))
+        return np.ascontiguousarray(states.transpose(0, 2, 1)), np.ascontiguousarray(h.T)
 
     def _classes(self, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.wc + self.bc
+        """Log-probability of each class (class, state)."""
+        logits = self.wc.T @ states.T
+        logits += self.bc[:, None]
+        logits -= logits.max(0)
+        logits -= np.log(np.exp(logits).sum(0))
+        return logits
+
+    def _blocks(self, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The frequent words' places by class, each one's slot in blocks of ``BLOCK`` of one class, and the blocks' classes."""
+        places = np.flatnonzero(inputs < WORDS)
+        cls = inputs[places] // WIDTH
+        order = np.argsort(cls, kind="stable")
+        count = np.bincount(cls, minlength=CLASSES)
+        blocks = -(-count // BLOCK)
+        shift = (np.cumsum(blocks) - blocks) * BLOCK - (np.cumsum(count) - count)
+        return places[order], np.arange(len(order)) + shift[cls[order]], np.repeat(np.arange(CLASSES), blocks)
+
+    def _words(self, states: np.ndarray, places: np.ndarray, slot: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States in blocks (block, slot), and the logits of their class's words less the largest (block, word, slot)."""
+        dealt = np.zeros((len(cls) * BLOCK, HIDDEN), np.float32)
+        dealt[slot] = states[places]
+        dealt = dealt.reshape(len(cls), BLOCK, HIDDEN)
+        logits = self.ww.transpose(0, 2, 1)[cls] @ dealt.transpose(0, 2, 1)
+        logits += self.bw[cls][:, :, None]
         logits -= logits.max(1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
-    def _by_class(self, inputs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(inputs // WIDTH, kind="stable")
-        edges = np.searchsorted(inputs[order] // WIDTH, np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            if edges[c] < edges[c + 1]:
-                yield c, order[edges[c] : edges[c + 1]]
+        return dealt, logits
 
     def log_probabilities(self, states: np.ndarray, inputs: np.ndarray) -> np.ndarray:
         """Of each input after its state: the class, and the word inside a frequent class."""
         cls = np.where(inputs < WORDS, inputs // WIDTH, inputs - WORDS + CLASSES)
-        out = self._classes(states)[np.arange(len(inputs)), cls].astype(np.float64)
-        for c, rows in self._by_class(inputs):
-            logits = states[rows] @ self.ww[c] + self.bw[c]
-            top = logits.max(1)
-            out[rows] += logits[np.arange(len(rows)), inputs[rows] % WIDTH] - top - np.log(np.exp(logits - top[:, None]).sum(1))
+        out = np.empty(len(inputs))
+        for a in range(0, len(inputs), 2048):  # what stays in a core's cache
+            some = cls[a : a + 2048]
+            out[a : a + 2048] = self._classes(states[a : a + 2048])[some, np.arange(len(some))]
+        places, slot, by_block = self._blocks(inputs)
+        _, logits = self._words(states, places, slot, by_block)
+        block, at = np.divmod(slot, BLOCK)
+        out[places] += logits[block, inputs[places] % WIDTH, at] - np.log(np.exp(logits).sum(1))[block, at]
         return out
 
     def gradient(self, h: np.ndarray, inputs: np.ndarray, ends: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the mean loss over a window's real tokens, with no error from later windows; and the last state."""
         g = Unit(np.zeros_like(self.flat))
         trace: list = []
-        states, last = self.read(h, inputs, ends, trace)
-        flat, at, weight = states.reshape(-1, HIDDEN), inputs.ravel(), real.ravel().astype(np.float32) / max(1, real.sum())
+        before, last = self.read(h, inputs, ends, trace)
+        flat, at, weight = before.reshape(-1, HIDDEN), inputs.ravel(), real.ravel().astype(np.float32) / max(1, real.sum())
         cls = np.where(at < WORDS, at // WIDTH, at - WORDS + CLASSES)
-        miss = np.exp(self._classes(flat))
-        miss[np.arange(len(at)), cls] -= 1
-        miss *= weight[:, None]
-        g.wc[:], g.bc[:] = flat.T @ miss, miss.sum(0)
-        back = miss @ self.wc.T
-        for c, rows in self._by_class(at):
-            logits = flat[rows] @ self.ww[c] + self.bw[c]
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(rows)), at[rows] % WIDTH] -= 1
-            p *= weight[rows, None]
-            g.ww[c], g.bw[c] = flat[rows].T @ p, p.sum(0)
-            back[rows] += p @ self.ww[c].T
-        back = back.reshape(states.shape)
-        z, r, new, inner = trace
+        miss = self.wc.T @ flat.T
+        miss += self.bc[:, None]
+        miss -= miss.max(0)
+        np.exp(miss, out=miss)
+        miss *= weight / miss.sum(0)
+        miss[cls, np.arange(len(at))] -= weight
+        g.wc[:], g.bc[:] = (miss @ flat).T, miss.sum(1)
+        back = np.ascontiguousarray((self.wc @ miss).T)
+        places, slot, by_block = self._blocks(at)
+        if len(places):
+            dealt, p = self._words(flat, places, slot, by_block)
+            np.exp(p, out=p)
+            share = np.zeros(len(by_block) * BLOCK, np.float32)  # none for empty slots
+            share[slot] = weight[places]
+            p *= share.reshape(-1, 1, BLOCK) / p.sum(1, keepdims=True)
+            block, within = np.divmod(slot, BLOCK)
+            p[block, at[places] % WIDTH, within] -= weight[places]
+            first = np.flatnonzero(np.diff(by_block, prepend=-1))
+            ww, bw = dealt.transpose(0, 2, 1) @ p.transpose(0, 2, 1), p.sum(2)
+            for c, a, b in zip(by_block[first].tolist(), first.tolist(), [*first[1:].tolist(), len(by_block)]):
+                g.ww[c], g.bw[c] = (ww[a], bw[a]) if b == a + 1 else (ww[a:b].sum(0), bw[a:b].sum(0))
+            back[places] += (p.transpose(0, 2, 1) @ self.ww.transpose(0, 2, 1)[by_block]).reshape(-1, HIDDEN)[slot]
+        back = np.ascontiguousarray(back.reshape(before.shape).transpose(0, 2, 1))
+        states, z, r, new, inner = trace
         # What an error of the state is multiplied by on its way into the gates and the new state.
-        by_z, by_n, by_r = (states - new) * z * (1 - z), (1 - z) * (1 - new * new), inner * r * (1 - r)
-        through, fresh = np.empty((*inputs.shape, 3 * HIDDEN), np.float32), np.empty(states.shape, np.float32)
-        keep, back_u = (~ends).astype(np.float32)[:, :, None], np.ascontiguousarray(self.u.T)
-        error = np.zeros_like(h)
-        for t in range(len(inputs) - 1, -1, -1):
-            error *= keep[t]
+        shut = 1 - z
+        by_z, by_n, by_r = states - new, 1 - new * new, 1 - r
+        by_z *= z
+        by_z *= shut
+        by_n *= shut
+        by_r *= inner
+        by_r *= r
+        steps, width = inputs.shape
+        through, fresh = np.empty((steps, 3 * HIDDEN, width), np.float32), np.empty(states.shape, np.float32)
+        ending, error, more = ends.any(1).tolist(), np.zeros((HIDDEN, width), np.float32), np.empty((HIDDEN, width), np.float32)
+        for t in range(steps - 1, -1, -1):
+            if ending[t]:
+                error[:, ends[t]] = 0
             own, dn = through[t], fresh[t]
-            np.multiply(error, by_z[t], out=own[:, :HIDDEN])
+            np.multiply(error, by_z[t], out=own[:HIDDEN])
             np.multiply(error, by_n[t], out=dn)
-            np.multiply(dn, by_r[t], out=own[:, HIDDEN : 2 * HIDDEN])
-            np.multiply(dn, r[t], out=own[:, 2 * HIDDEN :])
+            np.multiply(dn, by_r[t], out=own[HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[t], out=own[2 * HIDDEN :])
             error *= z[t]
-            error += own @ back_u
+            np.matmul(self.u, own, out=more)
+            error += more
             error += back[t]
-        g.u[:] = flat.T @ through.reshape(-1, 3 * HIDDEN)
-        given = through
-        given[..., 2 * HIDDEN :] = fresh
+        given = through.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)
+        g.u[:] = flat.T @ given
+        given[:, 2 * HIDDEN :] = fresh.transpose(0, 2, 1).reshape(-1, HIDDEN)
         order = np.argsort(at, kind="stable")
         heads = np.flatnonzero(np.diff(at[order], prepend=-1))
-        g.x[at[order][heads]] = np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], heads)
+        n = np.diff(heads, append=len(order))
+        once, often = order[heads[n == 1]], np.flatnonzero(n > 1)
+        g.x[at[once]] = given[once]
+        if len(often):
+            many = order[np.repeat(n > 1, n)]
+            g.x[at[order[heads[often]]]] = np.add.reduceat(given[many], np.cumsum(n[often]) - n[often])
         return g.flat, last
 
 
@@ -344,17 +390,19 @@ def train(unit: Unit, sequences: list[np.ndarray], state: tuple) -> None:
         width = int((grid[a] >= 0).sum())
         window = grid[a : a + TRAIN_WINDOW, :width]
         g, h = unit.gradient(h[:width], np.maximum(window, 0), ends[a : a + TRAIN_WINDOW, :width], window >= 0)
-        g *= min(1.0, 1.0 / max(1e-9, float(np.linalg.norm(g))))
+        norm = float(np.linalg.norm(g))
+        if norm > 1:
+            g *= 1 / norm
         steps[0] += 1
+        # Sums of gradients and of their squares, 10 and 100 times the means that Adam keeps.
         mean *= 0.9
-        mean += 0.1 * g
+        mean += g
         g *= g
-        g *= 0.01
         square *= 0.99
         square += g
         size = RATE * np.sqrt(1 - 0.99 ** steps[0]) / (1 - 0.9 ** steps[0])
         np.sqrt(square, out=g)
-        g += 1e-6
+        g += 1e-5
         np.divide(mean, g, out=g)
         g *= size
         unit.flat -= g
