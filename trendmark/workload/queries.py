@@ -293,9 +293,10 @@ def dq_sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_partitioned_parquet")
 def sink_partitioned_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = TableStore(spark, scratch_path(spark, "silver"))
-    publish(silver(spark, sf_dir), store, STATISTICS)
-    return store.read(STATISTICS).select(*SILVER_COLUMNS)
+    layers = scratch_path(spark, "layers")
+    config = MedallionConfig(TableStore(spark, f"{layers}/silver"), TableStore(spark, f"{layers}/gold"))
+    publish_statistics(silver(spark, sf_dir), config)
+    return config.silver.read(STATISTICS).select(*SILVER_COLUMNS)
 
 
 @query("sink_dynamic_overwrite")
