@@ -1,7 +1,8 @@
 """Silver to Gold.
 
 The three tables are three plans over the Silver table. Each reads the few columns it needs, so reading
-Silver again is cheaper than keeping the joined rows, and nothing is lost with an executor.
+Silver again is cheaper than keeping the joined rows, and nothing is lost with an executor. Where Silver is ``stored``,
+written and not still to be made, each distinct count reads it again for its own columns.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ def enrich(statistics: DataFrame, reference: DataFrame | None) -> DataFrame:
     return attach_category_names(statistics, None if reference is None else category_lookup(reference))
 
 
-def gold_trending(statistics: DataFrame, now: datetime | None = None) -> DataFrame:
-    return with_audit(trending_rollup(statistics), "_aggregated_at", now)
+def gold_trending(statistics: DataFrame, now: datetime | None = None, stored: bool = False) -> DataFrame:
+    return with_audit(trending_rollup(statistics, stored=stored), "_aggregated_at", now)
 
 
-def gold_channel(enriched: DataFrame, now: datetime | None = None) -> DataFrame:
-    return with_audit(rank_channels(channel_rollup(enriched)), "_aggregated_at", now)
+def gold_channel(enriched: DataFrame, now: datetime | None = None, stored: bool = False) -> DataFrame:
+    return with_audit(rank_channels(channel_rollup(enriched, stored)), "_aggregated_at", now)
 
 
-def gold_category(enriched: DataFrame, now: datetime | None = None) -> DataFrame:
-    return with_audit(with_view_share(category_rollup(enriched)), "_aggregated_at", now)
+def gold_category(enriched: DataFrame, now: datetime | None = None, stored: bool = False) -> DataFrame:
+    return with_audit(with_view_share(category_rollup(enriched, stored)), "_aggregated_at", now)

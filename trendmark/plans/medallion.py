@@ -130,9 +130,9 @@ def check_silver(spark: SparkSession, config: MedallionConfig, as_of: datetime |
 def build_gold(config: MedallionConfig, now: datetime | None = None) -> None:
     statistics = config.silver.read(STATISTICS, schema=SILVER_STATISTICS)
     enriched = enrich(statistics, config.silver.read_if_present(REFERENCE, True))
-    publish(gold_trending(statistics, now), config.gold, TRENDING)
-    publish(gold_channel(enriched, now), config.gold, CHANNEL)
-    publish(gold_category(enriched, now), config.gold, CATEGORY)
+    publish(gold_trending(statistics, now, stored=True), config.gold, TRENDING)
+    publish(gold_channel(enriched, now, stored=True), config.gold, CHANNEL)
+    publish(gold_category(enriched, now, stored=True), config.gold, CATEGORY)
 
 
 def gate(checks: DataFrame) -> Row:

@@ -78,8 +78,8 @@ class GoldRefresh:
         rows = read_folders(self.silver.spark, self.silver.path(STATISTICS), regions, SILVER_STATISTICS)
         channels = channel_rollup(enrich(same_keys(rows, touched, CHANNEL_KEY, "left_semi"), reference))
         channels = channels.unionByName(self._kept(CHANNEL, touched, CHANNEL_KEY, regions).select(*channels.columns))
-        trending = gold_trending(days, self.now).unionByName(self._kept(TRENDING, touched, DAY, regions))
-        category = gold_category(enrich(days, reference), self.now).unionByName(self._kept(CATEGORY, touched, DAY, regions))
+        trending = gold_trending(days, self.now, stored=True).unionByName(self._kept(TRENDING, touched, DAY, regions))
+        category = gold_category(enrich(days, reference), self.now, stored=True).unionByName(self._kept(CATEGORY, touched, DAY, regions))
         self._stage(TRENDING).write(trending)
         self._stage(CHANNEL).write(with_audit(rank_channels(channels), "_aggregated_at", self.now))
         self._stage(CATEGORY).write(category)
