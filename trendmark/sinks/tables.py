@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendmark.sources.folders import move_folders
 from trendmark.sources.tables import TableStore
 
 
@@ -17,14 +18,18 @@ def write_partitioned(
     partition_by: Sequence[str] = ("region",),
     rebalance: bool = True,
     whole_table: bool = False,
+    staged: str | None = None,
 ) -> None:
     """Replace the partitions that ``df`` holds rows for, and leave all others as they are.
 
-    With ``whole_table`` the others are removed.
+    With ``whole_table`` the others are removed. Where ``df`` is what lies in ``staged``, a folder split the same way on the same
+    storage, its files are moved and not written again.
 
     Rebalancing gathers each partition's rows into files of the advisory size. Adaptive execution
     cuts a partition that holds much of the data into many tasks, so one busy region is no bottleneck.
     """
+    if staged is not None:
+        return move_folders(df.sparkSession, staged, path, len(partition_by))
     if rebalance:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     (

@@ -48,6 +48,21 @@ def partition_folders(spark: SparkSession, path: str, depth: int, within: Iterab
     )
 
 
+def move_folders(spark: SparkSession, source: str, path: str, depth: int) -> None:
+    """Move the partition folders of one table into another, in place of those of the same name.
+
+    What was not moved yet still lies in ``source``, so a run that stops half-way goes on where it was.
+    """
+    for folder in partition_folders(spark, source, depth):
+        filesystem, target = located(spark, f"{path}/{folder}")
+        _, moved = located(spark, f"{source}/{folder}")
+        filesystem.delete(target, True)
+        filesystem.mkdirs(target.getParent())
+        if not filesystem.rename(moved, target):
+            raise OSError(f"{source}/{folder} could not be moved to {path}")
+    spark.catalog.refreshByPath(path)
+
+
 def read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
     """Rows of some partition folders of a table; no other folder is listed or read."""
     if not folders:

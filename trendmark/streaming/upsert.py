@@ -47,7 +47,7 @@ class SnapshotUpsert:
 
     A batch is cleansed and staged, merged with the rows of the days it touches, staged again, and only
     then swapped in. Both stages are keyed by batch: a run that stops half-way through the swap repeats
-    it from the finished stage, so no row is lost or doubled. Batches may come in any order, since the
+    it from what is left in the finished stage, so no row is lost or doubled; files are moved, not written again. Batches may come in any order, since the
     arrival time is kept with each row.
 
     The staged batch's own folders say which days it touches. These are listed, read, replaced and added to the catalog;
@@ -86,10 +86,11 @@ class SnapshotUpsert:
                 folders.write.mode("overwrite").parquet(self._touched(spark, "days", str(batch_id)).path)
             merged.write(keep_latest_snapshot(present.unionByName(rows)))
         rows = merged.read(SILVER_BY_DAY)
-        write_partitioned(rows, self.store.path(STATISTICS), DAY_PARTITIONS, rebalance=False)
+        write_partitioned(rows, self.store.path(STATISTICS), DAY_PARTITIONS, rebalance=False, staged=merged.path)
         if self.store.database is not None:
-            # A row for each day of the batch.
-            register(self.store, STATISTICS, DAY_PARTITIONS, rows.schema, rows.select(*DAY_PARTITIONS).distinct().collect())
+            # A row for each day of the batch. The merged rows have moved by now, the fresh ones lie in the same folders.
+            days = fresh.read(SILVER_BY_DAY).select(*DAY_PARTITIONS).distinct().collect()
+            register(self.store, STATISTICS, DAY_PARTITIONS, rows.schema, days)
         days = self._touched(spark, "days", str(batch_id))
         if self.keep_touched and path_exists(spark, days.path):
             days.mark()  # from here on Gold may follow

@@ -870,9 +870,9 @@ def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "quarantine")
     store = TableStore(spark, f"{root}/silver")
     rows = snapshot(spark, sf_dir)
-    whole = single_documents(rows.filter(F.col("l_linenumber") != 2))
-    cut = single_documents(rows.filter(F.col("l_linenumber") == 2)).withColumn("document", F.left("document", F.lit(40)))
-    land(spark, whole.unionByName(cut), f"{root}/raw")
+    documents = single_documents(rows.filter(F.col("l_linenumber").isNotNull()), "l_linenumber")
+    cut = F.when(F.col("l_linenumber") == 2, F.left("document", F.lit(40))).otherwise(F.col("document"))
+    land(spark, documents.withColumn("document", cut), f"{root}/raw")
     handler = VideoArrivals(SnapshotUpsert(store, f"{root}/checkpoint", JOB, NOW), f"{root}/quarantine")
     run_available(stream_documents(spark, f"{root}/raw", VIDEO_ITEM, multi_line=False), handler, f"{root}/checkpoint")
     kept = rows_by(store.read(STATISTICS), "region", "trending_date_parsed")

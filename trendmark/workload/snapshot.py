@@ -131,10 +131,10 @@ def region_documents(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(document).alias("document"), ARRIVED_AT)
 
 
-def single_documents(rows: DataFrame) -> DataFrame:
-    """A single-region document for each row, with the row's item alone."""
+def single_documents(rows: DataFrame, *kept: str) -> DataFrame:
+    """A single-region document for each row, with the row's item alone, and columns to keep beside it."""
     document = F.struct(F.array(video_item()).alias("items"), _metadata(1).alias("_pipeline_metadata"))
-    return rows.select(F.to_json(document).alias("document"), ARRIVED_AT)
+    return rows.select(F.to_json(document).alias("document"), ARRIVED_AT, *kept)
 
 
 def envelope_documents(rows: DataFrame) -> DataFrame:
