@@ -12,6 +12,7 @@ from trendmark.operators.cleanse import cleanse
 from trendmark.operators.rollups import category_rollup, channel_rollup, trending_rollup
 from trendmark.schemas import SILVER_BY_DAY
 from trendmark.sinks import tables, write_raw_documents
+from trendmark.sinks.staged import Stage
 from trendmark.sources import TableStore, folders
 from trendmark.streaming import SnapshotUpsert
 from trendmark.workload.queries import QUERIES
@@ -102,3 +103,26 @@ def test_merged_days_are_moved_into_place(spark, folder, monkeypatch):
         found = days_of(spark, store)
         assert len(found) == 9 and all(views == (1 if region == "c" else 2) for _, region, _, views in found)
     assert set(staged) < {p.name for p in Path(store.path(STATISTICS)).rglob("part-*.parquet")}
+
+
+def test_a_merge_shuffles_no_ratios(spark, folder, monkeypatch):
+    """Neither the deduplication nor the gathering by day holds what is derived from a row; present rows keep their figures."""
+    plans, write = [], Stage.write
+
+    def watched(stage, df, rebalance=True):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(stage, df, rebalance)
+
+    monkeypatch.setattr(Stage, "write", watched)
+    store = TableStore(spark, folder + "/silver")
+    handler = SnapshotUpsert(store, folder + "/checkpoint", "job", datetime(2024, 2, 1))
+    handler(raw(spark, {"likes": 1, "views": 3}, {"video_id": "v2", "views": 0}, {"video_id": "v3", "likes": None}), 0)
+    handler(raw(spark, {"likes": 2, "views": 3, "_arrived_at": datetime(2025, 1, 1)}), 1)
+    merges = [plan for plan in plans if "Window [" in plan]
+    assert len(merges) == 2
+    for plan in merges:
+        above, below = plan.split("RebalancePartitions", 1)
+        made = [line for line in below.split("\n") if "Relation [" not in line and "LogicalRDD [" not in line]  # not what is read
+        assert "engagement_rate" in above and not any("engagement_rate" in line for line in made)
+    read = spark.read.schema(SILVER_BY_DAY).parquet(store.path(STATISTICS)).orderBy("video_id").collect()
+    assert [(r.likes, r.like_ratio, r.engagement_rate) for r in read] == [(2, 66.6667, 166.6667), (10, 0.0, 0.0), (0, 0.0, 3.0)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendmark.functions import clean_region, parse_trending_date
-from trendmark.operators.cleanse import cleanse, settle, with_audit, with_ratios
+from trendmark.operators.cleanse import settle, with_audit, with_ratios
 from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
 from trendmark.operators.normalize import normalize_csv, normalize_json, union_sources
 from trendmark.operators.quality import warning_metrics
@@ -25,9 +25,9 @@ def silver_statistics(normalised: DataFrame, job_name: str, now: datetime | None
     return _audited(with_ratios(keep_latest_snapshot(settle(normalised))), job_name, now)
 
 
-def clean_statistics(normalised: DataFrame, job_name: str, now: datetime | None = None) -> DataFrame:
-    """The same rows with their repeats, for a merge that keeps the latest: one narrow stage."""
-    return _audited(cleanse(normalised), job_name, now)
+def settled_statistics(normalised: DataFrame, job_name: str, now: datetime | None = None) -> DataFrame:
+    """The same rows with their repeats and without ratios, for a merge that keeps the latest: one narrow stage."""
+    return _audited(settle(normalised), job_name, now)
 
 
 def _audited(statistics: DataFrame, job_name: str, now: datetime | None) -> DataFrame:

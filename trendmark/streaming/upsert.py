@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendmark.config import STATISTICS
+from trendmark.operators.cleanse import with_ratios
 from trendmark.operators.dedup import SNAPSHOT_KEY, keep_latest_snapshot
-from trendmark.plans.silver import clean_statistics, with_bucket
+from trendmark.plans.silver import settled_statistics, with_bucket
 from trendmark.schemas import BUCKET, SILVER_BY_DAY, SILVER_STATISTICS
 from trendmark.sinks.staged import Stage
 from trendmark.sinks.tables import register, write_partitioned
@@ -45,7 +46,7 @@ def touched_rows(fresh: DataFrame, present: DataFrame) -> DataFrame:
 class SnapshotUpsert:
     """Micro-batch handler that merges normalised rows into the Silver statistics table.
 
-    A batch is cleansed and staged, merged with the rows of the days it touches, staged again, and only
+    A batch is settled and staged, merged with the rows of the days it touches, staged again, and only
     then swapped in. Both stages are keyed by batch: a run that stops half-way through the swap repeats
     it from what is left in the finished stage, so no row is lost or doubled; files are moved, not written again. Batches may come in any order, since the
     arrival time is kept with each row.
@@ -76,7 +77,7 @@ class SnapshotUpsert:
         if not merged.finished:
             if not fresh.finished:
                 # Neither deduplicated nor gathered: the merge does both.
-                fresh.write(with_bucket(clean_statistics(batch, self.job_name, self.now)), rebalance=False)
+                fresh.write(with_bucket(settled_statistics(batch, self.job_name, self.now)), rebalance=False)
             rows = fresh.read(SILVER_BY_DAY)
             present = rows_of_folders(self.store, fresh.folders())
             if self.keep_touched:
@@ -84,7 +85,10 @@ class SnapshotUpsert:
                 days = sorted({folder.rpartition("/")[0] for folder in fresh.folders()})  # with all buckets
                 folders = spark.createDataFrame([(day,) for day in days], "folder string")
                 folders.write.mode("overwrite").parquet(self._touched(spark, "days", str(batch_id)).path)
-            merged.write(keep_latest_snapshot(present.unionByName(rows)))
+            # Ratios are derived from the rows that stay, after these are gathered, so that no shuffle holds them.
+            kept = keep_latest_snapshot(present.unionByName(rows).drop("like_ratio", "engagement_rate"))
+            gathered = kept.hint("rebalance", *[F.col(name) for name in DAY_PARTITIONS])
+            merged.write(with_ratios(gathered).select(*SILVER_BY_DAY.fieldNames()), rebalance=False)
         rows = merged.read(SILVER_BY_DAY)
         write_partitioned(rows, self.store.path(STATISTICS), DAY_PARTITIONS, rebalance=False, staged=merged.path)
         if self.store.database is not None:
